@@ -314,3 +314,37 @@ def stations_csv(spark: SparkSession, sf_dir: str) -> str:
           .write.option("header", "true").option("sep", ";").csv(staging))
 
     return _ensure(spark, sf_dir, "stations_csv", build)
+
+
+# --- text lines (S10, A3) -------------------------------------------------------
+
+def documents_text(spark: SparkSession, sf_dir: str) -> str:
+    """The ``documents`` texts as plain text files, written in parallel."""
+    return _ensure(spark, sf_dir, "documents_text",
+                   lambda p: table(spark, sf_dir, "documents").select("text").write.text(p))
+
+
+# --- C12: files arriving over several runs ---------------------------------------
+
+def landing_drop(spark: SparkSession, sf_dir: str, root: str, run: int) -> str:
+    """Put the files of landing run ``run`` (1, 2, 3) into ``<root>/source``.
+
+    Run r brings the documents with doc_id % 3 = r - 1 as JSON files named
+    ``run<r>-NNNNN.json``. Run 2 also rewrites the first file of run 1 under
+    the same name with altered texts, which landing must ignore.
+    """
+    source_dir = f"{root}/source"
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    staging = f"{root}/_staging-{uuid.uuid4().hex[:10]}"
+    docs.filter(F.col("doc_id") % 3 == run - 1).write.json(staging)
+    for path in fs.glob(spark, f"{staging}/part-*.json"):
+        part = re.search(r"part-(\d+)", path.split("/")[-1]).group(1)
+        fs.rename(spark, path, f"{source_dir}/run{run}-{part}.json")
+    if run == 2:
+        rewrite = f"{root}/_rewrite-{uuid.uuid4().hex[:10]}"
+        (docs.filter(F.col("doc_id") % 3 == 0)
+         .select("doc_id", F.upper("text").alias("text")).write.json(rewrite))
+        first = fs.glob(spark, f"{source_dir}/run1-*.json")[0]
+        src = fs.glob(spark, f"{rewrite}/part-*.json")[0]
+        fs.rename(spark, src, first, overwrite=True)
+    return source_dir
