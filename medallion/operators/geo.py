@@ -19,6 +19,7 @@ from pyspark.sql.types import StringType
 from medallion.functions.columns import address_key, split_get, to_double
 from medallion.operators.filters import complete
 from medallion.operators.names import find_column
+from medallion.session import ship_package
 
 KEY = "address_key"
 
@@ -117,6 +118,7 @@ def resolve_with_provider(df: DataFrame, provider: Provider, address: str | Colu
     The distinct step combines map-side, so a repeated address costs one call;
     calls are made batch-wise on the executors through Arrow.
     """
+    ship_package(df.sparkSession)
     addr = F.col(address) if isinstance(address, str) else address
     need = F.col(lat_col).isNull() | F.col(lon_col).isNull()
     keys = (df.filter(need).select(address_key(addr).alias(KEY))

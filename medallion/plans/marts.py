@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from medallion import fs
 from medallion.functions.columns import decimal_comma_to_double, to_double
 from medallion.operators.filters import complete
 from medallion.operators.geo import NoCoordinates, UnsupportedPointType, extract_points
@@ -130,6 +131,9 @@ def build_mart(spark: SparkSession, mart: str, entries: Sequence[tuple[str, str]
     """
     frames, statuses, observations = [], [], []
     for dataset, label in entries:
+        if not fs.exists(spark, path_of(dataset)):
+            statuses.append(SourceStatus(mart, dataset, label, "missing", f"path not found: {path_of(dataset)}"))
+            continue
         try:
             pts = poi_source(spark, path_of(dataset), label)
         except NoCoordinates as e:
@@ -165,7 +169,8 @@ def run_marts(spark: SparkSession, catalogue: Mapping[str, Sequence[tuple[str, s
         counts: dict[int, int] = {}
         if df is not None:
             try:
-                write_parquet(df, f"{out_root.rstrip('/')}/{mart}.parquet")
+                write_parquet(df, f"{out_root.rstrip('/')}/{mart}.parquet",
+                              sources=[path_of(d) for d, _ in entries])
                 counts = {i: int(o.get["rows"]) for i, o in observations}
             except Exception as e:  # noqa: BLE001 - run-time failure of the mart job
                 for i, _ in observations:

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
+from medallion import fs
 from medallion.functions.columns import full_address, parse_date, to_double
 from medallion.operators import geo
 from medallion.operators.filters import incomplete, place_predicate, year_between
@@ -110,6 +111,8 @@ def refine_one(spark: SparkSession, dataset: str, path: str, fmt: str, out_path:
     Analysis errors (missing input, colliding names) surface before the job;
     run-time errors surface during the write; both end up in the status.
     """
+    if "*" not in path and not fs.exists(spark, path):
+        return (dataset, "missing", f"path not found: {path}", None, None)
     try:
         df = read_delimited(spark, path, sep=sep) if fmt == "csv" else read_parquet(spark, path)
     except Exception as e:  # noqa: BLE001 - reported per dataset

@@ -76,3 +76,42 @@ def local_path(p: str) -> str:
 
 def is_local(p: str) -> bool:
     return p.startswith("/") or p.startswith("file:") or os.path.isabs(p)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``medallion`` importable in executor Python workers (once per context).
+
+    Only the Arrow-batched Python steps need it (e.g. ``mapInPandas`` with a
+    caller's provider). The package is zipped, written to the shared
+    workspace through the Hadoop file system and added with ``addPyFile``,
+    which is what ``--py-files`` does at submit time.
+    """
+    import hashlib
+    import io
+    import zipfile
+
+    sc = spark.sparkContext
+    if getattr(sc, "_medallion_shipped", False):
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
+        for root, _, files in sorted(os.walk(pkg_dir)):
+            for f in sorted(files):
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    zf.write(full, os.path.join("medallion", os.path.relpath(full, pkg_dir)))
+    data = buf.getvalue()
+    digest = hashlib.sha1(data).hexdigest()[:12]
+    target = f"{workspace(spark)}/medallion/pyfiles/{digest}/medallion.zip"
+    jvm = sc._jvm
+    path = jvm.org.apache.hadoop.fs.Path(target)
+    fsys = path.getFileSystem(sc._jsc.hadoopConfiguration())
+    if not fsys.exists(path):
+        out = fsys.create(path, True)
+        try:
+            out.write(bytearray(data))
+        finally:
+            out.close()
+    sc.addPyFile(target)
+    sc._medallion_shipped = True
