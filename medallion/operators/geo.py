@@ -48,15 +48,19 @@ def best_candidates(gazetteer: DataFrame, address_col: str = "address",
                     F.col("best.longitude").alias("longitude"), F.col("best.score").alias("score")))
 
 
-def _lookup_key(df: DataFrame, address: Column, lat_col: str, lon_col: str) -> Column:
+def _lookup_key(address: Column, lat_col: str, lon_col: str) -> Column:
     """Join key: the normalised address for rows that need a lookup.
 
-    Rows that already have both coordinates get a unique non-matching key
-    instead of NULL: in a shuffled join all NULL keys hash to one reducer,
-    which would put every complete row into a single task.
+    Rows that already have both coordinates get a non-matching key spread by
+    a hash of the address and coordinates instead of NULL: in a shuffled join
+    every NULL key hashes to one reducer, which would put all complete rows
+    into a single task. The hash uses only columns the join needs anyway, so
+    column pruning still reaches the scan, and it is deterministic, so a
+    re-run task sends each row to the same reducer.
     """
     need = F.col(lat_col).isNull() | F.col(lon_col).isNull()
-    spread = F.concat(F.lit("\u0000#"), F.xxhash64(*[F.col(c) for c in df.columns]).cast("string"))
+    spread = F.concat(F.lit("\u0000#"),
+                      F.xxhash64(address, F.col(lat_col), F.col(lon_col)).cast("string"))
     return F.coalesce(F.when(need, address), spread)
 
 
@@ -71,7 +75,7 @@ def fill_coordinates(df: DataFrame, best: DataFrame, address: str | Column,
     changes. A hot address is split across tasks by AQE's skew-join handling.
     """
     addr = F.col(address) if isinstance(address, str) else address
-    key = _lookup_key(df, address_key(addr, key_min_length), lat_col, lon_col)
+    key = _lookup_key(address_key(addr, key_min_length), lat_col, lon_col)
     right = (best.filter(~F.col(KEY).startswith("\u0000"))
              .select(F.col(KEY).alias("_k"), F.col("latitude").alias("_g_lat"),
                      F.col("longitude").alias("_g_lon")))

@@ -18,6 +18,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
+# The schemas of the file formats whose layout does not depend on content.
+FIXED_SCHEMAS = {
+    "binaryFile": "path string, modificationTime timestamp, length bigint, content binary",
+    "text": "value string",
+}
+
+
 @dataclass
 class LandingRun:
     rows: int
@@ -40,6 +47,7 @@ def land(spark: SparkSession, source_dir: str, bronze_path: str, checkpoint: str
     the source path and stem of every row.
     """
     reader = spark.readStream.format(fmt).option("latestFirst", "false")
+    schema = schema if schema is not None else FIXED_SCHEMAS.get(fmt)
     if schema is not None:
         reader = reader.schema(schema)
     if max_files_per_trigger:
