@@ -19,7 +19,7 @@ from medallion.functions.columns import full_address, parse_date, to_double
 from medallion.operators import geo
 from medallion.operators.filters import incomplete, place_predicate, year_between
 from medallion.operators.metrics import observed
-from medallion.operators.names import NameCollision, add_if_missing, clean_column_names
+from medallion.operators.names import NameCollision, add_if_missing, clean_column_names, clean_name
 from medallion.sinks.writers import write_parquet
 from medallion.sources.readers import read_delimited, read_parquet
 
@@ -36,11 +36,14 @@ DATE_FORMAT = "dd/MM/yyyy"
 
 def refine_transactions(raw: DataFrame, best: DataFrame | None, code: str = "75",
                         years: tuple[int, int] = (2021, 2025),
-                        address_min_length: int | None = None) -> DataFrame:
+                        address_min_length: int | None = None,
+                        need_flag: str | None = None) -> DataFrame:
     """Place and year filters, address, coordinate fill, clean names (Q1).
 
     ``best`` is a one-row-per-address table (``geo.best_candidates``) or any
     table with ``address_key, latitude, longitude``; ``None`` skips the fill.
+    ``need_flag`` names a boolean column marking rows that lacked a coordinate
+    before the fill.
     """
     df = raw.filter(place_predicate(DEPT_COL, POSTCODE_COL, code))
     df = df.withColumn(PARSED_DATE_COL, parse_date(DATE_COL, DATE_FORMAT))
@@ -49,6 +52,8 @@ def refine_transactions(raw: DataFrame, best: DataFrame | None, code: str = "75"
                                                  address_min_length))
     df = add_if_missing(df, {"latitude": DoubleType(), "longitude": DoubleType()})
     df = df.withColumns({"latitude": to_double("latitude"), "longitude": to_double("longitude")})
+    if need_flag:
+        df = df.withColumn(need_flag, incomplete(["latitude", "longitude"]))
     if best is not None:
         df = geo.fill_coordinates(df, best, ADDRESS_COL)
     df = df.drop(ADDRESS_COL)
@@ -75,28 +80,30 @@ class RefineReport:
 
 def run_refine_transactions(spark: SparkSession, raw_glob: str, best: DataFrame | None,
                             out_path: str, code: str = "75",
-                            years: tuple[int, int] = (2021, 2025)) -> RefineReport:
+                            years: tuple[int, int] = (2021, 2025),
+                            partition_by_year: bool = False) -> RefineReport:
     """Read the CSV set, refine and write silver Parquet (Q1, A2, K1).
 
     The count of rows needing a fill is observed during the write: one pass
     over the input, where the original counted first and read again to write.
+    All metrics are taken in the final (writing) stage, which Spark commits
+    once per task, so a task re-run after an executor loss is not counted
+    twice. ``partition_by_year`` lays the table out by sale year, so later
+    year filters prune folders.
     """
     raw = read_delimited(spark, raw_glob, sep=";")
-    df = raw.filter(place_predicate(DEPT_COL, POSTCODE_COL, code))
-    df = df.withColumn(PARSED_DATE_COL, parse_date(DATE_COL, DATE_FORMAT))
-    df = df.filter(year_between(PARSED_DATE_COL, *years))
-    df = add_if_missing(df, {"latitude": DoubleType(), "longitude": DoubleType()})
-    df = df.withColumns({"latitude": to_double("latitude"), "longitude": to_double("longitude")})
-    df, before = observed(df, "before_fill", rows=F.count(F.lit(1)),
-                          missing=F.count_if(incomplete(["latitude", "longitude"])))
-    df = df.withColumn(ADDRESS_COL, full_address(list(ADDRESS_PARTS), CITY_SUFFIX))
-    if best is not None:
-        df = geo.fill_coordinates(df, best, ADDRESS_COL)
-    df = clean_column_names(df.drop(ADDRESS_COL), keep_hyphen=True)
-    df, after = observed(df, "after_fill", unresolved=F.count_if(incomplete(["latitude", "longitude"])))
-    write_parquet(df, out_path, sources=[raw_glob])
-    b, a = before.get, after.get
-    return RefineReport(int(b["rows"]), int(b["missing"]), int(a["unresolved"]), out_path)
+    df = refine_transactions(raw, best, code, years, need_flag="_need_fill")
+    df, obs = observed(df, "refine_transactions", rows=F.count(F.lit(1)),
+                       missing=F.count_if(F.col("_need_fill")),
+                       unresolved=F.count_if(incomplete(["latitude", "longitude"])))
+    df = df.drop("_need_fill")
+    parts = ()
+    if partition_by_year:
+        df = df.withColumn("annee", F.year(clean_name(PARSED_DATE_COL, keep_hyphen=True)))
+        parts = ("annee",)
+    write_parquet(df, out_path, sources=[raw_glob], partition_by=parts)
+    m = obs.get
+    return RefineReport(int(m["rows"]), int(m["missing"]), int(m["unresolved"]), out_path)
 
 
 # --- Q2 / Q3: many sources, one status row each --------------------------------

@@ -33,8 +33,13 @@ def check_overwrite(df: DataFrame, target: str, sources: Sequence[str] = ()) ->
     """
     spark = df.sparkSession
     tgt = fs.qualify(spark, target)
-    roots = [fs.qualify(spark, s.split("*")[0].rsplit("/", 1)[0] if "*" in s else s)
-             for s in sources] if sources else [fs.qualify(spark, f) for f in df.inputFiles()]
+    if sources:
+        roots = []
+        for s in sources:
+            # a glob is compared through the paths it matches (metadata only)
+            roots += fs.glob(spark, s) if any(ch in s for ch in "*?[") else [fs.qualify(spark, s)]
+    else:
+        roots = [fs.qualify(spark, f) for f in df.inputFiles()]
     for r in roots:
         if _related(tgt, r):
             raise UnsafeOverwrite(f"{target} is read by the plan it would overwrite ({r})")
