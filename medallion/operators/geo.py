@@ -48,6 +48,21 @@ def best_candidates(gazetteer: DataFrame, address_col: str = "address",
                     F.col("best.longitude").alias("longitude"), F.col("best.score").alias("score")))
 
 
+def prepare_best_candidates(gazetteer: DataFrame, path: str, **cols: str) -> DataFrame:
+    """Write :func:`best_candidates` as a reference table and read it back.
+
+    Preparing the gazetteer once is the intended use at scale. Besides
+    reuse across runs, a stored table gives the lookup join its own
+    ``ENSURE_REQUIREMENTS`` shuffle, which is the shape AQE needs to split
+    a hot address over several tasks (``SortMergeJoin(skew=true)``); a lazy
+    ``best_candidates`` plan would hand the join its aggregate's shuffle,
+    which AQE does not split. When the table is small, its file size lets the
+    planner broadcast it instead, with no shuffle of the transactions at all.
+    """
+    best_candidates(gazetteer, **cols).write.mode("overwrite").parquet(path)
+    return gazetteer.sparkSession.read.parquet(path)
+
+
 def _lookup_key(address: Column, lat_col: str, lon_col: str) -> Column:
     """Join key: the normalised address for rows that need a lookup.
 
@@ -72,7 +87,9 @@ def fill_coordinates(df: DataFrame, best: DataFrame, address: str | Column,
     Existing values are kept; each coordinate is filled on its own with
     ``coalesce``; rows without a match keep NULL. ``best`` must be unique on
     ``address_key`` (see :func:`best_candidates`), so the row count never
-    changes. A hot address is split across tasks by AQE's skew-join handling.
+    changes. Pass a stored table as ``best`` (see
+    :func:`prepare_best_candidates`): then a hot address is split across
+    tasks by AQE's skew-join handling when the join is shuffled.
     """
     addr = F.col(address) if isinstance(address, str) else address
     key = _lookup_key(address_key(addr, key_min_length), lat_col, lon_col)

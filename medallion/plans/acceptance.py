@@ -46,7 +46,8 @@ def transactions_raw(spark: SparkSession, sf_dir: str, with_coords: bool = True)
 
 
 def best_gazetteer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return geo.best_candidates(spark.read.parquet(fx.gazetteer(spark, sf_dir)))
+    """The prepared one-row-per-address table (J2 output, stored once per input)."""
+    return spark.read.parquet(fx.gazetteer_best(spark, sf_dir))
 
 
 def q_price_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -486,7 +487,7 @@ FROM tx LEFT JOIN best b ON b.akey = {SQL_AKEY}
 
 
 def q_best_candidate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return best_gazetteer(spark, sf_dir)
+    return geo.best_candidates(spark.read.parquet(fx.gazetteer(spark, sf_dir)))
 
 
 ORACLE_BEST_CANDIDATE = f"""

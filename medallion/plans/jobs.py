@@ -47,7 +47,8 @@ def silver_job(spark: SparkSession, data_root: str, gazetteer: DataFrame | None
     see ``geo.resolve_with_provider``) is the alternative for an external
     service. Without either, rows keep the coordinates they came with."""
     root = data_root.rstrip("/")
-    best = geo.best_candidates(gazetteer) if gazetteer is not None else None
+    best = (geo.prepare_best_candidates(gazetteer, f"{root}/silver/gazetteer_best.parquet")
+            if gazetteer is not None else None)
     report = None
     glob = f"{root}/{transactions_glob}"
     if fs.glob(spark, glob):

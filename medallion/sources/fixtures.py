@@ -22,7 +22,7 @@ from medallion.session import workspace
 from medallion.sources.readers import table
 
 # Bump when a builder changes so stale copies are not reused.
-FIXTURE_VERSION = "v3"
+FIXTURE_VERSION = "v4"
 
 
 def fixture_root(spark: SparkSession, sf_dir: str) -> str:
@@ -158,6 +158,14 @@ def gazetteer(spark: SparkSession, sf_dir: str) -> str:
                    lambda p: gazetteer_frame(spark, sf_dir).write.parquet(p))
 
 
+def gazetteer_best(spark: SparkSession, sf_dir: str) -> str:
+    """The gazetteer reduced to one candidate per address, stored (J2 output)."""
+    from medallion.operators.geo import best_candidates
+
+    return _ensure(spark, sf_dir, "gazetteer_best",
+                   lambda p: best_candidates(spark.read.parquet(gazetteer(spark, sf_dir))).write.parquet(p))
+
+
 # --- C3-C8: point-of-interest sources (Parquet) ------------------------------
 
 def _num(c) -> F.Column:

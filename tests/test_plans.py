@@ -9,6 +9,11 @@ def test_flagship_plan(spark, sf):
     assert "BatchEvalPython" not in txt and "ArrowEvalPython" not in txt
     assert "StringStartsWith(Code postal,75)" in txt  # place filter reaches the CSV reader
     assert "Identifiant de document" not in txt.split("ReadSchema")[1].split("\n")[0]  # pruned
+    assert "Window" not in txt and "BroadcastHashJoin" in txt  # small reference table
+
+
+def test_best_candidate_plan(spark, sf):
+    txt = plan_text(A.q_best_candidate(spark, sf))
     assert "partial_min" in txt and "Window" not in txt
 
 
