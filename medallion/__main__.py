@@ -13,7 +13,8 @@ import sys
 from medallion.session import build_session
 
 
-def main(argv: list[str] | None = None) -> int:
+def main(argv: list[str] | None = None, spark=None) -> int:
+    """Run one job; a given ``spark`` session is used and left running."""
     p = argparse.ArgumentParser(prog="medallion")
     p.add_argument("--master", default=None)
     sub = p.add_subparsers(dest="job", required=True)
@@ -38,7 +39,10 @@ def main(argv: list[str] | None = None) -> int:
     q.add_argument("--rows", type=int, default=20)
     a = p.parse_args(argv)
 
-    spark = build_session(a.master, app=f"medallion-{a.job}")
+    owned = spark is None
+    if owned:
+        spark = build_session(a.master, app=f"medallion-{a.job}",
+                              profile="cluster" if a.master is None else "local")
     if a.job == "silver":
         from medallion.plans.jobs import silver_job
         first, last = (int(x) for x in a.years.split("-"))
@@ -59,7 +63,8 @@ def main(argv: list[str] | None = None) -> int:
         write_text(word_count(spark.read.text(a.input)), a.output)
     elif a.job == "sql":
         spark.sql(a.statement).show(a.rows, truncate=False)
-    spark.stop()
+    if owned:
+        spark.stop()
     return 0
 
 

@@ -25,15 +25,37 @@ SCALE_CONF = {
 }
 
 
+# Starting points for a large cluster (hundreds of executors, 100 TB inputs):
+# start with many shuffle partitions and let AQE coalesce them to the advisory
+# size, so no reducer holds more than a few hundred MB; read splits of 256 MB;
+# broadcast only below 64 MB (AQE re-checks the real size before converting).
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "4000",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.parquet.filterPushdown": "true",
+    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+}
+
+
 def build_session(master: str | None = None, app: str = "medallion",
                   shuffle_partitions: int | None = None,
-                  extra: dict[str, str] | None = None) -> SparkSession:
+                  extra: dict[str, str] | None = None, profile: str = "local") -> SparkSession:
+    """Session with the scale settings; ``profile="cluster"`` adds :data:`CLUSTER_CONF`
+    (values already set on the cluster win, since ``getOrCreate`` keeps them)."""
     builder = (SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false"))
     if master:
         builder = builder.master(master)
     for k, v in SCALE_CONF.items():
         builder = builder.config(k, v)
+    if profile == "cluster":
+        for k, v in CLUSTER_CONF.items():
+            builder = builder.config(k, v)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in (extra or {}).items():
