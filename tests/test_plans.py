@@ -31,3 +31,17 @@ def test_word_count_partial_aggregation(spark, sf):
 def test_replicate_has_no_join(spark, sf):
     txt = plan_text(A.q_replicate_average(spark, sf))
     assert "Join" not in txt and "Generate" in txt
+
+
+def test_refine_reads_the_csv_once(spark, sf):
+    from medallion.plans.refine import refine_transactions
+    df = refine_transactions(A.transactions_raw(spark, sf), A.best_gazetteer(spark, sf),
+                             years=A.YEARS, need_flag="_need")
+    txt = df._jdf.queryExecution().executedPlan().toString()
+    assert txt.count("FileScan csv") == 1
+
+
+def test_provider_runs_on_distinct_addresses_only(spark, sf):
+    txt = plan_text(A.q_fill_by_provider(spark, sf))
+    assert "MapInPandas" in txt and "BatchEvalPython" not in txt
+    assert "partial_" in txt or "HashAggregate" in txt  # the distinct step before the Python call
