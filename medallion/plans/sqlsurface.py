@@ -10,6 +10,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from medallion import fs
+
 _IDENT = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*$")
 
 
@@ -44,6 +46,22 @@ def create_external_text_table(spark: SparkSession, db: str, table: str, columns
     return name
 
 
+def register_tables(spark: SparkSession, root: str, names: list[str] | None = None) -> list[str]:
+    """Expose the Parquet tables under ``root`` (``<name>.parquet`` folders) as
+    temporary views named after them, cleaned to SQL identifiers, so they can
+    be queried with ``spark.sql``. Returns the view names."""
+    paths = fs.glob(spark, f"{root.rstrip('/')}/*.parquet")
+    views = []
+    for p in paths:
+        name = p.rstrip("/").split("/")[-1][: -len(".parquet")]
+        if names is not None and name not in names:
+            continue
+        view = re.sub(r"[^A-Za-z0-9_]", "_", name)
+        spark.read.parquet(p).createOrReplaceTempView(view)
+        views.append(view)
+    return views
+
+
 def query(spark: SparkSession, text: str) -> DataFrame:
     """Any SQL text (H4)."""
     return spark.sql(text)

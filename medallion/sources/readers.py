@@ -11,23 +11,29 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 PROVENANCE_COL = "source_file"
 
 
 def read_delimited(spark: SparkSession, paths: str | Sequence[str], sep: str = ";",
                    header: bool = True, enforce_schema: bool = False,
-                   with_provenance: bool = False, **options: str) -> DataFrame:
+                   with_provenance: bool = False, schema: StructType | str | None = None,
+                   **options: str) -> DataFrame:
     """Delimited text as an all-string table (S1), glob paths allowed.
 
     The schema comes from the header of one file. With ``enforce_schema=False``
     every other file's header is checked against it by name, so a file whose
     columns were reordered fails the read instead of being matched by position.
     ``with_provenance`` adds the file each row came from, read from the hidden
-    ``_metadata`` column (no extra pass).
+    ``_metadata`` column (no extra pass). A ``schema`` states the expected
+    columns up front (with ``enforce_schema=False`` every header is still
+    checked against its names) and saves the job that reads the first header.
     """
-    reader = (spark.read.option("header", str(header).lower())
+    reader = spark.read
+    if schema is not None:
+        reader = reader.schema(schema)
+    reader = (reader.option("header", str(header).lower())
               .option("sep", sep)
               .option("enforceSchema", str(enforce_schema).lower()))
     for k, v in options.items():
@@ -84,6 +90,11 @@ def read_text(spark: SparkSession, path: str, whole_file: bool = False) -> DataF
     return spark.read.option("wholetext", str(whole_file).lower()).text(path)
 
 
+def all_strings(columns: Sequence[str]) -> StructType:
+    """An all-text schema for the given column names."""
+    return StructType([StructField(c, StringType(), True) for c in columns])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the driver's Parquet tables."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

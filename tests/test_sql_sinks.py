@@ -38,3 +38,21 @@ def test_overwrite_of_own_input_is_refused(spark, tmp_ws):
         W.write_parquet(df, f"{tmp_ws}/t", sources=[f"{tmp_ws}/t"])
     W.write_parquet(df, f"{tmp_ws}/u")
     assert spark.read.parquet(f"{tmp_ws}/u").count() == 3
+
+
+def test_register_tables_as_views(spark, tmp_ws):
+    spark.range(5).write.parquet(f"{tmp_ws}/gold/dm-trans port.parquet")
+    spark.range(2).write.parquet(f"{tmp_ws}/gold/other.parquet")
+    assert sorted(sq.register_tables(spark, f"{tmp_ws}/gold")) == ["dm_trans_port", "other"]
+    assert sq.query(spark, "SELECT count(*) AS n FROM dm_trans_port").first().n == 5
+
+
+def test_delimited_with_declared_schema(spark, tmp_ws):
+    import pytest
+    from medallion import fs
+    from medallion.sources.readers import all_strings, read_delimited
+    fs.touch(spark, f"{tmp_ws}/d/a.csv", "x;y\n1;2\n")
+    df = read_delimited(spark, f"{tmp_ws}/d", schema=all_strings(["x", "y"]))
+    assert [tuple(r) for r in df.collect()] == [("1", "2")]
+    with pytest.raises(Exception):
+        read_delimited(spark, f"{tmp_ws}/d", schema=all_strings(["y", "x"])).collect()
