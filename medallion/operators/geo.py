@@ -19,7 +19,7 @@ from pyspark.sql.types import StringType
 from medallion.functions.columns import address_key, split_get, to_double
 from medallion.operators.filters import complete
 from medallion.operators.names import find_column
-from medallion.session import ship_package
+from medallion.session import scratch, ship_package
 
 KEY = "address_key"
 
@@ -149,9 +149,20 @@ def resolve_with_provider(df: DataFrame, provider: Provider, address: str | Colu
 
 
 def fill_by_provider(df: DataFrame, provider: Provider, address: str | Column,
-                     lat_col: str = "latitude", lon_col: str = "longitude") -> DataFrame:
-    resolved = resolve_with_provider(df, provider, address, lat_col, lon_col)
-    return fill_coordinates(df, resolved, address, lat_col, lon_col)
+                     lat_col: str = "latitude", lon_col: str = "longitude",
+                     resolved_path: str | None = None) -> DataFrame:
+    """Fill missing coordinates through ``provider`` (D1 + J1).
+
+    The resolved addresses are written as a table first (``resolved_path``, by
+    default a fresh folder in the shared workspace): every provider call
+    happens exactly once, a later stage failure does not call the provider
+    again, and the lookup join gets the stored-table shape that AQE can
+    split on a hot address.
+    """
+    spark = df.sparkSession
+    path = resolved_path or scratch(spark, "resolved-addresses")
+    resolve_with_provider(df, provider, address, lat_col, lon_col).write.mode("overwrite").parquet(path)
+    return fill_coordinates(df, spark.read.parquet(path), address, lat_col, lon_col)
 
 
 # --- points of interest -------------------------------------------------------

@@ -42,6 +42,13 @@ def test_refine_reads_the_csv_once(spark, sf):
 
 
 def test_provider_runs_on_distinct_addresses_only(spark, sf):
-    txt = plan_text(A.q_fill_by_provider(spark, sf))
+    from medallion.functions.columns import full_address
+    from medallion.operators import geo
+    df = A.transactions_raw(spark, sf, with_coords=False).selectExpr(
+        "*", "CAST(NULL AS double) AS latitude", "CAST(NULL AS double) AS longitude")
+    df = df.withColumn("address", full_address(["No voie", "Type de voie", "Voie", "Code postal"]))
+    txt = plan_text(geo.resolve_with_provider(df, A.geocode_provider, "address"))
     assert "MapInPandas" in txt and "BatchEvalPython" not in txt
-    assert "partial_" in txt or "HashAggregate" in txt  # the distinct step before the Python call
+    assert "HashAggregate" in txt  # the distinct step, combined map-side, before the Python call
+    filled = plan_text(A.q_fill_by_provider(spark, sf))
+    assert "MapInPandas" not in filled  # joined against the stored resolved table
