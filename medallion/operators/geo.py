@@ -20,6 +20,7 @@ from medallion.functions.columns import address_key, split_get, to_double
 from medallion.operators.filters import complete
 from medallion.operators.names import find_column
 from medallion.session import scratch, ship_package
+from medallion.sinks.writers import write_parquet
 
 KEY = "address_key"
 
@@ -59,7 +60,7 @@ def prepare_best_candidates(gazetteer: DataFrame, path: str, **cols: str) -> Dat
     which AQE does not split. When the table is small, its file size lets the
     planner broadcast it instead, with no shuffle of the transactions at all.
     """
-    best_candidates(gazetteer, **cols).write.mode("overwrite").parquet(path)
+    write_parquet(best_candidates(gazetteer, **cols), path)
     return gazetteer.sparkSession.read.parquet(path)
 
 
@@ -161,7 +162,7 @@ def fill_by_provider(df: DataFrame, provider: Provider, address: str | Column,
     """
     spark = df.sparkSession
     path = resolved_path or scratch(spark, "resolved-addresses")
-    resolve_with_provider(df, provider, address, lat_col, lon_col).write.mode("overwrite").parquet(path)
+    write_parquet(resolve_with_provider(df, provider, address, lat_col, lon_col), path)
     return fill_coordinates(df, spark.read.parquet(path), address, lat_col, lon_col)
 
 

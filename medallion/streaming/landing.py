@@ -57,12 +57,23 @@ def land(spark: SparkSession, source_dir: str, bronze_path: str, checkpoint: str
     stream = reader.load(source_dir)
     stream = stream.withColumn("source_file", F.col("_metadata.file_path"))
     stream = stream.withColumn("stem", stem_of("source_file"))
-    q = (stream.writeStream.format("parquet")
-         .option("checkpointLocation", checkpoint)
-         .partitionBy("stem")
-         .trigger(availableNow=True)
-         .start(bronze_path))
-    q.awaitTermination()
+    # Keep every batch's progress so the report covers a long backlog too
+    # (Spark keeps the last 100 by default and reads the setting per batch).
+    retention = "spark.sql.streaming.numRecentProgressUpdates"
+    previous = spark.conf.get(retention, None)
+    spark.conf.set(retention, "1000000")
+    try:
+        q = (stream.writeStream.format("parquet")
+             .option("checkpointLocation", checkpoint)
+             .partitionBy("stem")
+             .trigger(availableNow=True)
+             .start(bronze_path))
+        q.awaitTermination()
+    finally:
+        if previous is None:
+            spark.conf.unset(retention)
+        else:
+            spark.conf.set(retention, previous)
     if q.exception() is not None:
         raise q.exception()
     progress = [p for p in q.recentProgress if p.get("numInputRows", 0) > 0]

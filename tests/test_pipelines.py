@@ -96,3 +96,11 @@ def test_binary_landing_keeps_bytes(spark, tmp_ws):
     assert run.rows == 1
     row = spark.read.parquet(f"{tmp_ws}/b").first()
     assert bytes(row.content) == b"hello" and row.stem == "a"
+
+
+def test_landing_report_covers_many_batches(spark, tmp_ws):
+    for i in range(101):
+        fs.touch(spark, f"{tmp_ws}/many/f{i:03d}.txt", f"line {i}\n")
+    run = land(spark, f"{tmp_ws}/many", f"{tmp_ws}/mb", f"{tmp_ws}/mc", fmt="text",
+               max_files_per_trigger=1)
+    assert run.batches == 101 and run.rows == 101  # past the default 100 kept
