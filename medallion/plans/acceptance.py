@@ -30,8 +30,8 @@ from medallion.plans.sqlsurface import query as sql_query
 from medallion.plans.tutorial import harmonise_flat, harmonise_nested, replicate_average, union_sources
 from medallion.session import scratch
 from medallion.sources import fixtures as fx
-from medallion.sources.readers import (literal_rows, read_csv_inferred, read_delimited, read_headerless,
-                                       read_json, read_text, table)
+from medallion.sources.readers import (all_strings, literal_rows, read_csv_inferred, read_delimited,
+                                       read_headerless, read_immutable_parquet, read_json, read_text, table)
 from medallion.streaming.landing import land
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,14 +40,20 @@ YEARS = (1996, 1998)
 PLACE = "75"
 
 
-def transactions_raw(spark: SparkSession, sf_dir: str, with_coords: bool = True) -> DataFrame:
+def transactions_raw(spark: SparkSession, sf_dir: str, with_coords: bool = True,
+                     declared: bool = True) -> DataFrame:
+    """The transaction CSV set. ``declared`` states its columns up front (each
+    file's header is still checked against them); ``False`` takes them from
+    the header, as an unknown source would be read."""
     root = fx.transactions(spark, sf_dir, with_coords)
-    return read_delimited(spark, f"{root}/{fx.TRANSACTION_GLOB}", sep=";")
+    cols = fx.TRANSACTION_COLUMNS + (("latitude", "longitude") if with_coords else ())
+    return read_delimited(spark, f"{root}/{fx.TRANSACTION_GLOB}", sep=";",
+                          schema=all_strings(cols) if declared else None)
 
 
 def best_gazetteer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The prepared one-row-per-address table (J2 output, stored once per input)."""
-    return spark.read.parquet(fx.gazetteer_best(spark, sf_dir))
+    return read_immutable_parquet(spark, fx.gazetteer_best(spark, sf_dir))
 
 
 def q_price_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -129,7 +135,7 @@ TX_ID = "Identifiant de document"
 
 
 def q_scan_csv_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return transactions_raw(spark, sf_dir)
+    return transactions_raw(spark, sf_dir, declared=False)  # schema from the header (S1)
 
 
 ORACLE_SCAN_CSV_STRINGS = f"""
@@ -293,7 +299,7 @@ SELECT doc_id, 'without_coords', 'incomplete', CAST(NULL AS DOUBLE), CAST(NULL A
 
 
 def _poi(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{fx.poi_sources(spark, sf_dir)}/{name}.parquet")
+    return read_immutable_parquet(spark, f"{fx.poi_sources(spark, sf_dir)}/{name}.parquet")
 
 
 def q_require_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -327,7 +333,7 @@ FROM customer
 
 
 def q_clean_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = spark.read.parquet(f"{fx.messy_names(spark, sf_dir)}/part_names.parquet")
+    df = read_immutable_parquet(spark, f"{fx.messy_names(spark, sf_dir)}/part_names.parquet")
     return clean_column_names(df)
 
 
@@ -390,14 +396,16 @@ TEST_MARTS = {
 
 
 def q_poi_text_point(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return poi_source(spark, f"{fx.poi_sources(spark, sf_dir)}/customer_points.parquet", "Client")
+    return poi_source(spark, f"{fx.poi_sources(spark, sf_dir)}/customer_points.parquet", "Client",
+                      read_immutable_parquet)
 
 
 ORACLE_POI_TEXT_POINT = f"SELECT latitude, longitude, 'Client' AS categorie FROM ({SQL_CUSTOMER_POINTS})"
 
 
 def q_poi_two_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return poi_source(spark, f"{fx.poi_sources(spark, sf_dir)}/part_points.parquet", "Pièce")
+    return poi_source(spark, f"{fx.poi_sources(spark, sf_dir)}/part_points.parquet", "Pièce",
+                      read_immutable_parquet)
 
 
 SQL_PART_POINTS = """
@@ -413,7 +421,8 @@ def _poi_path_of(spark: SparkSession, sf_dir: str):
 
 
 def q_poi_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df, _, _ = build_mart(spark, "dm_points", TEST_MARTS["dm_points"], _poi_path_of(spark, sf_dir))
+    df, _, _ = build_mart(spark, "dm_points", TEST_MARTS["dm_points"], _poi_path_of(spark, sf_dir),
+                          read_immutable_parquet)
     return df
 
 
@@ -430,7 +439,7 @@ SELECT * FROM ({SQL_PART_POINTS})
 
 def q_mart_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch(spark, "gold")
-    return run_marts(spark, TEST_MARTS, _poi_path_of(spark, sf_dir), out)
+    return run_marts(spark, TEST_MARTS, _poi_path_of(spark, sf_dir), out, read_immutable_parquet)
 
 
 ORACLE_MART_STATUS = """
@@ -487,7 +496,7 @@ FROM tx LEFT JOIN best b ON b.akey = {SQL_AKEY}
 
 
 def q_best_candidate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return geo.best_candidates(spark.read.parquet(fx.gazetteer(spark, sf_dir)))
+    return geo.best_candidates(read_immutable_parquet(spark, fx.gazetteer(spark, sf_dir)))
 
 
 ORACLE_BEST_CANDIDATE = f"""
@@ -537,7 +546,8 @@ def q_missing_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = fx.transactions(spark, sf_dir)
     report = run_refine_transactions(spark, f"{root}/{fx.TRANSACTION_GLOB}",
                                      best_gazetteer(spark, sf_dir), scratch(spark, "silver-tx"),
-                                     code=PLACE, years=YEARS)
+                                     code=PLACE, years=YEARS,
+                                     schema=all_strings(fx.TRANSACTION_COLUMNS + ("latitude", "longitude")))
     return spark.createDataFrame([(report.rows, report.missing_coordinates, report.unresolved)],
                                  "n_rows bigint, n_missing bigint, n_unresolved bigint")
 

@@ -116,13 +116,14 @@ class SourceStatus:
     message: str | None = None
 
 
-def poi_source(spark: SparkSession, path: str, label: str) -> DataFrame:
+def poi_source(spark: SparkSession, path: str, label: str, read=None) -> DataFrame:
     """Points of one source; raises ``NoCoordinates`` / ``UnsupportedPointType``."""
-    return extract_points(spark.read.parquet(path), label)
+    df = read(spark, path) if read else spark.read.parquet(path)
+    return extract_points(df, label)
 
 
 def build_mart(spark: SparkSession, mart: str, entries: Sequence[tuple[str, str]],
-               path_of) -> tuple[DataFrame | None, list[SourceStatus], list]:
+               path_of, read=None) -> tuple[DataFrame | None, list[SourceStatus], list]:
     """Union of every usable source of ``mart``.
 
     Returns the lazy mart (``None`` when no source is usable), a status per
@@ -135,7 +136,7 @@ def build_mart(spark: SparkSession, mart: str, entries: Sequence[tuple[str, str]
             statuses.append(SourceStatus(mart, dataset, label, "missing", f"path not found: {path_of(dataset)}"))
             continue
         try:
-            pts = poi_source(spark, path_of(dataset), label)
+            pts = poi_source(spark, path_of(dataset), label, read)
         except NoCoordinates as e:
             statuses.append(SourceStatus(mart, dataset, label, "no_coordinates", str(e)))
             continue
@@ -157,7 +158,7 @@ MART_STATUS_SCHEMA = "mart string, dataset string, categorie string, status stri
 
 
 def run_marts(spark: SparkSession, catalogue: Mapping[str, Sequence[tuple[str, str]]],
-              path_of, out_root: str) -> DataFrame:
+              path_of, out_root: str, read=None) -> DataFrame:
     """Build and write every mart of ``catalogue``; return one status row per source.
 
     A mart with no usable source is not written; a mart whose sources are all
@@ -165,7 +166,7 @@ def run_marts(spark: SparkSession, catalogue: Mapping[str, Sequence[tuple[str, s
     """
     rows = []
     for mart, entries in catalogue.items():
-        df, statuses, observations = build_mart(spark, mart, entries, path_of)
+        df, statuses, observations = build_mart(spark, mart, entries, path_of, read)
         counts: dict[int, int] = {}
         if df is not None:
             try:

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
+from pyspark.sql.types import DoubleType, StructType
 
 from medallion import fs
 from medallion.functions.columns import full_address, parse_date, to_double
@@ -81,7 +81,8 @@ class RefineReport:
 def run_refine_transactions(spark: SparkSession, raw_glob: str, best: DataFrame | None,
                             out_path: str, code: str = "75",
                             years: tuple[int, int] = (2021, 2025),
-                            partition_by_year: bool = False) -> RefineReport:
+                            partition_by_year: bool = False,
+                            schema: StructType | None = None) -> RefineReport:
     """Read the CSV set, refine and write silver Parquet (Q1, A2, K1).
 
     The count of rows needing a fill is observed during the write: one pass
@@ -89,9 +90,10 @@ def run_refine_transactions(spark: SparkSession, raw_glob: str, best: DataFrame
     All metrics are taken in the final (writing) stage, which Spark commits
     once per task, so a task re-run after an executor loss is not counted
     twice. ``partition_by_year`` lays the table out by sale year, so later
-    year filters prune folders.
+    year filters prune folders. ``schema`` declares the columns (headers are
+    still checked against it) instead of reading them from a header.
     """
-    raw = read_delimited(spark, raw_glob, sep=";")
+    raw = read_delimited(spark, raw_glob, sep=";", schema=schema)
     df = refine_transactions(raw, best, code, years, need_flag="_need_fill")
     df, obs = observed(df, "refine_transactions", rows=F.count(F.lit(1)),
                        missing=F.count_if(F.col("_need_fill")),

@@ -114,6 +114,10 @@ def transactions(spark: SparkSession, sf_dir: str, with_coords: bool = True) ->
 
 
 TRANSACTION_GLOB = "Orders-*/Orders-*.csv"
+TRANSACTION_COLUMNS = (
+    "Identifiant de document", "Date mutation", "Valeur fonciere", "No voie", "Type de voie", "Voie",
+    "Code postal", "Code departement", "Surface reelle bati", "Type local",
+)
 
 
 # --- C2: gazetteer -----------------------------------------------------------

@@ -95,6 +95,26 @@ def all_strings(columns: Sequence[str]) -> StructType:
     return StructType([StructField(c, StringType(), True) for c in columns])
 
 
+# Schemas of Parquet inputs that never change once written (the driver's
+# read-only tables, published derived sets), kept per process: Spark infers a
+# Parquet schema with a small job on every read, which dominates short queries.
+_IMMUTABLE_SCHEMAS: dict[str, StructType] = {}
+
+
+def read_immutable_parquet(spark: SparkSession, path: str) -> DataFrame:
+    """Parquet read that infers the schema once per process and path.
+
+    Only for folders that are never rewritten; anything else must use
+    :func:`read_parquet`.
+    """
+    schema = _IMMUTABLE_SCHEMAS.get(path)
+    if schema is None:
+        df = spark.read.parquet(path)
+        _IMMUTABLE_SCHEMAS[path] = df.schema
+        return df
+    return spark.read.schema(schema).parquet(path)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the driver's Parquet tables."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One of the driver's Parquet tables (read-only, so its schema is kept)."""
+    return read_immutable_parquet(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
