@@ -68,13 +68,17 @@ def build_session(master: str | None = None, app: str = "medallion",
 def workspace(spark: SparkSession) -> str:
     """Shared folder for derived tables: ``spark.checkpoint.dir`` of the session.
 
-    When unset (tests), a private temporary folder is created and registered as
-    the checkpoint directory so that ``DataFrame.checkpoint`` works as well.
+    When unset in local mode (tests), a private temporary folder is created and
+    registered as the checkpoint directory; on a cluster an unset value is an
+    error, since executors cannot share a machine-local folder.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach; "
+                               "a machine-local temporary folder does not work on a cluster")
         base = tempfile.mkdtemp(prefix="medallion-ws-")
         spark.sparkContext.setCheckpointDir(base)
         spark.conf.set("spark.checkpoint.dir", base)

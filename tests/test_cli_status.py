@@ -18,3 +18,9 @@ def test_header_drift_becomes_a_status_row(spark, tmp_ws):
     fs.touch(spark, f"{tmp_ws}/g/f2.csv", "y;x\n3;4\n")
     ds, status, message, cols, n = refine_one(spark, "g", f"{tmp_ws}/g", "csv", f"{tmp_ws}/s/g.parquet")
     assert status == "error" and n is None and message
+
+
+def test_workspace_is_the_checkpoint_dir(spark):
+    from medallion.session import workspace
+    ws = workspace(spark)
+    assert ws and ws == (spark.conf.get("spark.checkpoint.dir", None) or ws).rstrip("/")
