@@ -59,3 +59,26 @@ def test_clean_name_idempotent_and_complete(name):
     once = clean_name(name)
     assert clean_name(once) == once
     assert not re.search(r"[ ,;{}()\n\t=-]", once)
+
+
+tx_row = st.tuples(
+    st.sampled_from(["1 RUE A", "1 rue a", "2 RUE B", "9 RUE Z", "ab", None]),
+    st.one_of(st.none(), st.just(40.0)),
+    st.one_of(st.none(), st.just(1.0)),
+)
+
+
+@SETTINGS
+@given(st.lists(candidate, max_size=15), st.lists(tx_row, min_size=1, max_size=30))
+def test_fill_matches_brute_force(spark, gaz_rows, tx_rows):
+    best = brute_best(gaz_rows)
+    want = []
+    for addr, lat, lon in tx_rows:
+        key = re.sub(r"\s+", " ", addr.strip()).upper() if addr is not None else None
+        hit = best.get(key) if key is not None and len(key) >= 5 and (lat is None or lon is None) else None
+        want.append((addr, lat if lat is not None else (hit[0] if hit else None),
+                     lon if lon is not None else (hit[1] if hit else None)))
+    gaz = spark.createDataFrame(gaz_rows, "address string, latitude double, longitude double, score double")
+    tx = spark.createDataFrame(tx_rows, "addr string, latitude double, longitude double")
+    got = geo.fill_coordinates(tx, geo.best_candidates(gaz), "addr").collect()
+    assert Counter(tuple(r) for r in got) == Counter(want)
