@@ -23,6 +23,7 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     s.add_argument("--gazetteer", help="Parquet with address, latitude, longitude, score")
     s.add_argument("--years", default="2021-2025")
     s.add_argument("--place", default="75")
+    s.add_argument("--bronze-transactions", help="landed Parquet table to refine instead of the CSV files")
     g = sub.add_parser("gold", help="build the marts into <root>/gold")
     g.add_argument("--data-root", required=True)
     g.add_argument("--strict-decimal", action="store_true", help="a decimal comma makes the price NULL")
@@ -47,7 +48,9 @@ def main(argv: list[str] | None = None, spark=None) -> int:
         from medallion.plans.jobs import silver_job
         first, last = (int(x) for x in a.years.split("-"))
         gaz = spark.read.parquet(a.gazetteer) if a.gazetteer else None
-        res = silver_job(spark, a.data_root, gazetteer=gaz, code=a.place, years=(first, last))
+        tx = spark.read.parquet(a.bronze_transactions) if a.bronze_transactions else None
+        res = silver_job(spark, a.data_root, gazetteer=gaz, code=a.place, years=(first, last),
+                         transactions=tx)
         if res.transactions:
             print(json.dumps(res.transactions.__dict__))
         res.status.show(100, truncate=False)

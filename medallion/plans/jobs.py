@@ -41,22 +41,27 @@ def silver_job(spark: SparkSession, data_root: str, gazetteer: DataFrame | None
                provider=None, code: str = "75", years: tuple[int, int] = (2021, 2025),
                datasets: Sequence[str] = PARIS_SILVER_PARQUET,
                stations: str | None = PARIS_STATIONS_CSV,
-               transactions_glob: str = TRANSACTIONS_GLOB) -> SilverResult:
+               transactions_glob: str = TRANSACTIONS_GLOB,
+               transactions: DataFrame | None = None) -> SilverResult:
     """All silver refinements. ``gazetteer`` (address, latitude, longitude,
     score) fills missing coordinates by join; ``provider`` (a batch function,
     see ``geo.resolve_with_provider``) is the alternative for an external
-    service. Without either, rows keep the coordinates they came with."""
+    service. Without either, rows keep the coordinates they came with.
+    ``transactions`` replaces the CSV glob with an already landed table (the
+    bronze Parquet written by ``streaming.landing.land`` with ``fmt="csv"``)."""
     root = data_root.rstrip("/")
     best = (geo.prepare_best_candidates(gazetteer, f"{root}/silver/gazetteer_best.parquet")
             if gazetteer is not None else None)
     report = None
     glob = f"{root}/{transactions_glob}"
-    if fs.glob(spark, glob):
+    source = transactions if transactions is not None else (glob if fs.glob(spark, glob) else None)
+    if source is not None:
         if best is None and provider is not None:
-            need = transactions_needing_fill(read_delimited(spark, glob, sep=";"), code, years)
+            raw = transactions if transactions is not None else read_delimited(spark, glob, sep=";")
+            need = transactions_needing_fill(raw, code, years)
             need = need.withColumn("_addr", full_address(list(ADDRESS_PARTS), CITY_SUFFIX))
             best = geo.resolve_with_provider(need, provider, "_addr")
-        report = run_refine_transactions(spark, glob, best, f"{root}/silver/{TRANSACTIONS_SILVER}.parquet",
+        report = run_refine_transactions(spark, source, best, f"{root}/silver/{TRANSACTIONS_SILVER}.parquet",
                                          code=code, years=years)
     rows = []
     if stations:

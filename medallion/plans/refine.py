@@ -78,7 +78,7 @@ class RefineReport:
     path: str
 
 
-def run_refine_transactions(spark: SparkSession, raw_glob: str, best: DataFrame | None,
+def run_refine_transactions(spark: SparkSession, raw_glob: str | DataFrame, best: DataFrame | None,
                             out_path: str, code: str = "75",
                             years: tuple[int, int] = (2021, 2025),
                             partition_by_year: bool = False,
@@ -92,8 +92,14 @@ def run_refine_transactions(spark: SparkSession, raw_glob: str, best: DataFrame
     twice. ``partition_by_year`` lays the table out by sale year, so later
     year filters prune folders. ``schema`` declares the columns (headers are
     still checked against it) instead of reading them from a header.
+    ``raw_glob`` may also be a DataFrame, e.g. the bronze Parquet table that
+    landing wrote from the CSV files: the text is then parsed once, at
+    landing, and the refinement reads columns with pushdown.
     """
-    raw = read_delimited(spark, raw_glob, sep=";", schema=schema)
+    if isinstance(raw_glob, DataFrame):
+        raw, sources = raw_glob.drop("source_file", "stem"), []
+    else:
+        raw, sources = read_delimited(spark, raw_glob, sep=";", schema=schema), [raw_glob]
     df = refine_transactions(raw, best, code, years, need_flag="_need_fill")
     df, obs = observed(df, "refine_transactions", rows=F.count(F.lit(1)),
                        missing=F.count_if(F.col("_need_fill")),
@@ -103,7 +109,7 @@ def run_refine_transactions(spark: SparkSession, raw_glob: str, best: DataFrame
     if partition_by_year:
         df = df.withColumn("annee", F.year(clean_name(PARSED_DATE_COL, keep_hyphen=True)))
         parts = ("annee",)
-    write_parquet(df, out_path, sources=[raw_glob], partition_by=parts)
+    write_parquet(df, out_path, sources=sources, partition_by=parts)
     m = obs.get
     return RefineReport(int(m["rows"]), int(m["missing"]), int(m["unresolved"]), out_path)
 

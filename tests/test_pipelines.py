@@ -104,3 +104,20 @@ def test_landing_report_covers_many_batches(spark, tmp_ws):
     run = land(spark, f"{tmp_ws}/many", f"{tmp_ws}/mb", f"{tmp_ws}/mc", fmt="text",
                max_files_per_trigger=1)
     assert run.batches == 101 and run.rows == 101  # past the default 100 kept
+
+
+def test_refine_from_landed_bronze_equals_csv(spark, sf, tmp_ws):
+    from medallion.sources.readers import all_strings
+    root = fx.transactions(spark, sf)
+    cols = fx.TRANSACTION_COLUMNS + ("latitude", "longitude")
+    best = A.best_gazetteer(spark, sf)
+    from_csv = run_refine_transactions(spark, f"{root}/{fx.TRANSACTION_GLOB}", best, f"{tmp_ws}/a",
+                                       years=A.YEARS)
+    land(spark, f"{root}/Orders-*/", f"{tmp_ws}/bronze", f"{tmp_ws}/ck", fmt="csv",
+         schema=all_strings(cols), options={"header": "true", "sep": ";", "enforceSchema": "false"})
+    bronze = spark.read.parquet(f"{tmp_ws}/bronze")
+    from_bronze = run_refine_transactions(spark, bronze, best, f"{tmp_ws}/b", years=A.YEARS)
+    assert (from_bronze.rows, from_bronze.missing_coordinates, from_bronze.unresolved) == \
+           (from_csv.rows, from_csv.missing_coordinates, from_csv.unresolved)
+    a, b = spark.read.parquet(f"{tmp_ws}/a"), spark.read.parquet(f"{tmp_ws}/b")
+    assert a.exceptAll(b.select(*a.columns)).count() == 0 and b.count() == a.count()
