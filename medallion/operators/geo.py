@@ -82,7 +82,8 @@ def _lookup_key(address: Column, lat_col: str, lon_col: str) -> Column:
 
 def fill_coordinates(df: DataFrame, best: DataFrame, address: str | Column,
                      lat_col: str = "latitude", lon_col: str = "longitude",
-                     key_min_length: int = 5) -> DataFrame:
+                     key_min_length: int = 5, hot: DataFrame | None = None,
+                     salt_buckets: int = 16) -> DataFrame:
     """Fill missing coordinates from a one-row-per-key table.
 
     Existing values are kept; each coordinate is filled on its own with
@@ -91,16 +92,55 @@ def fill_coordinates(df: DataFrame, best: DataFrame, address: str | Column,
     changes. Pass a stored table as ``best`` (see
     :func:`prepare_best_candidates`): then a hot address is split across
     tasks by AQE's skew-join handling when the join is shuffled.
+
+    ``hot`` (one column ``address_key``, a bounded list such as
+    :func:`hot_keys` returns) salts explicitly, without relying on AQE: the
+    rows of a hot key are spread over ``salt_buckets`` join keys and only that
+    key's reference row is repeated ``salt_buckets`` times. Results are
+    the same with or without salting. The salt is a hash of the row, so a
+    re-run task sends every row to the same bucket again; rows that are
+    identical in every column share a bucket.
     """
     addr = F.col(address) if isinstance(address, str) else address
     key = _lookup_key(address_key(addr, key_min_length), lat_col, lon_col)
     right = (best.filter(~F.col(KEY).startswith("\u0000"))
              .select(F.col(KEY).alias("_k"), F.col("latitude").alias("_g_lat"),
                      F.col("longitude").alias("_g_lon")))
-    joined = df.withColumn("_k", key).join(right, on="_k", how="left")
+    left = df.withColumn("_k", key)
+    on = ["_k"]
+    if hot is not None:
+        # The hot list is bounded by construction, so broadcasting it is safe.
+        flags = F.broadcast(hot.select(F.col(KEY).alias("_k")).distinct()
+                            .withColumn("_hot", F.lit(True)))
+        left = left.join(flags, "_k", "left")
+        left = left.withColumn("_salt", F.when(
+            F.col("_hot"), F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(salt_buckets)))
+            .otherwise(F.lit(0)).cast("int")).drop("_hot")
+        right = (right.join(flags, "_k", "left")
+                 .withColumn("_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salt_buckets - 1)))
+                                                .otherwise(F.array(F.lit(0)))))
+                 .drop("_hot"))
+        on = ["_k", "_salt"]
+    joined = left.join(right, on=on, how="left")
     return (joined.withColumns({lat_col: F.coalesce(F.col(lat_col), F.col("_g_lat")),
                                 lon_col: F.coalesce(F.col(lon_col), F.col("_g_lon"))})
-            .drop("_k", "_g_lat", "_g_lon"))
+            .drop("_k", "_salt", "_g_lat", "_g_lon"))
+
+
+def hot_keys(df: DataFrame, address: str | Column, min_rows: int, max_keys: int = 10000,
+             lat_col: str = "latitude", lon_col: str = "longitude", key_min_length: int = 5) -> DataFrame:
+    """Addresses needing a lookup that occur at least ``min_rows`` times.
+
+    A grouped count that combines map-side; at most ``max_keys`` of the most
+    frequent are kept so the list stays broadcastable. Keys left out are not
+    lost: they take the ordinary join path.
+    """
+    addr = F.col(address) if isinstance(address, str) else address
+    need = F.col(lat_col).isNull() | F.col(lon_col).isNull()
+    counts = (df.filter(need).select(address_key(addr, key_min_length).alias(KEY))
+              .filter(F.col(KEY).isNotNull()).groupBy(KEY).agg(F.count(F.lit(1)).alias("rows"))
+              .filter(F.col("rows") >= F.lit(min_rows)))
+    return counts.orderBy(F.col("rows").desc(), F.col(KEY)).limit(max_keys).select(KEY)
 
 
 Provider = Callable[[pd.Series], pd.DataFrame]

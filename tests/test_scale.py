@@ -24,8 +24,10 @@ def conf(spark, **kv):
 
 
 def skewed_transactions(spark, n=30000):
-    # a third of the rows share one address; half of all rows already have coordinates
+    # a third of the rows share one address; half of all rows already have coordinates;
+    # every row is its own record (a document id), as transactions are
     return spark.range(n).select(
+        F.col("id").cast("string").alias("doc"),
         F.when(F.col("id") % 3 == 0, F.lit("1 RUE HOT 75001 PARIS"))
          .otherwise(F.concat(F.col("id") % 997, F.lit(" RUE COLD 75001 PARIS"))).alias("addr"),
         F.when(F.col("id") % 2 == 0, F.lit(48.0)).alias("latitude"),
@@ -81,3 +83,24 @@ def test_silver_partitioned_by_year_prunes(spark, sf, tmp_ws):
     plan = one._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(annee" in plan
     assert one.count() > 0
+
+
+def test_explicit_salting_matches_and_spreads_the_hot_key(spark):
+    df = skewed_transactions(spark)
+    gaz = spark.range(997).select(F.concat(F.col("id"), F.lit(" RUE COLD 75001 PARIS")).alias("address"),
+                                  F.lit(49.0).alias("latitude"), F.lit(3.0).alias("longitude"),
+                                  F.lit(1.0).alias("score"))
+    gaz = gaz.unionByName(spark.createDataFrame([("1 RUE HOT 75001 PARIS", 47.0, 1.0, 1.0)],
+                                                "address string, latitude double, longitude double, score double"))
+    best = geo.best_candidates(gaz)
+    hot = geo.hot_keys(df, "addr", min_rows=1000)
+    assert [r.address_key for r in hot.collect()] == ["1 RUE HOT 75001 PARIS"]
+    with conf(spark, **{"spark.sql.autoBroadcastJoinThreshold": "-1",
+                        "spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "16"}):
+        plain = geo.fill_coordinates(df, best, "addr")
+        salted = geo.fill_coordinates(df, best, "addr", hot=hot, salt_buckets=8)
+        assert salted.exceptAll(plain).count() == 0 and salted.count() == plain.count() == 30000
+        # the hot key's rows now land in 8 different reducers
+        per_task = (salted.filter("latitude = 47.0")
+                    .groupBy(F.spark_partition_id().alias("p")).count().collect())
+        assert len(per_task) >= 4
