@@ -98,12 +98,18 @@ def test_binary_landing_keeps_bytes(spark, tmp_ws):
     assert bytes(row.content) == b"hello" and row.stem == "a"
 
 
-def test_landing_report_covers_many_batches(spark, tmp_ws):
-    for i in range(101):
-        fs.touch(spark, f"{tmp_ws}/many/f{i:03d}.txt", f"line {i}\n")
-    run = land(spark, f"{tmp_ws}/many", f"{tmp_ws}/mb", f"{tmp_ws}/mc", fmt="text",
-               max_files_per_trigger=1)
-    assert run.batches == 101 and run.rows == 101  # past the default 100 kept
+def test_landing_report_covers_more_batches_than_spark_keeps(spark, tmp_ws):
+    key = "spark.sql.streaming.numRecentProgressUpdates"
+    spark.conf.set(key, "3")  # Spark would keep only the last 3 progress reports
+    try:
+        for i in range(6):
+            fs.touch(spark, f"{tmp_ws}/many/f{i:03d}.txt", f"line {i}\n")
+        run = land(spark, f"{tmp_ws}/many", f"{tmp_ws}/mb", f"{tmp_ws}/mc", fmt="text",
+                   max_files_per_trigger=1)
+        assert run.batches == 6 and run.rows == 6
+        assert spark.conf.get(key) == "3"  # the session's setting is restored
+    finally:
+        spark.conf.unset(key)
 
 
 def test_refine_from_landed_bronze_equals_csv(spark, sf, tmp_ws):
