@@ -56,3 +56,15 @@ def test_delimited_with_declared_schema(spark, tmp_ws):
     assert [tuple(r) for r in df.collect()] == [("1", "2")]
     with pytest.raises(Exception):
         read_delimited(spark, f"{tmp_ws}/d", schema=all_strings(["y", "x"])).collect()
+
+
+def test_parquet_sink_file_count_and_partitions(spark, tmp_ws):
+    import glob as g
+    from medallion.session import local_path
+    df = spark.range(1000).selectExpr("id", "id % 3 AS part")
+    W.write_parquet(df, f"{tmp_ws}/few", files=2)
+    assert len(g.glob(local_path(f"{tmp_ws}/few") + "/part-*.parquet")) == 2
+    W.write_parquet(df, f"{tmp_ws}/byp", partition_by=["part"])
+    back = spark.read.parquet(f"{tmp_ws}/byp")
+    assert back.filter("part = 1").count() == 333
+    assert "PartitionFilters" in back.filter("part = 1")._jdf.queryExecution().executedPlan().toString()
