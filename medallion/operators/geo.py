@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from medallion import fs
 from medallion.functions.columns import address_key, split_get, to_double
 from medallion.operators.filters import complete
 from medallion.operators.names import find_column
@@ -174,24 +175,28 @@ def _resolve_batches(provider: Provider) -> Callable[[Iterator[pd.DataFrame]], I
 
 
 def resolve_with_provider(df: DataFrame, provider: Provider, address: str | Column,
-                          lat_col: str = "latitude", lon_col: str = "longitude") -> DataFrame:
+                          lat_col: str = "latitude", lon_col: str = "longitude",
+                          known: DataFrame | None = None) -> DataFrame:
     """Ask ``provider`` once per *distinct* address that needs coordinates.
 
     The distinct step combines map-side, so a repeated address costs one call;
-    calls are made batch-wise on the executors through Arrow.
+    calls are made batch-wise on the executors through Arrow. Addresses in
+    ``known`` (a table with ``address_key``) are not asked again.
     """
     ship_package(df.sparkSession)
     addr = F.col(address) if isinstance(address, str) else address
     need = F.col(lat_col).isNull() | F.col(lon_col).isNull()
     keys = (df.filter(need).select(address_key(addr).alias(KEY))
             .filter(F.col(KEY).isNotNull()).distinct())
+    if known is not None:
+        keys = keys.join(known.select(KEY), KEY, "left_anti")
     return keys.mapInPandas(_resolve_batches(provider),
                             schema=f"{KEY} string, latitude double, longitude double")
 
 
 def fill_by_provider(df: DataFrame, provider: Provider, address: str | Column,
                      lat_col: str = "latitude", lon_col: str = "longitude",
-                     resolved_path: str | None = None) -> DataFrame:
+                     resolved_path: str | None = None, cache_path: str | None = None) -> DataFrame:
     """Fill missing coordinates through ``provider`` (D1 + J1).
 
     The resolved addresses are written as a table first (``resolved_path``, by
@@ -199,11 +204,22 @@ def fill_by_provider(df: DataFrame, provider: Provider, address: str | Column,
     happens exactly once, a later stage failure does not call the provider
     again, and the lookup join gets the stored-table shape that AQE can
     split on a hot address.
+
+    With ``cache_path`` the answers persist across runs instead: addresses
+    found there are not asked again, and new answers with both coordinates
+    are appended (an address the provider could not place is asked again
+    next run).
     """
     spark = df.sparkSession
-    path = resolved_path or scratch(spark, "resolved-addresses")
-    write_parquet(resolve_with_provider(df, provider, address, lat_col, lon_col), path)
-    return fill_coordinates(df, spark.read.parquet(path), address, lat_col, lon_col)
+    if cache_path is None:
+        path = resolved_path or scratch(spark, "resolved-addresses")
+        write_parquet(resolve_with_provider(df, provider, address, lat_col, lon_col), path)
+        return fill_coordinates(df, spark.read.parquet(path), address, lat_col, lon_col)
+    known = spark.read.parquet(cache_path) if fs.exists(spark, f"{cache_path}/_SUCCESS") else None
+    fresh = resolve_with_provider(df, provider, address, lat_col, lon_col, known)
+    (fresh.filter(complete(["latitude", "longitude"]))
+     .write.mode("append").parquet(cache_path))
+    return fill_coordinates(df, spark.read.parquet(cache_path), address, lat_col, lon_col)
 
 
 # --- points of interest -------------------------------------------------------

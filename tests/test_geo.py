@@ -77,3 +77,25 @@ def test_point_extraction_outcomes(spark):
     binary = spark.sql("SELECT CAST('48.1, 2.2' AS BINARY) AS geo_point_2d")
     with pytest.raises(geo.UnsupportedPointType):
         geo.extract_points(binary, "B")
+
+
+def test_provider_cache_skips_known_addresses(spark, tmp_ws):
+    from pyspark.sql import functions as F
+
+    def provider(addresses: pd.Series) -> pd.DataFrame:
+        # marks each answer with the batch size, so a second ask would be visible
+        return pd.DataFrame({"latitude": [48.0] * len(addresses),
+                             "longitude": [float(len(addresses))] * len(addresses)})
+
+    def frame(addrs):
+        return spark.createDataFrame([(a,) for a in addrs], "addr string").select(
+            "addr", F.lit(None).cast("double").alias("latitude"), F.lit(None).cast("double").alias("longitude"))
+
+    cache = f"{tmp_ws}/cache"
+    first = geo.fill_by_provider(frame(["1 RUE A", "2 RUE B"]), provider, "addr", cache_path=cache)
+    assert first.filter("latitude IS NULL").count() == 0
+    second = geo.fill_by_provider(frame(["1 RUE A", "3 RUE C", "3 RUE C"]), provider, "addr", cache_path=cache)
+    got = {r.addr: r.longitude for r in second.collect()}
+    assert got["3 RUE C"] == 1.0          # only the new address was asked, alone
+    assert got["1 RUE A"] in (1.0, 2.0)   # answered from the first run
+    assert spark.read.parquet(cache).count() == 3
