@@ -641,8 +641,9 @@ SELECT 4 AS n_partitions, CAST(4 AS BIGINT) AS n_nonempty, count(*) AS n_rows FR
 def q_land_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch(spark, "landing")
     bronze, checkpoint = f"{root}/bronze", f"{root}/checkpoint"
+    fx.landing_stage(spark, sf_dir, root)
     for run in (1, 2, 3):
-        source = fx.landing_drop(spark, sf_dir, root, run)
+        source = fx.landing_drop(spark, root, run)
         land(spark, source, bronze, checkpoint, fmt="json", schema="doc_id bigint, text string")
     return spark.read.parquet(bronze).select("doc_id", "text")
 

@@ -338,25 +338,35 @@ def documents_text(spark: SparkSession, sf_dir: str) -> str:
 
 # --- C12: files arriving over several runs ---------------------------------------
 
-def landing_drop(spark: SparkSession, sf_dir: str, root: str, run: int) -> str:
-    """Put the files of landing run ``run`` (1, 2, 3) into ``<root>/source``.
+def landing_stage(spark: SparkSession, sf_dir: str, root: str) -> str:
+    """Write the files of all landing runs in one partitioned job.
 
-    Run r brings the documents with doc_id % 3 = r - 1 as JSON files named
-    ``run<r>-NNNNN.json``. Run 2 also rewrites the first file of run 1 under
-    the same name with altered texts, which landing must ignore.
+    Run r holds the documents with doc_id % 3 = r - 1 as JSON; part ``rewrite``
+    holds altered texts of run 1's documents, used to rewrite a run-1 file
+    under its own name. :func:`landing_drop` then only moves files.
     """
-    source_dir = f"{root}/source"
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    staging = f"{root}/_staging-{uuid.uuid4().hex[:10]}"
-    docs.filter(F.col("doc_id") % 3 == run - 1).write.json(staging)
-    for path in fs.glob(spark, f"{staging}/part-*.json"):
+    runs = docs.withColumn("_run", (F.col("doc_id") % 3 + 1).cast("string"))
+    rewrite = (docs.filter(F.col("doc_id") % 3 == 0)
+               .select("doc_id", F.upper("text").alias("text"), F.lit("rewrite").alias("_run")))
+    staging = f"{root}/_staging"
+    runs.unionByName(rewrite).write.partitionBy("_run").json(staging)
+    return staging
+
+
+def landing_drop(spark: SparkSession, root: str, run: int) -> str:
+    """Move the files of landing run ``run`` (1, 2, 3) into ``<root>/source``.
+
+    Files are named ``run<r>-NNNNN.json``. Run 2 also rewrites the first file
+    of run 1 under the same name with altered texts, which landing must ignore.
+    """
+    source_dir = f"{root}/source"
+    staging = f"{root}/_staging"
+    for path in fs.glob(spark, f"{staging}/_run={run}/part-*.json"):
         part = re.search(r"part-(\d+)", path.split("/")[-1]).group(1)
         fs.rename(spark, path, f"{source_dir}/run{run}-{part}.json")
     if run == 2:
-        rewrite = f"{root}/_rewrite-{uuid.uuid4().hex[:10]}"
-        (docs.filter(F.col("doc_id") % 3 == 0)
-         .select("doc_id", F.upper("text").alias("text")).write.json(rewrite))
         first = fs.glob(spark, f"{source_dir}/run1-*.json")[0]
-        src = fs.glob(spark, f"{rewrite}/part-*.json")[0]
+        src = fs.glob(spark, f"{staging}/_run=rewrite/part-*.json")[0]
         fs.rename(spark, src, first, overwrite=True)
     return source_dir

@@ -78,8 +78,9 @@ def test_landing_once_per_name(spark, sf, tmp_ws):
     bronze, ckpt = f"{tmp_ws}/bronze", f"{tmp_ws}/ckpt"
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     total = 0
+    fx.landing_stage(spark, sf, tmp_ws)
     for run in (1, 2, 3):
-        src = fx.landing_drop(spark, sf, tmp_ws, run)
+        src = fx.landing_drop(spark, tmp_ws, run)
         total += land(spark, src, bronze, ckpt, fmt="json", schema="doc_id bigint, text string").rows
     assert total == docs.count()
     # a fourth run over the same folder, including the rewritten file, lands nothing
