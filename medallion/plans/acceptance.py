@@ -461,11 +461,10 @@ UNION ALL SELECT 'dm_without_points', 'region_nocoords', 'Région', 'no_coordina
 def q_refine_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = fx.messy_names(spark, sf_dir)
     out = scratch(spark, "silver")
-    parquet = [(ds, f"{names}/{ds}.parquet", "parquet")
+    sources = [(ds, f"{names}/{ds}.parquet", "parquet")
                for ds in ("part_names", "part_collision", "region", "absent")]
-    status = run_refine_batch(spark, parquet, out)
-    stations = run_refine_batch(spark, [("stations", fx.stations_csv(spark, sf_dir), "csv")], out)
-    return status.unionByName(stations).select("dataset", "status", "columns", "n_rows")
+    sources.append(("stations", fx.stations_csv(spark, sf_dir), "csv"))
+    return run_refine_batch(spark, sources, out).select("dataset", "status", "columns", "n_rows")
 
 
 ORACLE_REFINE_BATCH = """

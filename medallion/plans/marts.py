@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import functools
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -158,14 +159,15 @@ MART_STATUS_SCHEMA = "mart string, dataset string, categorie string, status stri
 
 
 def run_marts(spark: SparkSession, catalogue: Mapping[str, Sequence[tuple[str, str]]],
-              path_of, out_root: str, read=None) -> DataFrame:
+              path_of, out_root: str, read=None, max_parallel: int = 4) -> DataFrame:
     """Build and write every mart of ``catalogue``; return one status row per source.
 
     A mart with no usable source is not written; a mart whose sources are all
-    empty is still written (empty), as before. Marts are independent jobs.
+    empty is still written (empty), as before. Marts are independent jobs,
+    submitted from up to ``max_parallel`` threads.
     """
-    rows = []
-    for mart, entries in catalogue.items():
+    def one(item) -> list[tuple]:
+        mart, entries = item
         df, statuses, observations = build_mart(spark, mart, entries, path_of, read)
         counts: dict[int, int] = {}
         if df is not None:
@@ -176,8 +178,10 @@ def run_marts(spark: SparkSession, catalogue: Mapping[str, Sequence[tuple[str, s
             except Exception as e:  # noqa: BLE001 - run-time failure of the mart job
                 for i, _ in observations:
                     statuses[i].status, statuses[i].message = "error", str(e).splitlines()[0][:200]
-        for i, s in enumerate(statuses):
-            rows.append((s.mart, s.dataset, s.categorie, s.status, counts.get(i)))
+        return [(s.mart, s.dataset, s.categorie, s.status, counts.get(i)) for i, s in enumerate(statuses)]
+
+    with ThreadPoolExecutor(max_workers=max(1, max_parallel)) as pool:
+        rows = [r for part in pool.map(one, catalogue.items()) for r in part]
     return spark.createDataFrame(rows, MART_STATUS_SCHEMA)
 
 

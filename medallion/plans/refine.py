@@ -8,6 +8,7 @@ per-dataset status.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -145,13 +146,19 @@ def refine_one(spark: SparkSession, dataset: str, path: str, fmt: str, out_path:
 
 
 def run_refine_batch(spark: SparkSession, sources: Sequence[tuple[str, str, str]],
-                     out_root: str, keep_hyphen: bool = False) -> DataFrame:
+                     out_root: str, keep_hyphen: bool = False, max_parallel: int = 4) -> DataFrame:
     """Refine every ``(dataset, path, format)``; one failure does not stop the rest.
 
-    Returns the status table; its rows are few (one per dataset).
+    Datasets are independent jobs, submitted from up to ``max_parallel``
+    threads so that small ones do not leave executors idle. Returns the status
+    table, one row per dataset, in input order.
     """
-    rows = [refine_one(spark, ds, path, fmt, f"{out_root.rstrip('/')}/{ds}.parquet", keep_hyphen)
-            for ds, path, fmt in sources]
+    def one(src: tuple[str, str, str]) -> tuple:
+        ds, path, fmt = src
+        return refine_one(spark, ds, path, fmt, f"{out_root.rstrip('/')}/{ds}.parquet", keep_hyphen)
+
+    with ThreadPoolExecutor(max_workers=max(1, max_parallel)) as pool:
+        rows = list(pool.map(one, sources))
     return spark.createDataFrame(rows, STATUS_SCHEMA)
 
 
