@@ -21,7 +21,7 @@ from medallion.operators import geo
 from medallion.operators.metrics import observed
 from medallion.plans.marts import (PARIS_MARTS, PARIS_SILVER_PARQUET, PARIS_STATIONS_CSV, PRICE_MART,
                                    paris_path_of, price_mart, run_marts)
-from medallion.plans.refine import (ADDRESS_PARTS, CITY_SUFFIX, STATUS_SCHEMA, RefineReport, refine_one,
+from medallion.plans.refine import (ADDRESS_PARTS, CITY_SUFFIX, RefineReport, run_refine_batch,
                                     run_refine_transactions, transactions_needing_fill)
 from medallion.sinks.writers import write_parquet
 from medallion.sources.readers import read_delimited
@@ -42,7 +42,7 @@ def silver_job(spark: SparkSession, data_root: str, gazetteer: DataFrame | None
                datasets: Sequence[str] = PARIS_SILVER_PARQUET,
                stations: str | None = PARIS_STATIONS_CSV,
                transactions_glob: str = TRANSACTIONS_GLOB,
-               transactions: DataFrame | None = None) -> SilverResult:
+               transactions: DataFrame | None = None, max_parallel: int = 4) -> SilverResult:
     """All silver refinements. ``gazetteer`` (address, latitude, longitude,
     score) fills missing coordinates by join; ``provider`` (a batch function,
     see ``geo.resolve_with_provider``) is the alternative for an external
@@ -63,14 +63,9 @@ def silver_job(spark: SparkSession, data_root: str, gazetteer: DataFrame | None
             best = geo.resolve_with_provider(need, provider, "_addr")
         report = run_refine_transactions(spark, source, best, f"{root}/silver/{TRANSACTIONS_SILVER}.parquet",
                                          code=code, years=years)
-    rows = []
-    if stations:
-        rows.append(refine_one(spark, stations, f"{root}/{stations}/{stations}.csv", "csv",
-                               f"{root}/silver/{stations}.parquet"))
-    for ds in datasets:
-        rows.append(refine_one(spark, ds, f"{root}/{ds}/{ds}.parquet", "parquet",
-                               f"{root}/silver/{ds}.parquet"))
-    return SilverResult(report, spark.createDataFrame(rows, STATUS_SCHEMA))
+    sources = [(stations, f"{root}/{stations}/{stations}.csv", "csv")] if stations else []
+    sources += [(ds, f"{root}/{ds}/{ds}.parquet", "parquet") for ds in datasets]
+    return SilverResult(report, run_refine_batch(spark, sources, f"{root}/silver", max_parallel=max_parallel))
 
 
 def gold_job(spark: SparkSession, data_root: str,
