@@ -13,6 +13,14 @@ import sys
 from medallion.session import build_session
 
 
+def _load(ref: str):
+    """``module:function`` to the function."""
+    import importlib
+
+    module, _, name = ref.partition(":")
+    return getattr(importlib.import_module(module), name)
+
+
 def main(argv: list[str] | None = None, spark=None) -> int:
     """Run one job; a given ``spark`` session is used and left running."""
     p = argparse.ArgumentParser(prog="medallion")
@@ -24,6 +32,9 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     s.add_argument("--years", default="2021-2025")
     s.add_argument("--place", default="75")
     s.add_argument("--bronze-transactions", help="landed Parquet table to refine instead of the CSV files")
+    s.add_argument("--provider", help="module:function taking a pandas Series of addresses and returning "
+                                      "a DataFrame with latitude and longitude (used when no gazetteer)")
+    s.add_argument("--provider-cache", help="Parquet folder keeping provider answers across runs")
     g = sub.add_parser("gold", help="build the marts into <root>/gold")
     g.add_argument("--data-root", required=True)
     g.add_argument("--strict-decimal", action="store_true", help="a decimal comma makes the price NULL")
@@ -32,6 +43,9 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     la.add_argument("--bronze", required=True)
     la.add_argument("--checkpoint", required=True)
     la.add_argument("--format", default="binaryFile")
+    la.add_argument("--schema", help="DDL schema for parsed formats, e.g. 'doc_id bigint, text string'")
+    la.add_argument("--option", action="append", default=[], metavar="KEY=VALUE",
+                    help="reader option, repeatable (e.g. header=true)")
     w = sub.add_parser("wordcount", help="word count of text files")
     w.add_argument("--input", required=True)
     w.add_argument("--output", required=True)
@@ -49,8 +63,9 @@ def main(argv: list[str] | None = None, spark=None) -> int:
         first, last = (int(x) for x in a.years.split("-"))
         gaz = spark.read.parquet(a.gazetteer) if a.gazetteer else None
         tx = spark.read.parquet(a.bronze_transactions) if a.bronze_transactions else None
-        res = silver_job(spark, a.data_root, gazetteer=gaz, code=a.place, years=(first, last),
-                         transactions=tx)
+        provider = _load(a.provider) if a.provider else None
+        res = silver_job(spark, a.data_root, gazetteer=gaz, provider=provider, code=a.place,
+                         years=(first, last), transactions=tx, provider_cache=a.provider_cache)
         if res.transactions:
             print(json.dumps(res.transactions.__dict__))
         res.status.show(100, truncate=False)
@@ -59,7 +74,9 @@ def main(argv: list[str] | None = None, spark=None) -> int:
         gold_job(spark, a.data_root, decimal_sep=None if a.strict_decimal else ",").show(100, truncate=False)
     elif a.job == "land":
         from medallion.streaming.landing import land
-        print(json.dumps(land(spark, a.source, a.bronze, a.checkpoint, fmt=a.format).__dict__))
+        options = dict(o.split("=", 1) for o in a.option)
+        run = land(spark, a.source, a.bronze, a.checkpoint, fmt=a.format, schema=a.schema, options=options)
+        print(json.dumps(run.__dict__))
     elif a.job == "wordcount":
         from medallion.operators.text import word_count
         from medallion.sinks.writers import write_text

@@ -194,16 +194,15 @@ def resolve_with_provider(df: DataFrame, provider: Provider, address: str | Colu
                             schema=f"{KEY} string, latitude double, longitude double")
 
 
-def fill_by_provider(df: DataFrame, provider: Provider, address: str | Column,
-                     lat_col: str = "latitude", lon_col: str = "longitude",
-                     resolved_path: str | None = None, cache_path: str | None = None) -> DataFrame:
-    """Fill missing coordinates through ``provider`` (D1 + J1).
+def provider_table(df: DataFrame, provider: Provider, address: str | Column,
+                   lat_col: str = "latitude", lon_col: str = "longitude",
+                   resolved_path: str | None = None, cache_path: str | None = None) -> DataFrame:
+    """Provider answers for the addresses of ``df`` as a stored table.
 
-    The resolved addresses are written as a table first (``resolved_path``, by
-    default a fresh folder in the shared workspace): every provider call
-    happens exactly once, a later stage failure does not call the provider
-    again, and the lookup join gets the stored-table shape that AQE can
-    split on a hot address.
+    Written once (``resolved_path``, by default a fresh folder in the shared
+    workspace): every provider call happens exactly once, a later stage
+    failure does not call the provider again, and a lookup join against it
+    has the stored-table shape that AQE can split on a hot address.
 
     With ``cache_path`` the answers persist across runs instead: addresses
     found there are not asked again, and new answers with both coordinates
@@ -214,12 +213,19 @@ def fill_by_provider(df: DataFrame, provider: Provider, address: str | Column,
     if cache_path is None:
         path = resolved_path or scratch(spark, "resolved-addresses")
         write_parquet(resolve_with_provider(df, provider, address, lat_col, lon_col), path)
-        return fill_coordinates(df, spark.read.parquet(path), address, lat_col, lon_col)
+        return spark.read.parquet(path)
     known = spark.read.parquet(cache_path) if fs.exists(spark, f"{cache_path}/_SUCCESS") else None
     fresh = resolve_with_provider(df, provider, address, lat_col, lon_col, known)
-    (fresh.filter(complete(["latitude", "longitude"]))
-     .write.mode("append").parquet(cache_path))
-    return fill_coordinates(df, spark.read.parquet(cache_path), address, lat_col, lon_col)
+    fresh.filter(complete(["latitude", "longitude"])).write.mode("append").parquet(cache_path)
+    return spark.read.parquet(cache_path)
+
+
+def fill_by_provider(df: DataFrame, provider: Provider, address: str | Column,
+                     lat_col: str = "latitude", lon_col: str = "longitude",
+                     resolved_path: str | None = None, cache_path: str | None = None) -> DataFrame:
+    """Fill missing coordinates through ``provider`` (D1 + J1); see :func:`provider_table`."""
+    answers = provider_table(df, provider, address, lat_col, lon_col, resolved_path, cache_path)
+    return fill_coordinates(df, answers, address, lat_col, lon_col)
 
 
 # --- points of interest -------------------------------------------------------

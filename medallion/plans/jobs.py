@@ -42,7 +42,8 @@ def silver_job(spark: SparkSession, data_root: str, gazetteer: DataFrame | None
                datasets: Sequence[str] = PARIS_SILVER_PARQUET,
                stations: str | None = PARIS_STATIONS_CSV,
                transactions_glob: str = TRANSACTIONS_GLOB,
-               transactions: DataFrame | None = None, max_parallel: int = 4) -> SilverResult:
+               transactions: DataFrame | None = None, max_parallel: int = 4,
+               provider_cache: str | None = None) -> SilverResult:
     """All silver refinements. ``gazetteer`` (address, latitude, longitude,
     score) fills missing coordinates by join; ``provider`` (a batch function,
     see ``geo.resolve_with_provider``) is the alternative for an external
@@ -60,7 +61,9 @@ def silver_job(spark: SparkSession, data_root: str, gazetteer: DataFrame | None
             raw = transactions if transactions is not None else read_delimited(spark, glob, sep=";")
             need = transactions_needing_fill(raw, code, years)
             need = need.withColumn("_addr", full_address(list(ADDRESS_PARTS), CITY_SUFFIX))
-            best = geo.resolve_with_provider(need, provider, "_addr")
+            best = geo.provider_table(need, provider, "_addr",
+                                      resolved_path=f"{root}/silver/_resolved_addresses.parquet",
+                                      cache_path=provider_cache)
         report = run_refine_transactions(spark, source, best, f"{root}/silver/{TRANSACTIONS_SILVER}.parquet",
                                          code=code, years=years)
     sources = [(stations, f"{root}/{stations}/{stations}.csv", "csv")] if stations else []

@@ -43,3 +43,18 @@ def test_silver_then_gold(spark, sf, tmp_ws):
     assert set(r.categorie for r in transport.select("categorie").distinct().collect()) == {
         "Station Vélib", "Gare / Station"}
     assert not spark.catalog.tableExists("dm_culture_loisir")
+
+
+def test_silver_with_provider_from_cli(spark, sf, tmp_ws, capsys):
+    from medallion.__main__ import main
+    root = f"{tmp_ws}/data"
+    lay_out(spark, sf, root)
+    rc = main(["silver", "--data-root", root, "--years", "1996-1998",
+               "--provider", "medallion.plans.acceptance:geocode_provider",
+               "--provider-cache", f"{tmp_ws}/cache"], spark=spark)
+    assert rc == 0
+    out = capsys.readouterr().out
+    assert '"rows": 27' in out
+    assert spark.read.parquet(f"{tmp_ws}/cache").count() > 0
+    silver = spark.read.parquet(f"{root}/silver/dvf_paris_2021_2025.parquet")
+    assert silver.count() == 27 and silver.filter("latitude IS NOT NULL").count() > 9
