@@ -84,7 +84,7 @@ def _lookup_key(address: Column, lat_col: str, lon_col: str) -> Column:
 def fill_coordinates(df: DataFrame, best: DataFrame, address: str | Column,
                      lat_col: str = "latitude", lon_col: str = "longitude",
                      key_min_length: int = 5, hot: DataFrame | None = None,
-                     salt_buckets: int = 16) -> DataFrame:
+                     salt_buckets: int = 16, split_complete: bool = False) -> DataFrame:
     """Fill missing coordinates from a one-row-per-key table.
 
     Existing values are kept; each coordinate is filled on its own with
@@ -101,7 +101,17 @@ def fill_coordinates(df: DataFrame, best: DataFrame, address: str | Column,
     the same with or without salting. The salt is a hash of the row, so a
     re-run task sends every row to the same bucket again; rows that are
     identical in every column share a bucket.
+
+    ``split_complete`` joins only the rows that lack a coordinate and adds the
+    complete rows back by union: a shuffled join then never moves complete
+    rows, at the price of reading the input twice (worth it for a columnar
+    input where most rows are complete).
     """
+    if split_complete:
+        need = F.col(lat_col).isNull() | F.col(lon_col).isNull()
+        todo = fill_coordinates(df.filter(need), best, address, lat_col, lon_col, key_min_length,
+                                hot, salt_buckets)
+        return todo.unionByName(df.filter(~need))
     addr = F.col(address) if isinstance(address, str) else address
     key = _lookup_key(address_key(addr, key_min_length), lat_col, lon_col)
     right = (best.filter(~F.col(KEY).startswith("\u0000"))

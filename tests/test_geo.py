@@ -99,3 +99,15 @@ def test_provider_cache_skips_known_addresses(spark, tmp_ws):
     assert got["3 RUE C"] == 1.0          # only the new address was asked, alone
     assert got["1 RUE A"] in (1.0, 2.0)   # answered from the first run
     assert spark.read.parquet(cache).count() == 3
+
+
+def test_split_complete_gives_the_same_rows(spark):
+    rows = [("1 RUE A 75001 PARIS", None, None), ("1 RUE A 75001 PARIS", 40.0, None),
+            ("9 RUE Z 75001 PARIS", None, None), ("1 RUE A 75001 PARIS", 41.0, 3.0)]
+    df = spark.createDataFrame(rows, "addr string, latitude double, longitude double")
+    b = geo.best_candidates(spark.createDataFrame([("1 RUE A 75001 PARIS", 48.0, 2.0, 1.0)], GAZ))
+    one = geo.fill_coordinates(df, b, "addr")
+    two = geo.fill_coordinates(df, b, "addr", split_complete=True)
+    assert sorted(map(tuple, one.collect()), key=str) == sorted(map(tuple, two.collect()), key=str)
+    plan = two._jdf.queryExecution().executedPlan().toString()
+    assert "Union" in plan
