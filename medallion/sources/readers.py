@@ -87,7 +87,8 @@ def literal_rows(spark: SparkSession, rows: Iterable[Sequence], schema: StructTy
 
 def read_text(spark: SparkSession, path: str, whole_file: bool = False) -> DataFrame:
     """Text lines (S10): one row per line in column ``value``, or one per file."""
-    return spark.read.option("wholetext", str(whole_file).lower()).text(path)
+    # text() has its own ``wholetext`` argument, which would override an option
+    return spark.read.text(path, wholetext=whole_file)
 
 
 def all_strings(columns: Sequence[str]) -> StructType:
