@@ -60,3 +60,12 @@ def qualify(spark: SparkSession, path: str) -> str:
     """Fully qualified form (``file:/…``, ``hdfs://…``) used to compare paths."""
     fs, p = _fs(spark, path)
     return str(fs.makeQualified(p).toString()).rstrip("/")
+
+
+def total_bytes(spark: SparkSession, paths: list[str]) -> int:
+    """Sum of the sizes of ``paths`` (files or folders), from metadata only."""
+    total = 0
+    for path in paths:
+        fs, p = _fs(spark, path)
+        total += int(fs.getContentSummary(p).getLength())
+    return total

@@ -65,6 +65,28 @@ def prepare_best_candidates(gazetteer: DataFrame, path: str, **cols: str) -> Dat
     return gazetteer.sparkSession.read.parquet(path)
 
 
+def _to_bytes(text: str) -> int:
+    units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20,
+             "g": 1 << 30, "gb": 1 << 30, "t": 1 << 40, "tb": 1 << 40}
+    t = text.strip().lower()
+    num = t.rstrip("kmgtb")
+    return int(float(num) * units.get(t[len(num):] or "b", 1))
+
+
+def broadcastable(best: DataFrame) -> bool:
+    """Whether a stored table is under the session's broadcast limit.
+
+    Measured from the sizes of its files (metadata only), the same bound the
+    planner applies; a limit of -1 means never.
+    """
+    spark = best.sparkSession
+    limit = _to_bytes(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10m"))
+    if limit < 0:
+        return False
+    files = best.inputFiles()
+    return bool(files) and fs.total_bytes(spark, list(files)) <= limit
+
+
 def _lookup_key(address: Column, lat_col: str, lon_col: str) -> Column:
     """Join key: the normalised address for rows that need a lookup.
 

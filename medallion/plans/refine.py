@@ -38,13 +38,13 @@ DATE_FORMAT = "dd/MM/yyyy"
 def refine_transactions(raw: DataFrame, best: DataFrame | None, code: str = "75",
                         years: tuple[int, int] = (2021, 2025),
                         address_min_length: int | None = None,
-                        need_flag: str | None = None) -> DataFrame:
+                        need_flag: str | None = None, split_complete: bool = False) -> DataFrame:
     """Place and year filters, address, coordinate fill, clean names (Q1).
 
     ``best`` is a one-row-per-address table (``geo.best_candidates``) or any
     table with ``address_key, latitude, longitude``; ``None`` skips the fill.
     ``need_flag`` names a boolean column marking rows that lacked a coordinate
-    before the fill.
+    before the fill. ``split_complete`` is passed to ``geo.fill_coordinates``.
     """
     df = raw.filter(place_predicate(DEPT_COL, POSTCODE_COL, code))
     df = df.withColumn(PARSED_DATE_COL, parse_date(DATE_COL, DATE_FORMAT))
@@ -56,7 +56,7 @@ def refine_transactions(raw: DataFrame, best: DataFrame | None, code: str = "75"
     if need_flag:
         df = df.withColumn(need_flag, incomplete(["latitude", "longitude"]))
     if best is not None:
-        df = geo.fill_coordinates(df, best, ADDRESS_COL)
+        df = geo.fill_coordinates(df, best, ADDRESS_COL, split_complete=split_complete)
     df = df.drop(ADDRESS_COL)
     return clean_column_names(df, keep_hyphen=True)
 
@@ -83,7 +83,8 @@ def run_refine_transactions(spark: SparkSession, raw_glob: str | DataFrame, best
                             out_path: str, code: str = "75",
                             years: tuple[int, int] = (2021, 2025),
                             partition_by_year: bool = False,
-                            schema: StructType | None = None) -> RefineReport:
+                            schema: StructType | None = None,
+                            split_complete: bool | None = None) -> RefineReport:
     """Read the CSV set, refine and write silver Parquet (Q1, A2, K1).
 
     The count of rows needing a fill is observed during the write: one pass
@@ -96,12 +97,20 @@ def run_refine_transactions(spark: SparkSession, raw_glob: str | DataFrame, best
     ``raw_glob`` may also be a DataFrame, e.g. the bronze Parquet table that
     landing wrote from the CSV files: the text is then parsed once, at
     landing, and the refinement reads columns with pushdown.
+    ``split_complete`` (see ``geo.fill_coordinates``) is chosen when left as
+    ``None``: rows that already have coordinates bypass the lookup join when
+    the input is a table (cheap to read twice) and the reference table is too
+    large to broadcast, so a shuffled join moves only the rows it needs.
     """
     if isinstance(raw_glob, DataFrame):
         raw, sources = raw_glob.drop("source_file", "stem"), []
     else:
         raw, sources = read_delimited(spark, raw_glob, sep=";", schema=schema), [raw_glob]
-    df = refine_transactions(raw, best, code, years, need_flag="_need_fill")
+    if split_complete is None:
+        split_complete = (best is not None and isinstance(raw_glob, DataFrame)
+                          and not geo.broadcastable(best))
+    df = refine_transactions(raw, best, code, years, need_flag="_need_fill",
+                             split_complete=split_complete)
     df, obs = observed(df, "refine_transactions", rows=F.count(F.lit(1)),
                        missing=F.count_if(F.col("_need_fill")),
                        unresolved=F.count_if(incomplete(["latitude", "longitude"])))

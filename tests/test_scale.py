@@ -104,3 +104,22 @@ def test_explicit_salting_matches_and_spreads_the_hot_key(spark):
         per_task = (salted.filter("latitude = 47.0")
                     .groupBy(F.spark_partition_id().alias("p")).count().collect())
         assert len(per_task) >= 4
+
+
+def test_refine_from_table_splits_complete_rows_when_reference_is_large(spark, sf, tmp_ws):
+    from medallion.operators import geo as G
+    from medallion.plans import acceptance as A
+    from medallion.plans.refine import run_refine_transactions
+    best = A.best_gazetteer(spark, sf)
+    assert G.broadcastable(best)
+    table = A.transactions_raw(spark, sf)
+    table.write.parquet(f"{tmp_ws}/bronze")
+    bronze = spark.read.parquet(f"{tmp_ws}/bronze")
+    small = run_refine_transactions(spark, bronze, best, f"{tmp_ws}/a", years=A.YEARS)
+    with conf(spark, **{"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        assert not G.broadcastable(best)
+        large = run_refine_transactions(spark, bronze, best, f"{tmp_ws}/b", years=A.YEARS)
+    assert (small.rows, small.missing_coordinates, small.unresolved) == \
+           (large.rows, large.missing_coordinates, large.unresolved)
+    a, b = spark.read.parquet(f"{tmp_ws}/a"), spark.read.parquet(f"{tmp_ws}/b")
+    assert a.exceptAll(b.select(*a.columns)).count() == 0 and a.count() == b.count()
