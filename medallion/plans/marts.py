@@ -144,8 +144,8 @@ def build_mart(spark: SparkSession, mart: str, entries: Sequence[tuple[str, str]
         except UnsupportedPointType as e:
             statuses.append(SourceStatus(mart, dataset, label, "unsupported_type", str(e)))
             continue
-        except Exception as e:  # noqa: BLE001 - missing file, unreadable footer
-            statuses.append(SourceStatus(mart, dataset, label, "missing", str(e).splitlines()[0][:200]))
+        except Exception as e:  # noqa: BLE001 - unreadable footer, bad files
+            statuses.append(SourceStatus(mart, dataset, label, "unreadable", str(e).splitlines()[0][:200]))
             continue
         pts, obs = observed(pts, f"{mart}:{dataset}:{label}", rows=F.count(F.lit(1)))
         frames.append(pts)

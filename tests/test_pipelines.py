@@ -128,3 +128,9 @@ def test_refine_from_landed_bronze_equals_csv(spark, sf, tmp_ws):
            (from_csv.rows, from_csv.missing_coordinates, from_csv.unresolved)
     a, b = spark.read.parquet(f"{tmp_ws}/a"), spark.read.parquet(f"{tmp_ws}/b")
     assert a.exceptAll(b.select(*a.columns)).count() == 0 and b.count() == a.count()
+
+
+def test_unreadable_source_is_reported(spark, tmp_ws):
+    fs.touch(spark, f"{tmp_ws}/bad.parquet/part-0.parquet", "not parquet at all")
+    df, statuses, _ = build_mart(spark, "m", [("bad", "X")], lambda d: f"{tmp_ws}/{d}.parquet")
+    assert df is None and statuses[0].status == "unreadable"
