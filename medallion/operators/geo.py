@@ -106,7 +106,8 @@ def _lookup_key(address: Column, lat_col: str, lon_col: str) -> Column:
 def fill_coordinates(df: DataFrame, best: DataFrame, address: str | Column,
                      lat_col: str = "latitude", lon_col: str = "longitude",
                      key_min_length: int = 5, hot: DataFrame | None = None,
-                     salt_buckets: int = 16, split_complete: bool = False) -> DataFrame:
+                     salt_buckets: int = 16, split_complete: bool = False,
+                     max_hot_keys: int = 10000) -> DataFrame:
     """Fill missing coordinates from a one-row-per-key table.
 
     Existing values are kept; each coordinate is filled on its own with
@@ -132,7 +133,7 @@ def fill_coordinates(df: DataFrame, best: DataFrame, address: str | Column,
     if split_complete:
         need = F.col(lat_col).isNull() | F.col(lon_col).isNull()
         todo = fill_coordinates(df.filter(need), best, address, lat_col, lon_col, key_min_length,
-                                hot, salt_buckets)
+                                hot, salt_buckets, max_hot_keys=max_hot_keys)
         return todo.unionByName(df.filter(~need))
     addr = F.col(address) if isinstance(address, str) else address
     key = _lookup_key(address_key(addr, key_min_length), lat_col, lon_col)
@@ -142,8 +143,9 @@ def fill_coordinates(df: DataFrame, best: DataFrame, address: str | Column,
     left = df.withColumn("_k", key)
     on = ["_k"]
     if hot is not None:
-        # The hot list is bounded by construction, so broadcasting it is safe.
-        flags = F.broadcast(hot.select(F.col(KEY).alias("_k")).distinct()
+        # Broadcast a capped list; keys past the cap take the ordinary path,
+        # which gives the same rows, so the cap never changes a result.
+        flags = F.broadcast(hot.select(F.col(KEY).alias("_k")).distinct().limit(max_hot_keys)
                             .withColumn("_hot", F.lit(True)))
         left = left.join(flags, "_k", "left")
         left = left.withColumn("_salt", F.when(
