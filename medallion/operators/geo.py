@@ -144,8 +144,11 @@ def fill_coordinates(df: DataFrame, best: DataFrame, address: str | Column,
     on = ["_k"]
     if hot is not None:
         # Broadcast a capped list; keys past the cap take the ordinary path,
-        # which gives the same rows, so the cap never changes a result.
-        flags = F.broadcast(hot.select(F.col(KEY).alias("_k")).distinct().limit(max_hot_keys)
+        # which gives the same rows, so the cap never changes a result. The
+        # cap is ordered so both join sides, which each read the list, keep
+        # exactly the same keys.
+        flags = F.broadcast(hot.select(F.col(KEY).alias("_k")).distinct()
+                            .orderBy("_k").limit(max_hot_keys)
                             .withColumn("_hot", F.lit(True)))
         left = left.join(flags, "_k", "left")
         left = left.withColumn("_salt", F.when(

@@ -123,3 +123,15 @@ def test_refine_from_table_splits_complete_rows_when_reference_is_large(spark, s
            (large.rows, large.missing_coordinates, large.unresolved)
     a, b = spark.read.parquet(f"{tmp_ws}/a"), spark.read.parquet(f"{tmp_ws}/b")
     assert a.exceptAll(b.select(*a.columns)).count() == 0 and a.count() == b.count()
+
+
+def test_salting_with_capped_hot_list_is_exact(spark):
+    df = skewed_transactions(spark, n=3000)
+    gaz = spark.range(997).select(F.concat(F.col("id"), F.lit(" RUE COLD 75001 PARIS")).alias("address"),
+                                  F.lit(49.0).alias("latitude"), F.lit(3.0).alias("longitude"),
+                                  F.lit(1.0).alias("score"))
+    best = geo.best_candidates(gaz)
+    hot = geo.hot_keys(df, "addr", min_rows=1)            # hundreds of keys
+    plain = geo.fill_coordinates(df, best, "addr")
+    capped = geo.fill_coordinates(df, best, "addr", hot=hot, salt_buckets=4, max_hot_keys=7)
+    assert capped.exceptAll(plain).count() == 0 and plain.exceptAll(capped).count() == 0
