@@ -117,8 +117,8 @@ def fill_coordinates(df: DataFrame, best: DataFrame, address: str | Column,
     :func:`prepare_best_candidates`): then a hot address is split across
     tasks by AQE's skew-join handling when the join is shuffled.
 
-    ``hot`` (one column ``address_key``, a bounded list such as
-    :func:`hot_keys` returns) salts explicitly, without relying on AQE: the
+    ``hot`` (one column ``address_key``, a deterministic list such as
+    :func:`hot_keys` returns or a stored table) salts explicitly, without relying on AQE: the
     rows of a hot key are spread over ``salt_buckets`` join keys and only that
     key's reference row is repeated ``salt_buckets`` times. Results are
     the same with or without salting. The salt is a hash of the row, so a
