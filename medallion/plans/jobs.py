@@ -22,7 +22,7 @@ from medallion.operators.metrics import observed
 from medallion.plans.marts import (PARIS_MARTS, PARIS_SILVER_PARQUET, PARIS_STATIONS_CSV, PRICE_MART,
                                    paris_path_of, price_mart, run_marts)
 from medallion.plans.refine import (ADDRESS_PARTS, CITY_SUFFIX, RefineReport, run_refine_batch,
-                                    run_refine_transactions, transactions_needing_fill)
+                                    run_refine_transactions, stage_transactions, transactions_needing_fill)
 from medallion.sinks.writers import write_parquet
 from medallion.sources.readers import read_delimited
 
@@ -59,7 +59,10 @@ def silver_job(spark: SparkSession, data_root: str, gazetteer: DataFrame | None
     if source is not None:
         if best is None and provider is not None:
             raw = transactions if transactions is not None else read_delimited(spark, glob, sep=";")
-            need = transactions_needing_fill(raw, code, years)
+            # one scan of the full input; both steps below read the filtered slice
+            source = stage_transactions(raw.drop("source_file", "stem"),
+                                        f"{root}/silver/_staged_transactions.parquet", code, years)
+            need = transactions_needing_fill(source, code, years)
             need = need.withColumn("_addr", full_address(list(ADDRESS_PARTS), CITY_SUFFIX))
             best = geo.provider_table(need, provider, "_addr",
                                       resolved_path=f"{root}/silver/_resolved_addresses.parquet",

@@ -61,6 +61,22 @@ def refine_transactions(raw: DataFrame, best: DataFrame | None, code: str = "75"
     return clean_column_names(df, keep_hyphen=True)
 
 
+def stage_transactions(raw: DataFrame, path: str, code: str = "75",
+                       years: tuple[int, int] = (2021, 2025)) -> DataFrame:
+    """Write the rows that pass the place and year filters, raw columns only,
+    and read them back.
+
+    Used when two steps need the same rows (provider answers first, then the
+    refinement): the full input is scanned once, and the second step reads a
+    slice that is typically a few percent of it. The refinement applies the
+    same filters again, which keeps every staged row.
+    """
+    df = raw.filter(place_predicate(DEPT_COL, POSTCODE_COL, code))
+    df = df.filter(year_between(parse_date(DATE_COL, DATE_FORMAT), *years))
+    write_parquet(df, path)
+    return raw.sparkSession.read.parquet(path)
+
+
 def transactions_needing_fill(raw: DataFrame, code: str = "75",
                               years: tuple[int, int] = (2021, 2025)) -> DataFrame:
     """The rows a coordinate lookup is needed for (F3, first branch)."""
