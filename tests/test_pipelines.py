@@ -134,3 +134,14 @@ def test_unreadable_source_is_reported(spark, tmp_ws):
     fs.touch(spark, f"{tmp_ws}/bad.parquet/part-0.parquet", "not parquet at all")
     df, statuses, _ = build_mart(spark, "m", [("bad", "X")], lambda d: f"{tmp_ws}/{d}.parquet")
     assert df is None and statuses[0].status == "unreadable"
+
+
+def test_staged_slice_refines_like_the_full_input(spark, sf, tmp_ws):
+    from medallion.plans.refine import stage_transactions
+    raw = A.transactions_raw(spark, sf)
+    staged = stage_transactions(raw, f"{tmp_ws}/stage", years=A.YEARS)
+    assert staged.count() == 27 and staged.columns == raw.columns
+    best = A.best_gazetteer(spark, sf)
+    a = refine_transactions(raw, best, years=A.YEARS)
+    b = refine_transactions(staged, best, years=A.YEARS)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
