@@ -46,6 +46,8 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     la.add_argument("--schema", help="DDL schema for parsed formats, e.g. 'doc_id bigint, text string'")
     la.add_argument("--option", action="append", default=[], metavar="KEY=VALUE",
                     help="reader option, repeatable (e.g. header=true)")
+    la.add_argument("--max-files-per-trigger", type=int, default=None,
+                    help="bound each micro-batch when a large backlog is landed")
     w = sub.add_parser("wordcount", help="word count of text files")
     w.add_argument("--input", required=True)
     w.add_argument("--output", required=True)
@@ -75,7 +77,8 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     elif a.job == "land":
         from medallion.streaming.landing import land
         options = dict(o.split("=", 1) for o in a.option)
-        run = land(spark, a.source, a.bronze, a.checkpoint, fmt=a.format, schema=a.schema, options=options)
+        run = land(spark, a.source, a.bronze, a.checkpoint, fmt=a.format, schema=a.schema, options=options,
+                   max_files_per_trigger=a.max_files_per_trigger)
         print(json.dumps(run.__dict__))
     elif a.job == "wordcount":
         from medallion.operators.text import word_count

@@ -24,3 +24,16 @@ def test_workspace_is_the_checkpoint_dir(spark):
     from medallion.session import workspace
     ws = workspace(spark)
     assert ws and ws == (spark.conf.get("spark.checkpoint.dir", None) or ws).rstrip("/")
+
+
+def test_cli_land_with_options(spark, tmp_ws, capsys):
+    import json
+    fs.touch(spark, f"{tmp_ws}/src/a.csv", "k;v\n1;x\n2;y\n")
+    fs.touch(spark, f"{tmp_ws}/src/b.csv", "k;v\n3;z\n")
+    assert main(["land", "--source", f"{tmp_ws}/src", "--bronze", f"{tmp_ws}/bronze",
+                 "--checkpoint", f"{tmp_ws}/ck", "--format", "csv", "--schema", "k int, v string",
+                 "--option", "header=true", "--option", "sep=;", "--max-files-per-trigger", "1"],
+                spark=spark) == 0
+    report = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert report == {"rows": 3, "batches": 2}
+    assert sorted(r.k for r in spark.read.parquet(f"{tmp_ws}/bronze").collect()) == [1, 2, 3]
