@@ -478,11 +478,15 @@ UNION ALL SELECT 'stations', 'ok', 'Nom_gare,Code__UIC_,geo_point_2d,Code_Region
 
 # --- joins (J1, J2, D1) and counts (A1, A2) ---------------------------------------------
 
-def q_fill_coordinates(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _fill_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = transactions_raw(spark, sf_dir)
-    df = df.withColumns({"latitude": to_double("latitude"), "longitude": to_double("longitude"),
-                         "address": full_address(["No voie", "Type de voie", "Voie", "Code postal"], "PARIS")})
-    filled = geo.fill_coordinates(df, best_gazetteer(spark, sf_dir), "address")
+    return df.withColumns({"latitude": to_double("latitude"), "longitude": to_double("longitude"),
+                           "address": full_address(["No voie", "Type de voie", "Voie", "Code postal"],
+                                                   "PARIS")})
+
+
+def q_fill_coordinates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    filled = geo.fill_coordinates(_fill_input(spark, sf_dir), best_gazetteer(spark, sf_dir), "address")
     return filled.select(TX_ID, "address", "latitude", "longitude")
 
 
@@ -494,6 +498,21 @@ FROM tx LEFT JOIN best b ON b.akey = {SQL_AKEY}
 """
 
 
+def q_fill_coordinates_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J1 with explicit salting of every address seen at least 5 times."""
+    df = _fill_input(spark, sf_dir)
+    hot = geo.hot_keys(df, "address", min_rows=5)
+    filled = geo.fill_coordinates(df, best_gazetteer(spark, sf_dir), "address", hot=hot, salt_buckets=8)
+    return filled.select(TX_ID, "address", "latitude", "longitude")
+
+
+def q_fill_coordinates_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J1 joining only the rows that lack a coordinate, complete rows by union."""
+    filled = geo.fill_coordinates(_fill_input(spark, sf_dir), best_gazetteer(spark, sf_dir), "address",
+                                  split_complete=True)
+    return filled.select(TX_ID, "address", "latitude", "longitude")
+
+
 def q_best_candidate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return geo.best_candidates(read_immutable_parquet(spark, fx.gazetteer(spark, sf_dir)))
 
@@ -710,6 +729,8 @@ QUERIES: dict[str, Query] = {
     "mart_status": q_mart_status,
     "refine_batch": q_refine_batch,
     "fill_coordinates": q_fill_coordinates,
+    "fill_coordinates_salted": q_fill_coordinates_salted,
+    "fill_coordinates_split": q_fill_coordinates_split,
     "best_candidate": q_best_candidate,
     "fill_by_provider": q_fill_by_provider,
     "missing_count": q_missing_count,
@@ -746,6 +767,8 @@ ORACLES: dict[str, str] = {
     "mart_status": ORACLE_MART_STATUS,
     "refine_batch": ORACLE_REFINE_BATCH,
     "fill_coordinates": ORACLE_FILL_COORDINATES,
+    "fill_coordinates_salted": ORACLE_FILL_COORDINATES,
+    "fill_coordinates_split": ORACLE_FILL_COORDINATES,
     "best_candidate": ORACLE_BEST_CANDIDATE,
     "fill_by_provider": ORACLE_FILL_BY_PROVIDER,
     "missing_count": ORACLE_MISSING_COUNT,
