@@ -107,7 +107,7 @@ def fill_coordinates(df: DataFrame, best: DataFrame, address: str | Column,
                      lat_col: str = "latitude", lon_col: str = "longitude",
                      key_min_length: int = 5, hot: DataFrame | None = None,
                      salt_buckets: int = 16, split_complete: bool = False,
-                     max_hot_keys: int = 10000) -> DataFrame:
+                     max_hot_keys: int = 10000, salt_by: Sequence[str] | None = None) -> DataFrame:
     """Fill missing coordinates from a one-row-per-key table.
 
     Existing values are kept; each coordinate is filled on its own with
@@ -121,9 +121,10 @@ def fill_coordinates(df: DataFrame, best: DataFrame, address: str | Column,
     :func:`hot_keys` returns or a stored table) salts explicitly, without relying on AQE: the
     rows of a hot key are spread over ``salt_buckets`` join keys and only that
     key's reference row is repeated ``salt_buckets`` times. Results are
-    the same with or without salting. The salt is a hash of the row, so a
-    re-run task sends every row to the same bucket again; rows that are
-    identical in every column share a bucket.
+    the same with or without salting. The salt is a hash of the row (or of
+    the ``salt_by`` columns, e.g. a record id, which keeps column pruning), so
+    a re-run task sends every row to the same bucket again; rows that are
+    identical in those columns share a bucket.
 
     ``split_complete`` joins only the rows that lack a coordinate and adds the
     complete rows back by union: a shuffled join then never moves complete
@@ -133,7 +134,7 @@ def fill_coordinates(df: DataFrame, best: DataFrame, address: str | Column,
     if split_complete:
         need = F.col(lat_col).isNull() | F.col(lon_col).isNull()
         todo = fill_coordinates(df.filter(need), best, address, lat_col, lon_col, key_min_length,
-                                hot, salt_buckets, max_hot_keys=max_hot_keys)
+                                hot, salt_buckets, max_hot_keys=max_hot_keys, salt_by=salt_by)
         return todo.unionByName(df.filter(~need))
     addr = F.col(address) if isinstance(address, str) else address
     key = _lookup_key(address_key(addr, key_min_length), lat_col, lon_col)
@@ -151,8 +152,9 @@ def fill_coordinates(df: DataFrame, best: DataFrame, address: str | Column,
                             .orderBy("_k").limit(max_hot_keys)
                             .withColumn("_hot", F.lit(True)))
         left = left.join(flags, "_k", "left")
+        salt_cols = [F.col(c) for c in (salt_by or df.columns)]
         left = left.withColumn("_salt", F.when(
-            F.col("_hot"), F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(salt_buckets)))
+            F.col("_hot"), F.pmod(F.xxhash64(*salt_cols), F.lit(salt_buckets)))
             .otherwise(F.lit(0)).cast("int")).drop("_hot")
         right = (right.join(flags, "_k", "left")
                  .withColumn("_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salt_buckets - 1)))

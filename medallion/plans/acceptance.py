@@ -502,7 +502,8 @@ def q_fill_coordinates_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J1 with explicit salting of every address seen at least 5 times."""
     df = _fill_input(spark, sf_dir)
     hot = geo.hot_keys(df, "address", min_rows=5)
-    filled = geo.fill_coordinates(df, best_gazetteer(spark, sf_dir), "address", hot=hot, salt_buckets=8)
+    filled = geo.fill_coordinates(df, best_gazetteer(spark, sf_dir), "address", hot=hot, salt_buckets=8,
+                                  salt_by=[TX_ID])
     return filled.select(TX_ID, "address", "latitude", "longitude")
 
 

@@ -52,3 +52,9 @@ def test_provider_runs_on_distinct_addresses_only(spark, sf):
     assert "HashAggregate" in txt  # the distinct step, combined map-side, before the Python call
     filled = plan_text(A.q_fill_by_provider(spark, sf))
     assert "MapInPandas" not in filled  # joined against the stored resolved table
+
+
+def test_salted_fill_keeps_pruning_with_a_record_id(spark, sf):
+    txt = plan_text(A.q_fill_coordinates_salted(spark, sf))
+    csv = [l for l in txt.splitlines() if l.startswith("ReadSchema") and "Voie" in l]
+    assert csv and all("Valeur fonciere" not in l and "Date mutation" not in l for l in csv)
