@@ -135,3 +135,15 @@ def test_salting_with_capped_hot_list_is_exact(spark):
     plain = geo.fill_coordinates(df, best, "addr")
     capped = geo.fill_coordinates(df, best, "addr", hot=hot, salt_buckets=4, max_hot_keys=7)
     assert capped.exceptAll(plain).count() == 0 and plain.exceptAll(capped).count() == 0
+
+
+def test_broadcast_limit_parsing_and_check(spark, tmp_ws):
+    from medallion.operators.geo import _to_bytes
+    assert _to_bytes("10485760b") == 10 << 20 and _to_bytes("64m") == 64 << 20
+    assert _to_bytes("1g") == 1 << 30 and _to_bytes("-1") == -1 and _to_bytes("2048") == 2048
+    spark.range(1000).write.parquet(f"{tmp_ws}/t")
+    t = spark.read.parquet(f"{tmp_ws}/t")
+    with conf(spark, **{"spark.sql.autoBroadcastJoinThreshold": "1b"}):
+        assert not geo.broadcastable(t)
+    with conf(spark, **{"spark.sql.autoBroadcastJoinThreshold": "10m"}):
+        assert geo.broadcastable(t)
