@@ -19,6 +19,7 @@ from medallion.functions.columns import decimal_comma_to_double, to_double
 from medallion.operators.filters import complete
 from medallion.operators.geo import NoCoordinates, UnsupportedPointType, extract_points
 from medallion.operators.metrics import observed
+from medallion.plans.refine import error_text
 from medallion.sinks.writers import write_parquet
 
 # The silver Parquet datasets and the gold marts of the Paris
@@ -145,7 +146,7 @@ def build_mart(spark: SparkSession, mart: str, entries: Sequence[tuple[str, str]
             statuses.append(SourceStatus(mart, dataset, label, "unsupported_type", str(e)))
             continue
         except Exception as e:  # noqa: BLE001 - unreadable footer, bad files
-            statuses.append(SourceStatus(mart, dataset, label, "unreadable", str(e).splitlines()[0][:200]))
+            statuses.append(SourceStatus(mart, dataset, label, "unreadable", error_text(e)))
             continue
         pts, obs = observed(pts, f"{mart}:{dataset}:{label}", rows=F.count(F.lit(1)))
         frames.append(pts)
@@ -177,7 +178,7 @@ def run_marts(spark: SparkSession, catalogue: Mapping[str, Sequence[tuple[str, s
                 counts = {i: int(o.get["rows"]) for i, o in observations}
             except Exception as e:  # noqa: BLE001 - run-time failure of the mart job
                 for i, _ in observations:
-                    statuses[i].status, statuses[i].message = "error", str(e).splitlines()[0][:200]
+                    statuses[i].status, statuses[i].message = "error", error_text(e)
         return [(s.mart, s.dataset, s.categorie, s.status, counts.get(i)) for i, s in enumerate(statuses)]
 
     with ThreadPoolExecutor(max_workers=max(1, max_parallel)) as pool:

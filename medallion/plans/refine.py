@@ -157,7 +157,7 @@ def refine_one(spark: SparkSession, dataset: str, path: str, fmt: str, out_path:
     try:
         df = read_delimited(spark, path, sep=sep) if fmt == "csv" else read_parquet(spark, path)
     except Exception as e:  # noqa: BLE001 - reported per dataset
-        return (dataset, "missing", _short(e), None, None)
+        return (dataset, "missing", error_text(e), None, None)
     try:
         df = clean_column_names(df, keep_hyphen=keep_hyphen)
     except NameCollision as e:
@@ -166,7 +166,7 @@ def refine_one(spark: SparkSession, dataset: str, path: str, fmt: str, out_path:
     try:
         write_parquet(df, out_path, sources=[path])
     except Exception as e:  # noqa: BLE001
-        return (dataset, "error", _short(e), ",".join(df.columns), None)
+        return (dataset, "error", error_text(e), ",".join(df.columns), None)
     return (dataset, "ok", None, ",".join(df.columns), int(obs.get["rows"]))
 
 
@@ -187,8 +187,22 @@ def run_refine_batch(spark: SparkSession, sources: Sequence[tuple[str, str, str]
     return spark.createDataFrame(rows, STATUS_SCHEMA)
 
 
-def _short(e: Exception) -> str:
-    return str(e).strip().splitlines()[0][:200] if str(e).strip() else type(e).__name__
+def error_text(e: Exception, limit: int = 400) -> str:
+    """The most specific message of an error: the root cause of a JVM error
+    (for a header mismatch it names the file and both headers), else the
+    first line of the Python message."""
+    je = getattr(e, "java_exception", None)
+    if je is not None:
+        try:
+            cause = je
+            while cause.getCause() is not None:
+                cause = cause.getCause()
+            text = cause.getMessage() or cause.toString()
+            return " ".join(str(text).split())[:limit]
+        except Exception:  # noqa: BLE001 - fall back to the Python text
+            pass
+    text = str(e).strip()
+    return text.splitlines()[0][:limit] if text else type(e).__name__
 
 
 def silver_sources(root: str, datasets: Sequence[str], fmt: str = "parquet") -> list[tuple[str, str, str]]:

@@ -17,7 +17,8 @@ def test_header_drift_becomes_a_status_row(spark, tmp_ws):
     fs.touch(spark, f"{tmp_ws}/g/f1.csv", "x;y\n1;2\n")
     fs.touch(spark, f"{tmp_ws}/g/f2.csv", "y;x\n3;4\n")
     ds, status, message, cols, n = refine_one(spark, "g", f"{tmp_ws}/g", "csv", f"{tmp_ws}/s/g.parquet")
-    assert status == "error" and n is None and message
+    assert status == "error" and n is None
+    assert "header" in message.lower() and "f2.csv" in message  # the cause, naming the file
 
 
 def test_workspace_is_the_checkpoint_dir(spark):
