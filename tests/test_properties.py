@@ -82,3 +82,31 @@ def test_fill_matches_brute_force(spark, gaz_rows, tx_rows):
     tx = spark.createDataFrame(tx_rows, "addr string, latitude double, longitude double")
     got = geo.fill_coordinates(tx, geo.best_candidates(gaz), "addr").collect()
     assert Counter(tuple(r) for r in got) == Counter(want)
+
+
+tx_filter_row = st.tuples(
+    st.one_of(st.none(), st.sampled_from(["75", "92", "7", ""])),
+    st.one_of(st.none(), st.sampled_from(["75001", "92100", "7500", "x75"])),
+    st.one_of(st.none(), st.sampled_from(["05/01/1996", "31/12/1998", "01/01/1999", "31/13/1997",
+                                          "5/1/1997", "garbage"])),
+)
+
+
+def py_passes(dept, postcode, date):
+    import datetime
+    place = (dept == "75") or (postcode is not None and postcode.startswith("75"))
+    try:
+        d = datetime.datetime.strptime(date, "%d/%m/%Y") if date and len(date) == 10 else None
+    except ValueError:
+        d = None
+    return bool(place) and d is not None and 1996 <= d.year <= 1998
+
+
+@SETTINGS
+@given(st.lists(tx_filter_row, min_size=1, max_size=30))
+def test_place_and_year_filters_match_python(spark, rows):
+    from medallion.functions.columns import parse_date
+    from medallion.operators.filters import place_predicate, year_between
+    df = spark.createDataFrame(rows, "`Code departement` string, `Code postal` string, d string")
+    got = df.filter(place_predicate() & year_between(parse_date("d"), 1996, 1998)).count()
+    assert got == sum(py_passes(*r) for r in rows)
