@@ -23,8 +23,9 @@ the start (a set is named by a hash of its members). Two sets link when
    then lies in several components.
 6. Components of all links; every document takes the smallest id of its component.
 
-Names and shingles are 64-bit hashes (48 bits plus the bucket within the index), so with n
-distinct shingles about n^2 / 2^65 of them collide; a collision shifts one intersection by one.
+Names are 64-bit hashes, shingles travel as 40 bits plus their bucket (one of P). Two sets of a and b shingles
+are thus found to share one too many with a probability of about a b / (2^40 P); sizes and equal
+sets are told by the full 64 bits.
 
 Defined cases: texts without words (NULL, empty) have an empty set and link with nothing; fewer words than
 a shingle form one shingle; equal rows are each a document and link through their
@@ -38,6 +39,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
@@ -50,7 +52,7 @@ from medallion.llm.words import U, Words, grams, mix, words
 SHINGLE, PERCENT = 5, 80
 FLUSH_KEYS = 2_000_000  # shingles a map task holds before it packs them
 BLOCK_SETS, BLOCK_KEYS = 128, 200_000  # members and shingles of a block
-_LOW48 = U((1 << 48) - 1)
+_LOW = U((1 << 40) - 1)  # bits of a shingle that travel; its bucket adds more
 
 
 def _signed(a: np.ndarray) -> np.ndarray:
@@ -119,7 +121,7 @@ def _unpack(blob, kinds) -> list[np.ndarray]:
     return out
 
 
-_POSTING = (np.uint64, np.uint32, np.uint32, np.uint32, np.uint16)  # names, sizes, counts, shingle low, high
+_POSTING = (np.uint64, np.uint32, np.uint32, np.uint32, np.uint8)  # names, sizes, counts, shingle low, high
 
 
 def _by_bucket(hashes: np.ndarray, n: int) -> np.ndarray:
@@ -150,11 +152,11 @@ def _flush(size, name, keys, n_buckets, slot) -> Iterator[pa.RecordBatch]:
         x, y = edges[b], edges[b + 1]
         if x == y:
             continue
-        o, k = owner[x:y], keys[x:y] & _LOW48
+        o, k = owner[x:y], keys[x:y] & _LOW
         first = np.flatnonzero(np.append(True, o[1:] != o[:-1]))
         who = o[first]
         blob = _pack([name[who], size[who].astype(np.uint32), np.diff(np.append(first, len(o))).astype(np.uint32),
-                      (k & U(0xFFFFFFFF)).astype(np.uint32), (k >> U(32)).astype(np.uint16)])
+                      (k & U(0xFFFFFFFF)).astype(np.uint32), (k >> U(32)).astype(np.uint8)])
         made.append((b, blob))
         held += len(blob)
         if held > 8 << 20:
@@ -354,7 +356,8 @@ _BLOCK = (np.int64, np.int64, np.int64, np.int64, np.uint64)  # sets, sizes, com
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Packs sorted sets into blocks; a block is named by its first set."""
+    """Packs sorted sets into blocks, compressed (neighbours share most shingles); a block is
+    named by its first set."""
     held: list[tuple] = []
     keys = 0
 
@@ -365,7 +368,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                       np.concatenate(k)])
         return pa.RecordBatch.from_arrays(
             [pa.array([held[0][0]], pa.int64()), pa.array([[h[0] for h in held]], pa.list_(pa.int64())),
-             pa.array([blob], pa.binary())], names=["block", "sids", "blob"])
+             pa.array([zstandard.ZstdCompressor(level=1).compress(blob)], pa.binary())], names=["block", "sids", "blob"])
 
     for batch in batches:
         for row in zip(*(batch.column(c).to_pylist() for c in ("sid", "n", "comp", "keys")), strict=True):
@@ -381,11 +384,12 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _cross(percent: int):
     """Links between the components of two blocks: one for each pair of components that it joins."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        inflate = zstandard.ZstdDecompressor().decompress
         for batch in batches:
             src, dst = [], []
             for a, b in zip(batch.column("blob_a"), batch.column("blob_b"), strict=True):
-                sa, na, ca, la, ka = _unpack(a.as_buffer(), _BLOCK)
-                sb, nb, cb, lb, kb = _unpack(b.as_buffer(), _BLOCK)
+                sa, na, ca, la, ka = _unpack(inflate(a.as_py()), _BLOCK)
+                sb, nb, cb, lb, kb = _unpack(inflate(b.as_py()), _BLOCK)
                 uniq, inv = np.unique(np.concatenate((ka, kb)), return_inverse=True)
                 ra, rb = np.repeat(np.arange(len(sa)), la), np.repeat(np.arange(len(sb)), lb)
                 ia, ib = inv[:len(ka)], inv[len(ka):]
