@@ -44,14 +44,14 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def bucket_count(df: DataFrame) -> int:
+def bucket_count(df: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> int:
     """Buckets for a packed shuffle of ``df``: the session's shuffle partitions, or more
     where the optimizer's size estimate says that a bucket would grow beyond
-    :data:`BUCKET_BYTES` of input. Any count gives the same result."""
+    ``bucket_bytes`` of input. Any count gives the same result."""
     spark = df.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return max(1, min(MAX_BUCKETS, max(parts, min(size // BUCKET_BYTES, 64 * parts))))
+    return max(1, min(MAX_BUCKETS, max(parts, min(size // bucket_bytes, 64 * parts))))
 
 
 def slots(spark: SparkSession, n: int) -> np.ndarray:

@@ -1,8 +1,8 @@
 """Substring dedup (operator 5) by super-k-mer partitioning.
 
-A window is ``window`` consecutive words of one document. The window's minimiser is its run
-of ``MINIMISER`` words with the smallest hash (the leftmost of equals), a function of the window's words alone.
-Consecutive windows with the same minimiser travel as one packed string (a super-k-mer) to
+A window is ``window`` consecutive words of one document. The window's minimiser is the smallest hash among
+its runs of ``MINIMISER`` words, a function of the window's words alone. Consecutive windows with
+the same minimiser (also where it recurs, as in a text of one word) travel as one packed string (a super-k-mer) to
 the minimiser's bucket, so every occurrence of a window meets in one bucket while a word
 travels about three times, not ``window`` times. A map task packs equal strings once, with the places
 they come from; strings are compressed.
@@ -31,11 +31,11 @@ from pyspark.sql.functions import arrow_udf
 from pyspark.sql.types import LongType, StringType, StructType
 
 from medallion.llm.common import bucket_count, cut, session, slots, text_key
-from medallion.llm.words import SPACE, U, Words, grams, words
+from medallion.llm.words import SPACE, U, Words, grams, mix, words
 
 WINDOW, MINIMISER = 35, 5
 FLUSH_BYTES = 8 << 20  # text that a map task holds before it packs it
-_SEG = 1 << 20
+BUCKET_BYTES = 2 << 20  # input per bucket; a partition works through its buckets one by one
 _PACK = "slot long, bucket int, blob binary"
 _RANGES = "id long, tk long, a int, b int"
 
@@ -58,22 +58,16 @@ def super_kmers(w: Words, window: int, m: int) -> tuple[np.ndarray, np.ndarray,
     g = np.zeros(len(w.hash) - m + 1, U)
     h, at = grams(w.hash, w.doc, m)
     g[at] = h  # runs across rows stay 0 and are in no window of one row
-    reach = window - m + 1
-    place = np.empty(n, np.int64)
-    for lo in range(0, n, _SEG):
-        hi = min(n, lo + _SEG)
-        part = g[lo:hi + reach - 1]
-        c = (part >> U(21) << U(21)) | np.arange(len(part), dtype=U)
-        place[lo:hi] = lo + (_sliding_min(c, reach) & U((1 << 21) - 1)).astype(np.int64)
+    least = _sliding_min(g, window - m + 1)
     inside = w.doc[:n] == w.doc[window - 1:]
     head = inside.copy()
-    head[1:] &= (place[1:] != place[:-1]) | ~inside[:-1] | (w.doc[1:n] != w.doc[:n - 1])
+    head[1:] &= (least[1:] != least[:-1]) | ~inside[:-1] | (w.doc[1:n] != w.doc[:n - 1])
     first = np.flatnonzero(head)
     stop = np.append(first[1:], n)
     # the run ends where windows leave the row
     last_in = np.flatnonzero(inside)
     stop = last_in[np.searchsorted(last_in, stop) - 1] + 1 if len(first) else stop
-    return first, stop + window - 1, g[place[first]]
+    return first, stop + window - 1, mix(least[first] + U(1))  # mixed: least hashes crowd at the low end
 
 
 def _pack_strings(strings: list[bytes], n_words: list[int], places: list[list[tuple]]) -> bytes:
@@ -165,11 +159,9 @@ def repeated_windows(word: np.ndarray, n_words: np.ndarray, copies: np.ndarray,
     if not len(at):
         return marked
     with np.errstate(over="ignore"):
-        x = word.astype(U) + U(1)
-        x = (x ^ (x >> U(31))) * U(0xBF58476D1CE4E5B9)
-        x = (x ^ (x >> U(27))) * U(0x94D049BB133111EB)
-        h = np.zeros(total - window + 1, U)  # sum of x[i + j] * base^j by doubling (powers of the window's length)
-        part, size, pos, powb = x, 1, 0, 1
+        part = mix(word.astype(U) + U(1))
+        h = np.zeros(total - window + 1, U)  # sum of part[i + j] * base^j, by doubling
+        size, pos = 1, 0
         need = window
         while need:
             if need & 1:
@@ -178,8 +170,10 @@ def repeated_windows(word: np.ndarray, n_words: np.ndarray, copies: np.ndarray,
                 pos += size
             need >>= 1
             if need:
-                part = part[:-size] + part[size:] * U(pow(_POLY, size, 1 << 64))
-                size *= 2
+                longer = part[size:] * U(pow(_POLY, size, 1 << 64))
+                longer += part[:-size]
+                part, size = longer, size * 2
+        del part
         h = h[at]
     string = np.searchsorted(begins, at, side="right") - 1
     order = np.argsort(h, kind="stable")
@@ -264,10 +258,11 @@ def repeated_ranges(docs: DataFrame, window: int = WINDOW, minimiser: int = MINI
                     text_col: str = "text") -> DataFrame:
     """(id, tk, a, b): word ranges that repeated windows cover, by document id and text key."""
     spark = session(docs)
-    n = bucket_count(docs)
-    slot = slots(spark, n)
+    parts = bucket_count(docs)
+    n = max(parts, bucket_count(docs, BUCKET_BYTES))
+    slot = slots(spark, parts)[np.arange(n) % parts]
     src = docs.select(F.col(id_col).cast("long").alias("id"), text_key(text_col).alias("tk"), F.col(text_col).alias("text"))
-    return (src.mapInArrow(_scatter(window, min(minimiser, window), n, slot), _PACK).repartition(n, "slot")
+    return (src.mapInArrow(_scatter(window, min(minimiser, window), n, slot), _PACK).repartition(parts, "slot")
             .mapInArrow(_count(window), _RANGES))
 
 
