@@ -6,8 +6,8 @@ Rows are dropped or texts shortened by each stage's own decisions:
 
 1. quality rules: documents that fail the base rules or lie outside their group's cutoff go;
 2. line dedup: lines shared by ten documents or more go (``n_chars`` follows the text);
-3. n-gram Jaccard join: of each component the document with the smallest id stays (of equal
-   ids one row); documents without words stay;
+3. n-gram Jaccard join: of each component the document with the smallest id stays, as one row;
+   documents without words stay;
 4. benchmark decontamination: documents that hold a benchmark item go;
 5. mixing: the training order, one row per copy, by position.
 """
@@ -38,12 +38,17 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are not the one kept of their component are few columns wide: the
-    decisions are a table of ids, joined to the texts once."""
-    comp = near_duplicates(docs)
-    gone = cut(comp.filter("set_id IS NOT NULL AND NOT (doc_id <=> component_id)").select("doc_id").distinct(), "gone")
-    kept = docs.join(gone.select(F.col("doc_id").alias("g_id")), docs["doc_id"].eqNullSafe(F.col("g_id")), "left_anti")
-    return kept.dropDuplicates(["doc_id", "text"])
+    """The decisions are a narrow table of (id, text key), joined to the texts once. Where equal rows
+    are both the one that stays, one of them does."""
+    rows = cut(near_duplicates(docs), "near-duplicates")
+    key = [F.col("doc_id").alias("__nd_id"), F.col("text_key").alias("__nd_tk")]
+    on = docs["doc_id"].cast("long").eqNullSafe(F.col("__nd_id")) & (text_key() == F.col("__nd_tk"))
+    kept = docs.join(cut(rows.filter("NOT kept").select(*key).distinct(), "gone"), on, "left_anti")
+    twice = cut(rows.filter("kept AND set_id IS NOT NULL").groupBy(*key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+                .drop("n"), "equal-rows")
+    if twice.isEmpty():
+        return kept
+    return kept.join(twice, on, "left_anti").unionByName(kept.join(twice, on, "left_semi").dropDuplicates(["doc_id", "text"]))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

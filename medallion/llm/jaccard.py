@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 from pyspark.sql.types import LongType
 
-from medallion.llm.common import bucket_count, cut, session, slots
+from medallion.llm.common import bucket_count, cut, session, slots, text_key
 from medallion.llm.components import components
 from medallion.llm.words import U, Words, grams, mix, words
 
@@ -101,7 +101,8 @@ def _doc_sets(k: int):
             for w in words(batch.column("text"), lower=True):
                 size[w.row0:w.row0 + w.n], name[w.row0:w.row0 + w.n], _ = shingle_sets(w, k)
             sid = pa.array(_signed(name), pa.int64(), mask=size == 0)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), sid, pa.array(size)], names=["doc_id", "sid", "n"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("tk"), sid, pa.array(size)],
+                                             names=["doc_id", "tk", "sid", "n"])
     return run
 
 
@@ -473,16 +474,21 @@ def set_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, te
 
 def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id, set_id) for every row of ``docs``."""
+    """(doc_id, n_shingles, component_id, set_id, text_key, kept) for every row of ``docs``. ``kept`` marks
+    the rows of the document that stays: the smallest id of its component and, among texts of
+    that id, the smallest text key; documents with an empty set all stay."""
     session(docs)
-    text = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    rows = cut(text.mapInArrow(_doc_sets(k), "doc_id long, sid long, n long"), "documents")
+    text = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_key(text_col).alias("tk"), F.col(text_col).alias("text"))
+    rows = cut(text.mapInArrow(_doc_sets(k), "doc_id long, tk long, sid long, n long"), "documents")
     comps = set_components(docs, k, percent, text_col)
-    least = rows.filter("sid IS NOT NULL").groupBy("sid").agg(F.min("doc_id").alias("low"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("x"), "doc_id", "tk"))  # ids before NULL
+    least = rows.filter("sid IS NOT NULL").groupBy("sid").agg(first.alias("low"))
     low = least.join(comps, "sid", "left").withColumn("root", F.coalesce("root", "sid"))
-    root = low.groupBy("root").agg(F.min("low").alias("component_id"))
-    ids = low.join(root, "root").select(F.col("sid").alias("set_id"), "component_id")
+    root = low.groupBy("root").agg(F.min("low").alias("first"))
+    ids = low.join(root, "root").select(F.col("sid").alias("set_id"), "first")
+    alone = F.col("sid").isNull()
     return (rows.join(ids, F.col("sid") == F.col("set_id"), "left")
             .select("doc_id", F.col("n").alias("n_shingles"),
-                    F.when(F.col("sid").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
-                    F.col("sid").alias("set_id")))
+                    F.when(alone, F.col("doc_id")).otherwise(F.col("first.doc_id")).alias("component_id"),
+                    F.col("sid").alias("set_id"), F.col("tk").alias("text_key"),
+                    (alone | (F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("tk") == F.col("first.tk")))).alias("kept")))

@@ -22,7 +22,7 @@ URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example
 
 
 def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(read(spark, sf_dir, "documents")).drop("set_id")
+    return near_duplicates(read(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
