@@ -66,6 +66,7 @@ def line_dedup(docs: DataFrame, min_docs: int = 10, min_key_len: int = 1,
     lines = cut(src.mapInArrow(_line_rows(min_key_len), _LINE_SCHEMA), "lines")
     hot = (lines.filter("first").groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("n"))
            .filter(F.col("n") >= min_docs).select("k1", "k2"))
+    hot = cut(hot, "hot-lines")  # as a table, the join below can split a line that a third of all documents hold
     drops = (lines.join(hot, ["k1", "k2"]).groupBy(F.col("id").alias("__ld_id"), F.col("tk").alias("__ld_tk"))
              .agg(F.collect_set("pos").alias("__ld_drop")))
     text, drop = F.col(text_col), F.col("__ld_drop")
