@@ -25,9 +25,16 @@ WORD = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+_BATCH, _BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20
+
+
 def session(df: DataFrame) -> SparkSession:
+    """The frame's session, with the package on its workers. Arrow batches are bounded by bytes
+    (long texts; the default of 64 MB is held several times over), unless the session sets a bound itself."""
     spark = df.sparkSession
     ship_package(spark)
+    if not spark.sparkContext.getConf().contains(_BATCH) and spark.conf.get(_BATCH) == "67108864b":
+        spark.conf.set(_BATCH, str(_BATCH_BYTES))
     return spark
 
 

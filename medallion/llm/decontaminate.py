@@ -25,6 +25,7 @@ import heapq
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
@@ -45,7 +46,7 @@ class Seeds:
 
     def __init__(self, items: list[tuple[int | None, str]], min_match: int):
         self.ids = [i for i, _ in items]
-        arr = pa.array([t for _, t in items], pa.string())
+        arr = pc.utf8_lower(pa.array([t for _, t in items], pa.string()))
         self.words: list[np.ndarray] = []
         seeds, owner, pos = [], [], []
         for w in bare_words(arr):
@@ -126,7 +127,7 @@ def _search(texts: pa.Array, seeds: Seeds, min_match: int, threshold: float) ->
     out: list[list[dict]] = [[] for _ in range(len(texts))]
     if not len(seeds.unique):
         return out
-    for w in bare_words(texts):
+    for w in bare_words(pc.utf8_lower(texts)):
         g, at = grams(w.hash, w.doc, min_match)
         hit, which = seeds.hits(g)
         if not len(hit):

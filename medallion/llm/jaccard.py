@@ -50,7 +50,7 @@ from medallion.llm.components import components
 from medallion.llm.words import U, Words, grams, mix, words
 
 SHINGLE, PERCENT = 5, 80
-FLUSH_KEYS = 2_000_000  # shingles a map task holds before it packs them
+FLUSH_KEYS = 1_000_000  # shingles a map task holds before it packs them
 BLOCK_SETS, BLOCK_KEYS = 128, 200_000  # members and shingles of a block
 _LOW = U((1 << 40) - 1)  # bits of a shingle that travel; its bucket adds more
 
