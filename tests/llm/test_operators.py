@@ -202,7 +202,7 @@ def test_quality_outliers(spark):
     """Clean documents stay and each kind of junk goes, also when a quarter of a group is junk."""
     clean = [(k, " ".join(prose(k, 80, 3000)).capitalize(), "en", "a") for k in range(240)]
     junk = [(1000 + k, " ".join(x + "***" for x in prose(k + 500, 80, 3000)), "en", "a") for k in range(30)]
-    junk += [(2000 + k, " ".join(x.upper() + "!!" for x in prose(k + 700, 80, 3000)), "en", "a") for k in range(30)]
+    junk += [(2000 + k, " ".join(x.upper() * 2 + "!!" for x in prose(k + 700, 80, 3000)), "en", "a") for k in range(30)]
     letters = str.maketrans("0123456789", "abcdefghij")
     clean, junk = ([(i, t.translate(letters), *x) for i, t, *x in rows_] for rows_ in (clean, junk))
     df = spark.createDataFrame(clean + junk, "doc_id long, text string, lang string, source string")
