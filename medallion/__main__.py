@@ -70,10 +70,11 @@ def main(argv: list[str] | None = None, spark=None) -> int:
                          years=(first, last), transactions=tx, provider_cache=a.provider_cache)
         if res.transactions:
             print(json.dumps(res.transactions.__dict__))
-        res.status.show(100, truncate=False)
+        res.status.show(res.status.count(), truncate=False)
     elif a.job == "gold":
         from medallion.plans.jobs import gold_job
-        gold_job(spark, a.data_root, decimal_sep=None if a.strict_decimal else ",").show(100, truncate=False)
+        status = gold_job(spark, a.data_root, decimal_sep=None if a.strict_decimal else ",")
+        status.show(status.count(), truncate=False)
     elif a.job == "land":
         from medallion.streaming.landing import land
         options = dict(o.split("=", 1) for o in a.option)

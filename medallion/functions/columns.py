@@ -31,7 +31,7 @@ def decimal_comma_to_double(c: str | Column, decimal_sep: str | None = ",") -> C
     """
     col = _c(c)
     if decimal_sep:
-        col = F.regexp_replace(col.cast("string"), F.lit(decimal_sep), F.lit("."))
+        col = F.replace(col.cast("string"), F.lit(decimal_sep), F.lit("."))
     return to_double(col)
 
 

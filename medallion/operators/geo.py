@@ -194,6 +194,8 @@ def _resolve_batches(provider: Provider) -> Callable[[Iterator[pd.DataFrame]], I
                 got = provider(keys)
                 lat = pd.to_numeric(got["latitude"], errors="coerce").reset_index(drop=True)
                 lon = pd.to_numeric(got["longitude"], errors="coerce").reset_index(drop=True)
+                if len(got) != len(keys):  # answers can't be told apart: ask one by one
+                    raise ValueError(f"{len(got)} answers to {len(keys)} addresses")
             except Exception:
                 # One bad address must not void the batch: ask again one by one,
                 # and an address whose call fails resolves to NULL.
@@ -201,6 +203,8 @@ def _resolve_batches(provider: Provider) -> Callable[[Iterator[pd.DataFrame]], I
                 for a in keys:
                     try:
                         one = provider(pd.Series([a]))
+                        if len(one) != 1:
+                            raise ValueError(f"{len(one)} answers to one address")
                         lat_l.append(pd.to_numeric(one["latitude"], errors="coerce").iloc[0])
                         lon_l.append(pd.to_numeric(one["longitude"], errors="coerce").iloc[0])
                     except Exception:
@@ -253,10 +257,12 @@ def provider_table(df: DataFrame, provider: Provider, address: str | Column,
         path = resolved_path or scratch(spark, "resolved-addresses")
         write_parquet(resolve_with_provider(df, provider, address, lat_col, lon_col), path)
         return spark.read.parquet(path)
-    known = spark.read.parquet(cache_path) if fs.exists(spark, f"{cache_path}/_SUCCESS") else None
+    known = (spark.read.schema(f"{KEY} string, latitude double, longitude double").parquet(cache_path)
+             if fs.exists(spark, cache_path) else None)
     fresh = resolve_with_provider(df, provider, address, lat_col, lon_col, known)
     fresh.filter(complete(["latitude", "longitude"])).write.mode("append").parquet(cache_path)
-    return spark.read.parquet(cache_path)
+    # one row per address, whatever concurrent or repeated runs have appended
+    return spark.read.parquet(cache_path).dropDuplicates([KEY])
 
 
 def fill_by_provider(df: DataFrame, provider: Provider, address: str | Column,

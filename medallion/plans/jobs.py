@@ -9,6 +9,7 @@ Both return status tables instead of printing and going on.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -21,7 +22,7 @@ from medallion.operators import geo
 from medallion.operators.metrics import observed
 from medallion.plans.marts import (PARIS_MARTS, PARIS_SILVER_PARQUET, PARIS_STATIONS_CSV, PRICE_MART,
                                    paris_path_of, price_mart, run_marts)
-from medallion.plans.refine import (ADDRESS_PARTS, CITY_SUFFIX, RefineReport, run_refine_batch,
+from medallion.plans.refine import (ADDRESS_PARTS, CITY_SUFFIX, RefineReport, error_text, run_refine_batch,
                                     run_refine_transactions, stage_transactions, transactions_needing_fill)
 from medallion.sinks.writers import write_parquet
 from medallion.sources.readers import read_delimited
@@ -86,10 +87,14 @@ def gold_job(spark: SparkSession, data_root: str,
     status = run_marts(spark, catalogue, paris_path_of(silver), f"{root}/gold")
     src = f"{silver}/{TRANSACTIONS_SILVER}.parquet"
     if fs.exists(spark, src):
-        mart, obs = observed(price_mart(spark.read.parquet(src), decimal_sep), "price_mart",
-                             rows=F.count(F.lit(1)))
-        write_parquet(mart, f"{root}/gold/{PRICE_MART}.parquet", sources=[src])
-        row = (PRICE_MART, TRANSACTIONS_SILVER, None, "ok", int(obs.get["rows"]))
+        try:
+            mart, obs = observed(price_mart(spark.read.parquet(src), decimal_sep), "price_mart",
+                                 rows=F.count(F.lit(1)))
+            write_parquet(mart, f"{root}/gold/{PRICE_MART}.parquet", sources=[src])
+            row = (PRICE_MART, TRANSACTIONS_SILVER, None, "ok", int(obs.get["rows"]))
+        except Exception as e:  # noqa: BLE001 - the point marts' status must not be lost
+            print(f"{PRICE_MART}: {error_text(e)}", file=sys.stderr)
+            row = (PRICE_MART, TRANSACTIONS_SILVER, None, "error", None)
     else:
         row = (PRICE_MART, TRANSACTIONS_SILVER, None, "missing", None)
     return status.unionByName(spark.createDataFrame([row], status.schema))

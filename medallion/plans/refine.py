@@ -152,8 +152,11 @@ def refine_one(spark: SparkSession, dataset: str, path: str, fmt: str, out_path:
     Analysis errors (missing input, colliding names) surface before the job;
     run-time errors surface during the write; both end up in the status.
     """
-    if "*" not in path and not fs.exists(spark, path):
-        return (dataset, "missing", f"path not found: {path}", None, None)
+    try:
+        if "*" not in path and not fs.exists(spark, path):
+            return (dataset, "missing", f"path not found: {path}", None, None)
+    except Exception as e:  # noqa: BLE001 - an unknown scheme, say
+        return (dataset, "unreadable", error_text(e), None, None)
     try:
         df = read_delimited(spark, path, sep=sep) if fmt == "csv" else read_parquet(spark, path)
     except Exception as e:  # noqa: BLE001 - reported per dataset
@@ -187,7 +190,7 @@ def run_refine_batch(spark: SparkSession, sources: Sequence[tuple[str, str, str]
     return spark.createDataFrame(rows, STATUS_SCHEMA)
 
 
-def error_text(e: Exception, limit: int = 400) -> str:
+def error_text(e: Exception) -> str:
     """The most specific message of an error: the root cause of a JVM error
     (for a header mismatch it names the file and both headers), else the
     first line of the Python message."""
@@ -198,11 +201,11 @@ def error_text(e: Exception, limit: int = 400) -> str:
             while cause.getCause() is not None:
                 cause = cause.getCause()
             text = cause.getMessage() or cause.toString()
-            return " ".join(str(text).split())[:limit]
+            return " ".join(str(text).split())
         except Exception:  # noqa: BLE001 - fall back to the Python text
             pass
     text = str(e).strip()
-    return text.splitlines()[0][:limit] if text else type(e).__name__
+    return text.splitlines()[0] if text else type(e).__name__
 
 
 def silver_sources(root: str, datasets: Sequence[str], fmt: str = "parquet") -> list[tuple[str, str, str]]:

@@ -38,29 +38,30 @@ CLUSTER_CONF = {
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
     "spark.sql.parquet.filterPushdown": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
 def build_session(master: str | None = None, app: str = "medallion",
                   shuffle_partitions: int | None = None,
                   extra: dict[str, str] | None = None, profile: str = "local") -> SparkSession:
-    """Session with the scale settings; ``profile="cluster"`` adds :data:`CLUSTER_CONF`
-    (values already set on the cluster win, since ``getOrCreate`` keeps them)."""
+    """Session with the scale settings; ``profile="cluster"`` adds :data:`CLUSTER_CONF`,
+    each value only where neither the cluster nor the session sets it."""
     builder = (SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false"))
     if master:
         builder = builder.master(master)
     for k, v in SCALE_CONF.items():
         builder = builder.config(k, v)
-    if profile == "cluster":
-        for k, v in CLUSTER_CONF.items():
-            builder = builder.config(k, v)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in (extra or {}).items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
+    if profile == "cluster":
+        given = spark._jsparkSession.sessionState().conf().getAllConfs()
+        for k, v in CLUSTER_CONF.items():
+            if not given.contains(k):
+                spark.conf.set(k, v)
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 

@@ -8,9 +8,12 @@ which would lose the input.
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Sequence
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from medallion import fs
@@ -25,21 +28,28 @@ def _related(a: str, b: str) -> bool:
     return a.startswith(b) or b.startswith(a)
 
 
+def _plain(uri: str) -> str:
+    """``file:///x`` and ``file:/x`` alike, percent escapes resolved."""
+    return re.sub(r"^file:/+", "/", unquote(uri))
+
+
 def check_overwrite(df: DataFrame, target: str, sources: Sequence[str] = ()) -> None:
     """Raise when ``target`` is, contains or lies inside a source of ``df``.
 
-    ``sources`` are the roots the caller read from (cheap and exact); when
-    none are given the plan's own file list is consulted.
+    ``sources`` are the roots the caller read from. The plan's own files (a
+    reference table joined in, say) are always compared as well: by name,
+    without a file system call per file.
     """
     spark = df.sparkSession
     tgt = fs.qualify(spark, target)
-    if sources:
-        roots = []
-        for s in sources:
-            # a glob is compared through the paths it matches (metadata only)
-            roots += fs.glob(spark, s) if any(ch in s for ch in "*?[") else [fs.qualify(spark, s)]
-    else:
-        roots = [fs.qualify(spark, f) for f in df.inputFiles()]
+    roots = []
+    for s in sources:
+        # a glob is compared through the paths it matches (metadata only)
+        roots += fs.glob(spark, s) if any(ch in s for ch in "*?[") else [fs.qualify(spark, s)]
+    inside = _plain(tgt).rstrip("/") + "/"
+    for f in df.inputFiles():
+        if _plain(f).startswith(inside) or _plain(f) == inside[:-1]:
+            raise UnsafeOverwrite(f"{target} is read by the plan it would overwrite ({f})")
     for r in roots:
         if _related(tgt, r):
             raise UnsafeOverwrite(f"{target} is read by the plan it would overwrite ({r})")
@@ -59,11 +69,20 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
     w.parquet(path)
 
 
+def _escaped(name: str) -> Column:
+    c = F.col(f"`{name}`").cast("string")
+    for plain, code in (("\\", "\\\\"), ("\t", "\\t"), ("\n", "\\n"), ("\r", "\\r")):
+        c = F.replace(c, F.lit(plain), F.lit(code))
+    return F.coalesce(c, F.lit("\\N"))
+
+
 def write_text(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Text folder sink (K2): one string column, one line per row."""
+    """Text folder sink (K2): one string column, one line per row.
+
+    Several columns are joined by tabs; there NULL is written as ``\\N`` and
+    backslash, tab and line breaks are escaped, so columns never shift."""
     if len(df.columns) != 1:
-        from pyspark.sql import functions as F
-        df = df.select(F.concat_ws("\t", *[F.col(c).cast("string") for c in df.columns]).alias("value"))
+        df = df.select(F.concat_ws("\t", *[_escaped(c) for c in df.columns]).alias("value"))
     df.write.mode(mode).text(path)
 
 

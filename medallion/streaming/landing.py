@@ -5,7 +5,9 @@ file of that name was already there. Here a Structured Streaming file source
 keeps the set of file paths it has read in its checkpoint; each run with
 ``trigger(availableNow=True)`` takes the files not seen before, writes them
 to a bronze table partitioned by stem and stops. Identity is the path, not
-the content: a file rewritten under a name already landed is not read again.
+the content: a file rewritten under a name already landed is not read again,
+however old it is (the source's age limit, seven days by default, is lifted;
+the price is a seen-file list on the driver that is never pruned).
 A run that fails fails the query (the original printed and went on).
 """
 
@@ -25,6 +27,9 @@ FIXED_SCHEMAS = {
 }
 
 
+MAX_FILE_AGE = "36500d"  # beyond any file's age: old files are landed, landed ones are never forgotten
+
+
 @dataclass
 class LandingRun:
     rows: int
@@ -34,6 +39,8 @@ class LandingRun:
 def stem_of(path_col: str = "source_file") -> F.Column:
     """File name without directory and last extension."""
     name = F.element_at(F.split(F.col(path_col), "/"), -1)
+    # the path is percent-encoded; a plus sign stands for itself
+    name = F.coalesce(F.try_url_decode(F.replace(name, F.lit("+"), F.lit("%2B"))), name)
     return F.regexp_replace(name, r"\.[^.]*$", "")
 
 
@@ -46,7 +53,7 @@ def land(spark: SparkSession, source_dir: str, bronze_path: str, checkpoint: str
     ``text``/``json``/``csv`` parse into rows on the way. The bronze table keeps
     the source path and stem of every row.
     """
-    reader = spark.readStream.format(fmt).option("latestFirst", "false")
+    reader = spark.readStream.format(fmt).option("latestFirst", "false").option("maxFileAge", MAX_FILE_AGE)
     schema = schema if schema is not None else FIXED_SCHEMAS.get(fmt)
     if schema is not None:
         reader = reader.schema(schema)
