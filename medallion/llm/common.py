@@ -4,12 +4,18 @@
   (``spark.checkpoint.dir``) and reads it back, so a lost executor costs re-run tasks
   only; the shuffle files of the finished job are released at once.
 * :func:`slots` places numbered buckets on shuffle partitions one to one.
-* :func:`row_key` names the columns that identify a row together with its text.
+* :func:`text_key` hashes a text; with the id it names a row.
+* :func:`lean` lets a Python worker hand freed memory back while its task runs and when it ends.
 """
 
 from __future__ import annotations
 
+import ctypes
+import functools
+from collections.abc import Callable, Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,6 +67,29 @@ def bucket_count(df: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> int:
     return max(1, min(MAX_BUCKETS, max(parts, min(size // bucket_bytes, 64 * parts))))
 
 
+def give_back() -> None:
+    """Hands memory that Arrow and the C allocator hold as free back to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
+
+
+def lean(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run`` (a mapInArrow function) whose worker keeps no freed memory: workers are reused by later
+    tasks and stages, and what one of them holds as free counts against its executor."""
+    @functools.wraps(run)
+    def wrapped(batches: Iterator) -> Iterator:
+        try:
+            for out in run(batches):
+                yield out
+                del out
+                give_back()
+        finally:
+            give_back()
+    return wrapped
+
+
 def slots(spark: SparkSession, n: int) -> np.ndarray:
     """For each bucket 0..n-1 a long that Spark's hash partitioner sends to partition = bucket
     when there are n partitions (any other count still keeps a bucket together)."""

@@ -45,13 +45,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 from pyspark.sql.types import LongType
 
-from medallion.llm.common import bucket_count, cut, session, slots, text_key
+from medallion.llm.common import bucket_count, cut, lean, session, slots, text_key
 from medallion.llm.components import components
 from medallion.llm.words import U, Words, grams, mix, words
 
 SHINGLE, PERCENT = 5, 80
 FLUSH_KEYS = 1_000_000  # shingles a map task holds before it packs them
 BLOCK_SETS, BLOCK_KEYS = 128, 200_000  # members and shingles of a block
+OUT_BYTES = 4 << 20  # packed bytes of one Arrow batch
 _LOW = U((1 << 40) - 1)  # bits of a shingle that travel; its bucket adds more
 
 
@@ -160,7 +161,7 @@ def _flush(size, name, keys, n_buckets, slot) -> Iterator[pa.RecordBatch]:
                       (k & U(0xFFFFFFFF)).astype(np.uint32), (k >> U(32)).astype(np.uint8)])
         made.append((b, blob))
         held += len(blob)
-        if held > 8 << 20:
+        if held > OUT_BYTES:
             yield _rows(slot, made)
             made, held = [], 0
     if made:
@@ -242,7 +243,7 @@ def _shared(n_buckets: int, slot: np.ndarray):
                               key[x:y], freq[x:y].astype(np.uint32)])
                 made.append((t, blob))
                 held += len(blob)
-                if held > 8 << 20:
+                if held > OUT_BYTES:
                     yield _rows(slot, made)
                     made, held = [], 0
             if made:
@@ -298,7 +299,7 @@ def _candidates(percent: int):
                 out["prefix"].append(pre.tobytes())
                 out["keys"].append(key[a:b].tobytes())
                 held += 8 * (b - a)
-                if held > 16 << 20:
+                if held > OUT_BYTES:
                     yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in _CAND], schema=_CAND)
                     out, held = {f.name: [] for f in _CAND}, 0
             if out["sid"]:
@@ -419,13 +420,13 @@ def set_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, te
     slot = slots(spark, n_buckets)
     text = docs.select(F.col(text_col).alias("text"))
     packed = "slot long, bucket int, blob binary"
-    index = text.mapInArrow(_postings(k, n_buckets, slot), packed).repartition(n_buckets, "slot")
-    shared = index.mapInArrow(_shared(n_buckets, slot), packed).repartition(n_buckets, "slot")
-    cand = cut(shared.mapInArrow(_candidates(percent), _CAND_DDL), "sets")
+    index = text.mapInArrow(lean(_postings(k, n_buckets, slot)), packed).repartition(n_buckets, "slot")
+    shared = index.mapInArrow(lean(_shared(n_buckets, slot)), packed).repartition(n_buckets, "slot")
+    cand = cut(shared.mapInArrow(lean(_candidates(percent)), _CAND_DDL), "sets")
 
     groups = (cand.groupBy("gid").agg(F.min(F.struct("sid", "n", "lone", "prefix")).alias("g"))
               .select("gid", F.col("g.sid").alias("rep"), "g.n", "g.lone", "g.prefix"))
-    post = cut(groups.mapInArrow(_explode_prefix, "token long, gid long, rep long, n long, lone long, pos long"), "prefixes")
+    post = cut(groups.mapInArrow(lean(_explode_prefix), "token long, gid long, rep long, n long, lone long, pos long"), "prefixes")
     # the pivot: the member with the fewest shingles of its own, relative to its size
     order = F.struct((F.col("lone") * 1000 / F.col("n")).cast("long").alias("o"), F.xxhash64("rep").alias("h"),
                      F.col("rep").alias("p_rep"), F.col("n").alias("p_n"), F.col("pos").alias("p_pos"))
@@ -455,7 +456,7 @@ def set_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, te
     lead = rest.groupBy("sid", "n", "comp").agg(F.min("token").alias("lead"))
     laid = (lead.join(cand.select("sid", "keys"), "sid").repartitionByRange("lead", "n", "sid")
             .sortWithinPartitions("lead", "n", "sid"))
-    blocks = cut(laid.mapInArrow(_blocks, "block long, sids array<long>, blob binary"), "blocks")
+    blocks = cut(laid.mapInArrow(lean(_blocks), "block long, sids array<long>, blob binary"), "blocks")
     where = blocks.select("block", F.explode("sids").alias("sid"))
     touch = (rest.join(where, "sid").groupBy("token", "block")
              .agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.min("comp").alias("c"), F.max("comp").alias("d")))
@@ -467,7 +468,7 @@ def set_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, te
              .select(F.col("block").alias("block_a"), "block_b").distinct())
     pairs = (pairs.join(blocks.select(F.col("block").alias("block_a"), F.col("blob").alias("blob_a")), "block_a")
              .join(blocks.select(F.col("block").alias("block_b"), F.col("blob").alias("blob_b")), "block_b"))
-    more = cut(pairs.select("blob_a", "blob_b").mapInArrow(_cross(percent), "src long, dst long"), "links")
+    more = cut(pairs.select("blob_a", "blob_b").mapInArrow(lean(_cross(percent)), "src long, dst long"), "links")
     comp = first.select(F.col("node").alias("src"), F.col("root").alias("dst")).filter("src != dst")
     return components(comp.unionByName(more)).withColumnRenamed("node", "sid")
 
@@ -479,7 +480,7 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, i
     that id, the smallest text key; documents with an empty set all stay."""
     session(docs)
     text = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_key(text_col).alias("tk"), F.col(text_col).alias("text"))
-    rows = cut(text.mapInArrow(_doc_sets(k), "doc_id long, tk long, sid long, n long"), "documents")
+    rows = cut(text.mapInArrow(lean(_doc_sets(k)), "doc_id long, tk long, sid long, n long"), "documents")
     comps = set_components(docs, k, percent, text_col)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("x"), "doc_id", "tk"))  # ids before NULL
     least = rows.filter("sid IS NOT NULL").groupBy("sid").agg(first.alias("low"))

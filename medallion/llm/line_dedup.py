@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from medallion.llm.common import cut, session, text_key
+from medallion.llm.common import cut, lean, session, text_key
 
 _LINE_SCHEMA = "id long, tk long, pos int, first boolean, k1 long, k2 long"
 _ARROW = pa.schema([("id", pa.int64()), ("tk", pa.int64()), ("pos", pa.int32()), ("first", pa.bool_()),
@@ -63,7 +63,7 @@ def line_dedup(docs: DataFrame, min_docs: int = 10, min_key_len: int = 1,
     session(docs)
     src = docs.select(F.col(id_col).cast("long").alias("id"), text_key(text_col).alias("tk"),
                       F.col(text_col).alias("text"))
-    lines = cut(src.mapInArrow(_line_rows(min_key_len), _LINE_SCHEMA), "lines")
+    lines = cut(src.mapInArrow(lean(_line_rows(min_key_len)), _LINE_SCHEMA), "lines")
     hot = (lines.filter("first").groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("n"))
            .filter(F.col("n") >= min_docs).select("k1", "k2"))
     hot = cut(hot, "hot-lines")  # as a table, the join below can split a line that a third of all documents hold

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 from pyspark.sql.pandas.types import from_arrow_type
 
-from medallion.llm.common import cut, session
+from medallion.llm.common import cut, give_back, session
 from medallion.llm.words import BYTES, grams, hash_spans, mix, rows_of, spans, sum_by_row, words
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -125,6 +125,7 @@ def text_counts(arr: pa.Array) -> dict[str, np.ndarray]:
 @arrow_udf(from_arrow_type(_STRUCT))
 def _counts(text: pa.Array) -> pa.Array:
     c = text_counts(text)
+    give_back()
     return pa.StructArray.from_arrays([pa.array(c[f.name]) for f in _STRUCT], fields=list(_STRUCT))
 
 
