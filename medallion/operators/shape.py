@@ -5,7 +5,7 @@ from __future__ import annotations
 import functools
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -46,11 +46,18 @@ def repartition_to(df: DataFrame, n: int, *cols: str) -> DataFrame:
 
 
 def partition_count(df: DataFrame) -> int:
-    """Declared partition count of the plan (U6); runs no job."""
-    return df.rdd.getNumPartitions()
+    """Partition count that the physical plan declares (U6); runs no job.
+
+    Only where the plan leaves it open (a file scan, say) the planned input
+    splits are counted; under adaptive execution that runs the plan's shuffles.
+    """
+    plan = df._jdf.queryExecution().executedPlan()
+    if plan.nodeName() == "AdaptiveSparkPlan":
+        plan = plan.initialPlan()
+    return plan.outputPartitioning().numPartitions() or df.rdd.getNumPartitions()
 
 
-def partition_sizes(df: DataFrame) -> DataFrame:
-    """Rows per non-empty partition, computed on the executors."""
+def partition_sizes(df: DataFrame, *aggs: Column) -> DataFrame:
+    """Rows per non-empty partition (and further aggregates), computed on the executors."""
     return (df.groupBy(F.spark_partition_id().alias("partition"))
-            .agg(F.count(F.lit(1)).alias("rows")))
+            .agg(F.count(F.lit(1)).alias("rows"), *aggs))

@@ -29,6 +29,7 @@ from medallion.plans.sqlsurface import create_database, create_external_text_tab
 from medallion.plans.sqlsurface import query as sql_query
 from medallion.plans.tutorial import harmonise_flat, harmonise_nested, replicate_average, union_sources
 from medallion.session import scratch
+from medallion.sinks.writers import write_text
 from medallion.sources import fixtures as fx
 from medallion.sources.readers import (all_strings, literal_rows, read_csv_inferred, read_delimited,
                                        read_headerless, read_immutable_parquet, read_json, read_text, table)
@@ -439,7 +440,7 @@ SELECT * FROM ({SQL_PART_POINTS})
 
 def q_mart_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch(spark, "gold")
-    return run_marts(spark, TEST_MARTS, _poi_path_of(spark, sf_dir), out, read_immutable_parquet)
+    return run_marts(spark, TEST_MARTS, _poi_path_of(spark, sf_dir), out, read_immutable_parquet).drop("message")
 
 
 ORACLE_MART_STATUS = """
@@ -582,6 +583,36 @@ FROM j
 """
 
 
+def q_silver_readback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The silver table as written (K1, Q1): every column of its files."""
+    out = scratch(spark, "silver-tx")
+    root = fx.transactions(spark, sf_dir)
+    run_refine_transactions(spark, f"{root}/{fx.TRANSACTION_GLOB}", best_gazetteer(spark, sf_dir), out,
+                            code=PLACE, years=YEARS,
+                            schema=all_strings(fx.TRANSACTION_COLUMNS + ("latitude", "longitude")))
+    return spark.read.parquet(out)
+
+
+ORACLE_SILVER_READBACK = f"""
+WITH {SQL_TX}, {SQL_GAZ},
+f AS (SELECT * FROM tx WHERE {SQL_PLACE} AND {SQL_YEARS})
+SELECT f.doc_id AS "Identifiant_de_document", f.date_s AS "Date_mutation", f.price_s AS "Valeur_fonciere",
+       f.num AS "No_voie", 'RUE' AS "Type_de_voie", f.voie AS "Voie", f.postcode AS "Code_postal",
+       f.dept AS "Code_departement", CAST(f.k % 200 AS VARCHAR) AS "Surface_reelle_bati",
+       f.type_bien AS "Type_local", f.d AS "Date_mutation_formatee",
+       coalesce(f.lat0, b.latitude) AS latitude, coalesce(f.lon0, b.longitude) AS longitude
+FROM f LEFT JOIN best b ON b.akey = {SQL_AKEY}
+"""
+
+
+def q_best_then_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J2 on the raw gazetteer, stored, then J1 as a shuffled join."""
+    raw = read_immutable_parquet(spark, fx.gazetteer(spark, sf_dir))
+    best = geo.prepare_best_candidates(raw, scratch(spark, "gazetteer-best"))
+    filled = geo.fill_coordinates(_fill_input(spark, sf_dir), best.hint("merge"), "address")
+    return filled.select(TX_ID, "address", "latitude", "longitude")
+
+
 # --- text (A3, S10) ------------------------------------------------------------------
 
 def q_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -595,12 +626,31 @@ WHERE word <> '' GROUP BY word
 """
 
 
+def q_word_count_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The word count written by the text sink (K2) and read back line by line."""
+    out = scratch(spark, "word-count-text")
+    write_text(q_word_count(spark, sf_dir), out)
+    return read_text(spark, out).select(F.col("value").alias("line"))
+
+
+ORACLE_WORD_COUNT_TEXT = f"""
+SELECT replace(word, chr(92), chr(92) || chr(92)) || chr(9) || CAST(count AS VARCHAR) AS line
+FROM ({ORACLE_WORD_COUNT})
+"""
+
+
 # --- tutorial plans and set operations (Q7, Q8, U1-U6) -----------------------------------
 
+# The customer file has no address columns; the flat source gets these as constants.
+FLAT_CONSTANTS = {"address1": "1 Main St", "address2": None, "city": "Raleigh", "zip": "27601", "tel": None,
+                  "dateStart": "2000-01-01"}
+
+
 def q_union_harmonised(spark: SparkSession, sf_dir: str) -> DataFrame:
     wake = harmonise_flat(read_csv_inferred(spark, fx.customer_csv(spark, sf_dir)), "Wake",
                           {"c_custkey": "datasetId", "c_name": "name", "c_mktsegment": "type",
-                           "c_acctbal": "geoX", "c_nationkey": "geoY"}, state="NC")
+                           "c_acctbal": "geoX", "c_nationkey": "geoY"}, state="NC",
+                          constants=FLAT_CONSTANTS)
     durham = harmonise_nested(read_json(spark, fx.nested_json(spark, sf_dir)), "Durham")
     return union_sources(wake, durham)
 
@@ -608,12 +658,17 @@ def q_union_harmonised(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLE_UNION_HARMONISED = f"""
 SELECT CAST(c_custkey AS BIGINT) AS datasetId, c_name AS name, c_mktsegment AS type, c_acctbal AS geoX,
        CAST(c_nationkey AS DOUBLE) AS geoY, 'Wake' AS county, 'NC' AS state,
-       CAST(NULL AS VARCHAR) AS dateEnd, 'NC_Wake_' || CAST(c_custkey AS VARCHAR) AS id
+       CAST(NULL AS VARCHAR) AS dateEnd, 'NC_Wake_' || CAST(c_custkey AS VARCHAR) AS id,
+       '1 Main St' AS address1, CAST(NULL AS VARCHAR) AS address2, 'Raleigh' AS city, '27601' AS zip,
+       CAST(NULL AS VARCHAR) AS tel, '2000-01-01' AS dateStart
 FROM customer
 UNION ALL
 SELECT datasetId, name, type, geoX, geoY, 'Durham', 'NC', CAST(NULL AS VARCHAR),
-       'NC_Durham_' || CAST(datasetId AS VARCHAR)
-FROM ({SQL_DURHAM})
+       'NC_Durham_' || CAST(datasetId AS VARCHAR), CAST(user_id % 100 AS VARCHAR) || ' Oak Ave',
+       CASE WHEN datasetId % 4 = 0 THEN 'Suite ' || CAST(datasetId % 7 AS VARCHAR) END, 'Durham',
+       CAST(27700 + user_id % 10 AS VARCHAR), CASE WHEN datasetId % 3 > 0 THEN '919-' || CAST(datasetId AS VARCHAR) END,
+       strftime(ts, '%Y-%m-%d')
+FROM (SELECT d.*, e.user_id, e.ts FROM ({SQL_DURHAM}) d JOIN events e ON e.event_id = d.datasetId)
 """
 
 
@@ -645,13 +700,17 @@ FROM (SELECT CAST(p_partkey AS INTEGER) AS "Year", p_brand AS "State",
 def q_repartition_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = repartition_to(table(spark, sf_dir, "orders"), 4)
     declared = partition_count(df)
-    return (partition_sizes(df)
-            .agg(F.count(F.lit(1)).alias("n_nonempty"), F.sum("rows").alias("n_rows"))
-            .select(F.lit(declared).alias("n_partitions"), "n_nonempty", "n_rows"))
+    # keys and dates travel with the rows, as they would ahead of any per-partition work
+    return (partition_sizes(df, F.sum("o_orderkey").alias("keys"), F.max("o_orderdate").alias("last"))
+            .agg(F.count(F.lit(1)).alias("n_nonempty"), F.sum("rows").alias("n_rows"),
+                 F.sum("keys").alias("key_sum"), F.max("last").cast("date").alias("last_date"))
+            .select(F.lit(declared).alias("n_partitions"), "n_nonempty", "n_rows", "key_sum", "last_date"))
 
 
 ORACLE_REPARTITION_COUNT = """
-SELECT 4 AS n_partitions, CAST(4 AS BIGINT) AS n_nonempty, count(*) AS n_rows FROM orders
+SELECT 4 AS n_partitions, CAST(4 AS BIGINT) AS n_nonempty, count(*) AS n_rows,
+       CAST(sum(o_orderkey) AS BIGINT) AS key_sum, CAST(max(o_orderdate) AS DATE) AS last_date
+FROM orders
 """
 
 
@@ -735,7 +794,10 @@ QUERIES: dict[str, Query] = {
     "best_candidate": q_best_candidate,
     "fill_by_provider": q_fill_by_provider,
     "missing_count": q_missing_count,
+    "silver_readback": q_silver_readback,
+    "best_then_fill": q_best_then_fill,
     "word_count": q_word_count,
+    "word_count_text": q_word_count_text,
     "union_harmonised": q_union_harmonised,
     "union_positional": q_union_positional,
     "replicate_average": q_replicate_average,
@@ -773,7 +835,10 @@ ORACLES: dict[str, str] = {
     "best_candidate": ORACLE_BEST_CANDIDATE,
     "fill_by_provider": ORACLE_FILL_BY_PROVIDER,
     "missing_count": ORACLE_MISSING_COUNT,
+    "silver_readback": ORACLE_SILVER_READBACK,
+    "best_then_fill": ORACLE_FILL_COORDINATES,
     "word_count": ORACLE_WORD_COUNT,
+    "word_count_text": ORACLE_WORD_COUNT_TEXT,
     "union_harmonised": ORACLE_UNION_HARMONISED,
     "union_positional": ORACLE_UNION_POSITIONAL,
     "replicate_average": ORACLE_REPLICATE_AVERAGE,

@@ -9,7 +9,6 @@ Both return status tables instead of printing and going on.
 
 from __future__ import annotations
 
-import sys
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -91,10 +90,9 @@ def gold_job(spark: SparkSession, data_root: str,
             mart, obs = observed(price_mart(spark.read.parquet(src), decimal_sep), "price_mart",
                                  rows=F.count(F.lit(1)))
             write_parquet(mart, f"{root}/gold/{PRICE_MART}.parquet", sources=[src])
-            row = (PRICE_MART, TRANSACTIONS_SILVER, None, "ok", int(obs.get["rows"]))
+            row = (PRICE_MART, TRANSACTIONS_SILVER, None, "ok", None, int(obs.get["rows"]))
         except Exception as e:  # noqa: BLE001 - the point marts' status must not be lost
-            print(f"{PRICE_MART}: {error_text(e)}", file=sys.stderr)
-            row = (PRICE_MART, TRANSACTIONS_SILVER, None, "error", None)
+            row = (PRICE_MART, TRANSACTIONS_SILVER, None, "error", error_text(e), None)
     else:
-        row = (PRICE_MART, TRANSACTIONS_SILVER, None, "missing", None)
+        row = (PRICE_MART, TRANSACTIONS_SILVER, None, "missing", f"path not found: {src}", None)
     return status.unionByName(spark.createDataFrame([row], status.schema))

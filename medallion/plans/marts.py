@@ -134,10 +134,10 @@ def build_mart(spark: SparkSession, mart: str, entries: Sequence[tuple[str, str]
     """
     frames, statuses, observations = [], [], []
     for dataset, label in entries:
-        if not fs.exists(spark, path_of(dataset)):
-            statuses.append(SourceStatus(mart, dataset, label, "missing", f"path not found: {path_of(dataset)}"))
-            continue
         try:
+            if not fs.exists(spark, path_of(dataset)):
+                statuses.append(SourceStatus(mart, dataset, label, "missing", f"path not found: {path_of(dataset)}"))
+                continue
             pts = poi_source(spark, path_of(dataset), label, read)
         except NoCoordinates as e:
             statuses.append(SourceStatus(mart, dataset, label, "no_coordinates", str(e)))
@@ -156,7 +156,7 @@ def build_mart(spark: SparkSession, mart: str, entries: Sequence[tuple[str, str]
     return mart_df, statuses, observations
 
 
-MART_STATUS_SCHEMA = "mart string, dataset string, categorie string, status string, n_rows bigint"
+MART_STATUS_SCHEMA = "mart string, dataset string, categorie string, status string, message string, n_rows bigint"
 
 
 def run_marts(spark: SparkSession, catalogue: Mapping[str, Sequence[tuple[str, str]]],
@@ -179,7 +179,7 @@ def run_marts(spark: SparkSession, catalogue: Mapping[str, Sequence[tuple[str, s
             except Exception as e:  # noqa: BLE001 - run-time failure of the mart job
                 for i, _ in observations:
                     statuses[i].status, statuses[i].message = "error", error_text(e)
-        return [(s.mart, s.dataset, s.categorie, s.status, counts.get(i)) for i, s in enumerate(statuses)]
+        return [(s.mart, s.dataset, s.categorie, s.status, s.message, counts.get(i)) for i, s in enumerate(statuses)]
 
     with ThreadPoolExecutor(max_workers=max(1, max_parallel)) as pool:
         rows = [r for part in pool.map(one, catalogue.items()) for r in part]

@@ -160,7 +160,8 @@ def refine_one(spark: SparkSession, dataset: str, path: str, fmt: str, out_path:
     try:
         df = read_delimited(spark, path, sep=sep) if fmt == "csv" else read_parquet(spark, path)
     except Exception as e:  # noqa: BLE001 - reported per dataset
-        return (dataset, "missing", error_text(e), None, None)
+        gone = "PATH_NOT_FOUND" in str(e)  # a glob that matches nothing, say
+        return (dataset, "missing" if gone else "unreadable", error_text(e), None, None)
     try:
         df = clean_column_names(df, keep_hyphen=keep_hyphen)
     except NameCollision as e:

@@ -22,7 +22,7 @@ from medallion.session import workspace
 from medallion.sources.readers import table
 
 # Bump when a builder changes so stale copies are not reused.
-FIXTURE_VERSION = "v4"
+FIXTURE_VERSION = "v5"
 
 
 def fixture_root(spark: SparkSession, sf_dir: str) -> str:
@@ -114,6 +114,7 @@ def transactions(spark: SparkSession, sf_dir: str, with_coords: bool = True) ->
 
 
 TRANSACTION_GLOB = "Orders-*/Orders-*.csv"
+# The column names of the transaction files.
 TRANSACTION_COLUMNS = (
     "Identifiant de document", "Date mutation", "Valeur fonciere", "No voie", "Type de voie", "Voie",
     "Code postal", "Code departement", "Surface reelle bati", "Type local",
@@ -243,6 +244,14 @@ def nested_json(spark: SparkSession, sf_dir: str) -> str:
             F.col("event_id").alias("id"),
             F.concat(F.lit("user_"), F.col("user_id").cast("string")).alias("premise_name"),
             F.lit("NC").alias("premise_state"),
+            F.concat((F.col("user_id") % 100).cast("string"), F.lit(" Oak Ave")).alias("premise_address1"),
+            F.when(F.col("event_id") % 4 == 0, F.concat(F.lit("Suite "), (F.col("event_id") % 7).cast("string")))
+             .alias("premise_address2"),
+            F.lit("Durham").alias("premise_city"),
+            (F.lit(27700) + F.col("user_id") % 10).cast("string").alias("premise_zip"),
+            F.when(F.col("event_id") % 3 > 0, F.concat(F.lit("919-"), F.col("event_id").cast("string")))
+             .alias("premise_phone"),
+            F.date_format("ts", "yyyy-MM-dd").alias("opening_date"),
             F.when(m == 1, F.col("event_type"))
              .otherwise(F.concat((F.col("user_id") % 10).cast("string"), F.lit(" - "),
                                  F.col("event_type"))).alias("type_description"),
