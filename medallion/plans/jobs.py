@@ -2,8 +2,8 @@
 
 ``silver_job``: transactions CSV set, station CSV and the Parquet sets to
 silver Parquet. ``gold_job``: price mart and the four labelled point marts.
-Folder layout under ``data_root`` is the one the landing step produces:
-``<dataset>/<dataset>.<ext>`` for sources, ``silver/`` and ``gold/`` for outputs.
+Folder layout under ``data_root``:
+``<dataset>/<dataset>.<ext>`` for sources (``land`` writes one table instead; see ``transactions``), ``silver/`` and ``gold/`` for outputs.
 Both return status tables instead of printing and going on.
 """
 
