@@ -32,6 +32,8 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     s.add_argument("--years", default="2021-2025")
     s.add_argument("--place", default="75")
     s.add_argument("--bronze-transactions", help="landed Parquet table to refine instead of the CSV files")
+    s.add_argument("--bronze", help="folder of landed tables, one per dataset, read before <root>/<dataset>")
+    s.add_argument("--max-calls", type=int, help="provider calls at a time")
     s.add_argument("--provider", help="module:function taking a pandas Series of addresses and returning "
                                       "a DataFrame with latitude and longitude (used when no gazetteer)")
     s.add_argument("--provider-cache", help="Parquet folder keeping provider answers across runs")
@@ -67,7 +69,8 @@ def main(argv: list[str] | None = None, spark=None) -> int:
         tx = spark.read.parquet(a.bronze_transactions) if a.bronze_transactions else None
         provider = _load(a.provider) if a.provider else None
         res = silver_job(spark, a.data_root, gazetteer=gaz, provider=provider, code=a.place,
-                         years=(first, last), transactions=tx, provider_cache=a.provider_cache)
+                         years=(first, last), transactions=tx, provider_cache=a.provider_cache,
+                         bronze=a.bronze, max_calls=a.max_calls)
         if res.transactions:
             print(json.dumps(res.transactions.__dict__))
         res.status.show(res.status.count(), truncate=False)

@@ -10,6 +10,7 @@ planner's size estimate, re-checked by AQE on the real shuffle output).
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -87,7 +88,7 @@ def broadcastable(best: DataFrame) -> bool:
     return bool(files) and fs.total_bytes(spark, list(files)) <= limit
 
 
-def _lookup_key(address: Column, lat_col: str, lon_col: str) -> Column:
+def _lookup_key(address: Column, lat_col: str, lon_col: str, spread_by: Sequence[str] | None = None) -> Column:
     """Join key: the normalised address for rows that need a lookup.
 
     Rows that already have both coordinates get a non-matching key spread by
@@ -95,11 +96,14 @@ def _lookup_key(address: Column, lat_col: str, lon_col: str) -> Column:
     every NULL key hashes to one reducer, which would put all complete rows
     into a single task. The hash uses only columns the join needs anyway, so
     column pruning still reaches the scan, and it is deterministic, so a
-    re-run task sends each row to the same reducer.
+    re-run task sends each row to the same reducer. Rows without a usable
+    address get such a key too; ``spread_by`` (a record id, say) tells apart
+    those that are equal in address and coordinates.
     """
     need = F.col(lat_col).isNull() | F.col(lon_col).isNull()
     spread = F.concat(F.lit("\u0000#"),
-                      F.xxhash64(address, F.col(lat_col), F.col(lon_col)).cast("string"))
+                      F.xxhash64(address, F.col(lat_col), F.col(lon_col),
+                                 *[F.col(c) for c in spread_by or ()]).cast("string"))
     return F.coalesce(F.when(need, address), spread)
 
 
@@ -107,7 +111,7 @@ def fill_coordinates(df: DataFrame, best: DataFrame, address: str | Column,
                      lat_col: str = "latitude", lon_col: str = "longitude",
                      key_min_length: int = 5, hot: DataFrame | None = None,
                      salt_buckets: int = 16, split_complete: bool = False,
-                     max_hot_keys: int = 10000, salt_by: Sequence[str] | None = None) -> DataFrame:
+                     salt_by: Sequence[str] | None = None, join_hint: str | None = None) -> DataFrame:
     """Fill missing coordinates from a one-row-per-key table.
 
     Existing values are kept; each coordinate is filled on its own with
@@ -124,33 +128,31 @@ def fill_coordinates(df: DataFrame, best: DataFrame, address: str | Column,
     the same with or without salting. The salt is a hash of the row (or of
     the ``salt_by`` columns, e.g. a record id, which keeps column pruning), so
     a re-run task sends every row to the same bucket again; rows that are
-    identical in those columns share a bucket.
-
-    ``split_complete`` joins only the rows that lack a coordinate and adds the
-    complete rows back by union: a shuffled join then never moves complete
-    rows, at the price of reading the input twice (worth it for a columnar
-    input where most rows are complete).
+    identical in those columns share a bucket. ``salt_by`` also spreads the
+    rows that cannot match. The list of hot keys is used whole; the planner
+    chooses how to join it.
+
+    ``split_complete`` joins only the rows that lack a coordinate and have a
+    usable address and adds the others back by union: a shuffled join then
+    moves neither complete nor keyless rows, at the price of reading the input
+    twice (worth it for a columnar input where most rows are complete).
+    ``join_hint`` (``"merge"``, say) goes to the lookup join.
     """
+    addr = F.col(address) if isinstance(address, str) else address
     if split_complete:
-        need = F.col(lat_col).isNull() | F.col(lon_col).isNull()
+        need = ((F.col(lat_col).isNull() | F.col(lon_col).isNull())
+                & address_key(addr, key_min_length).isNotNull())
         todo = fill_coordinates(df.filter(need), best, address, lat_col, lon_col, key_min_length,
-                                hot, salt_buckets, max_hot_keys=max_hot_keys, salt_by=salt_by)
+                                hot, salt_buckets, salt_by=salt_by, join_hint=join_hint)
         return todo.unionByName(df.filter(~need))
-    addr = F.col(address) if isinstance(address, str) else address
-    key = _lookup_key(address_key(addr, key_min_length), lat_col, lon_col)
+    key = _lookup_key(address_key(addr, key_min_length), lat_col, lon_col, salt_by)
     right = (best.filter(~F.col(KEY).startswith("\u0000"))
              .select(F.col(KEY).alias("_k"), F.col("latitude").alias("_g_lat"),
                      F.col("longitude").alias("_g_lon")))
     left = df.withColumn("_k", key)
     on = ["_k"]
     if hot is not None:
-        # Broadcast a capped list; keys past the cap take the ordinary path,
-        # which gives the same rows, so the cap never changes a result. The
-        # cap is ordered so both join sides, which each read the list, keep
-        # exactly the same keys.
-        flags = F.broadcast(hot.select(F.col(KEY).alias("_k")).distinct()
-                            .orderBy("_k").limit(max_hot_keys)
-                            .withColumn("_hot", F.lit(True)))
+        flags = hot.select(F.col(KEY).alias("_k")).distinct().withColumn("_hot", F.lit(True))
         left = left.join(flags, "_k", "left")
         salt_cols = [F.col(c) for c in (salt_by or df.columns)]
         left = left.withColumn("_salt", F.when(
@@ -161,70 +163,86 @@ def fill_coordinates(df: DataFrame, best: DataFrame, address: str | Column,
                                                 .otherwise(F.array(F.lit(0)))))
                  .drop("_hot"))
         on = ["_k", "_salt"]
-    joined = left.join(right, on=on, how="left")
+    joined = left.join(right.hint(join_hint) if join_hint else right, on=on, how="left")
     return (joined.withColumns({lat_col: F.coalesce(F.col(lat_col), F.col("_g_lat")),
                                 lon_col: F.coalesce(F.col(lon_col), F.col("_g_lon"))})
             .drop("_k", "_salt", "_g_lat", "_g_lon"))
 
 
-def hot_keys(df: DataFrame, address: str | Column, min_rows: int, max_keys: int = 10000,
+def hot_keys(df: DataFrame, address: str | Column, min_rows: int,
              lat_col: str = "latitude", lon_col: str = "longitude", key_min_length: int = 5) -> DataFrame:
     """Addresses needing a lookup that occur at least ``min_rows`` times.
 
-    A grouped count that combines map-side; at most ``max_keys`` of the most
-    frequent are kept so the list stays broadcastable. Keys left out are not
-    lost: they take the ordinary join path.
+    A grouped count that combines map-side. The list has at most rows /
+    ``min_rows`` keys, so a threshold that grows with the input keeps it short.
     """
     addr = F.col(address) if isinstance(address, str) else address
     need = F.col(lat_col).isNull() | F.col(lon_col).isNull()
-    counts = (df.filter(need).select(address_key(addr, key_min_length).alias(KEY))
-              .filter(F.col(KEY).isNotNull()).groupBy(KEY).agg(F.count(F.lit(1)).alias("rows"))
-              .filter(F.col("rows") >= F.lit(min_rows)))
-    return counts.orderBy(F.col("rows").desc(), F.col(KEY)).limit(max_keys).select(KEY)
+    return (df.filter(need).select(address_key(addr, key_min_length).alias(KEY))
+            .filter(F.col(KEY).isNotNull()).groupBy(KEY).agg(F.count(F.lit(1)).alias("rows"))
+            .filter(F.col("rows") >= F.lit(min_rows)).select(KEY))
 
 
 Provider = Callable[[pd.Series], pd.DataFrame]
 
 
+# Outcomes of one address: coordinates given, none known, or the call failed.
+FOUND, UNKNOWN, FAILED = "found", "unknown", "failed"
+
+
+class ProviderFailed(RuntimeError):
+    pass
+
+
+@dataclass
+class ProviderAnswers:
+    """The stored answers, and how the addresses asked in this run came out."""
+
+    table: DataFrame
+    found: int
+    unknown: int
+    failed: int
+
+
+def _ask(provider: Provider, keys: list[str]) -> list[tuple]:
+    """``(latitude, longitude, outcome)`` per key. A call that raises, or whose answers can't be told
+    apart because their number differs, is asked again in halves, down to single addresses; there no
+    answer means unknown."""
+    try:
+        got = provider(pd.Series(keys))
+        if len(got) == len(keys):
+            lat = pd.to_numeric(got["latitude"], errors="coerce").tolist()
+            lon = pd.to_numeric(got["longitude"], errors="coerce").tolist()
+            return [(y, x, FOUND if pd.notna(y) and pd.notna(x) else UNKNOWN) for y, x in zip(lat, lon)]
+        if len(keys) == 1:
+            return [(None, None, FAILED if len(got) else UNKNOWN)]
+    except Exception:  # noqa: BLE001 - one bad address must not void the batch; counted as failed
+        if len(keys) == 1:
+            return [(None, None, FAILED)]
+    half = len(keys) // 2
+    return _ask(provider, keys[:half]) + _ask(provider, keys[half:])
+
+
 def _resolve_batches(provider: Provider) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            keys = pdf[KEY].reset_index(drop=True)
-            try:
-                got = provider(keys)
-                lat = pd.to_numeric(got["latitude"], errors="coerce").reset_index(drop=True)
-                lon = pd.to_numeric(got["longitude"], errors="coerce").reset_index(drop=True)
-                if len(got) != len(keys):  # answers can't be told apart: ask one by one
-                    raise ValueError(f"{len(got)} answers to {len(keys)} addresses")
-            except Exception:
-                # One bad address must not void the batch: ask again one by one,
-                # and an address whose call fails resolves to NULL.
-                lat_l, lon_l = [], []
-                for a in keys:
-                    try:
-                        one = provider(pd.Series([a]))
-                        if len(one) != 1:
-                            raise ValueError(f"{len(one)} answers to one address")
-                        lat_l.append(pd.to_numeric(one["latitude"], errors="coerce").iloc[0])
-                        lon_l.append(pd.to_numeric(one["longitude"], errors="coerce").iloc[0])
-                    except Exception:
-                        lat_l.append(None)
-                        lon_l.append(None)
-                lat = pd.Series(lat_l, dtype="float64")
-                lon = pd.Series(lon_l, dtype="float64")
-            yield pd.DataFrame({KEY: keys, "latitude": lat.astype("float64"),
-                                "longitude": lon.astype("float64")})
+            keys = pdf[KEY].tolist()
+            out = pd.DataFrame(_ask(provider, keys) if keys else [], columns=["latitude", "longitude", "outcome"])
+            yield pd.DataFrame({KEY: keys, "latitude": out["latitude"].astype("float64"),
+                                "longitude": out["longitude"].astype("float64"), "outcome": out["outcome"]})
     return run
 
 
 def resolve_with_provider(df: DataFrame, provider: Provider, address: str | Column,
                           lat_col: str = "latitude", lon_col: str = "longitude",
-                          known: DataFrame | None = None) -> DataFrame:
+                          known: DataFrame | None = None, max_calls: int | None = None) -> DataFrame:
     """Ask ``provider`` once per *distinct* address that needs coordinates.
 
     The distinct step combines map-side, so a repeated address costs one call;
     calls are made batch-wise on the executors through Arrow. Addresses in
-    ``known`` (a table with ``address_key``) are not asked again.
+    ``known`` (a table with ``address_key``) are not asked again. ``max_calls``
+    bounds the tasks, and so the calls, that run at a time. ``outcome`` says
+    ``found``, ``unknown`` or ``failed`` for each address.
     """
     ship_package(df.sparkSession)
     addr = F.col(address) if isinstance(address, str) else address
@@ -233,43 +251,58 @@ def resolve_with_provider(df: DataFrame, provider: Provider, address: str | Colu
             .filter(F.col(KEY).isNotNull()).distinct())
     if known is not None:
         keys = keys.join(known.select(KEY), KEY, "left_anti")
+    if max_calls:
+        keys = keys.repartition(max_calls, KEY)
     return keys.mapInPandas(_resolve_batches(provider),
-                            schema=f"{KEY} string, latitude double, longitude double")
+                            schema=f"{KEY} string, latitude double, longitude double, outcome string")
 
 
-def provider_table(df: DataFrame, provider: Provider, address: str | Column,
-                   lat_col: str = "latitude", lon_col: str = "longitude",
-                   resolved_path: str | None = None, cache_path: str | None = None) -> DataFrame:
-    """Provider answers for the addresses of ``df`` as a stored table.
+def ask_provider(df: DataFrame, provider: Provider, address: str | Column,
+                 lat_col: str = "latitude", lon_col: str = "longitude",
+                 resolved_path: str | None = None, cache_path: str | None = None,
+                 max_calls: int | None = None) -> ProviderAnswers:
+    """Provider answers for the addresses of ``df`` as a stored table, with outcome counts.
 
     Written once (``resolved_path``, by default a fresh folder in the shared
-    workspace): every provider call happens exactly once, a later stage
-    failure does not call the provider again, and a lookup join against it
-    has the stored-table shape that AQE can split on a hot address.
-
-    With ``cache_path`` the answers persist across runs instead: addresses
-    found there are not asked again, and new answers with both coordinates
-    are appended (an address the provider could not place is asked again
-    next run).
+    workspace): a later stage does not call the provider again (a re-run task
+    of this step does), and a lookup join against it has the stored-table
+    shape that AQE can split on a hot address. At most ``max_calls`` calls run
+    at a time where given.
+
+    With ``cache_path`` the answers persist across runs: addresses found there
+    are not asked again, and new answers with both coordinates are appended
+    (an address the provider could not place is asked again next run).
+
+    Raises :class:`ProviderFailed` when every address asked in this run failed.
     """
     spark = df.sparkSession
-    if cache_path is None:
-        path = resolved_path or scratch(spark, "resolved-addresses")
-        write_parquet(resolve_with_provider(df, provider, address, lat_col, lon_col), path)
-        return spark.read.parquet(path)
     known = (spark.read.schema(f"{KEY} string, latitude double, longitude double").parquet(cache_path)
-             if fs.exists(spark, cache_path) else None)
-    fresh = resolve_with_provider(df, provider, address, lat_col, lon_col, known)
-    fresh.filter(complete(["latitude", "longitude"])).write.mode("append").parquet(cache_path)
+             if cache_path is not None and fs.exists(spark, cache_path) else None)
+    path = resolved_path or scratch(spark, "resolved-addresses")
+    write_parquet(resolve_with_provider(df, provider, address, lat_col, lon_col, known, max_calls), path)
+    asked = spark.read.parquet(path)
+    count = {r["outcome"]: r["count"] for r in asked.groupBy("outcome").count().collect()}
+    found, unknown, failed = (count.get(o, 0) for o in (FOUND, UNKNOWN, FAILED))
+    if failed and not found and not unknown:
+        raise ProviderFailed(f"the provider failed for all {failed} addresses asked")
+    if cache_path is None:
+        return ProviderAnswers(asked, found, unknown, failed)
+    asked.filter(F.col("outcome") == FOUND).drop("outcome").write.mode("append").parquet(cache_path)
     # one row per address, whatever concurrent or repeated runs have appended
-    return spark.read.parquet(cache_path).dropDuplicates([KEY])
+    return ProviderAnswers(spark.read.parquet(cache_path).dropDuplicates([KEY]), found, unknown, failed)
+
+
+def provider_table(df: DataFrame, provider: Provider, address: str | Column, **options) -> DataFrame:
+    """The table of :func:`ask_provider`, which takes the same options."""
+    return ask_provider(df, provider, address, **options).table
 
 
 def fill_by_provider(df: DataFrame, provider: Provider, address: str | Column,
                      lat_col: str = "latitude", lon_col: str = "longitude",
                      resolved_path: str | None = None, cache_path: str | None = None) -> DataFrame:
     """Fill missing coordinates through ``provider`` (D1 + J1); see :func:`provider_table`."""
-    answers = provider_table(df, provider, address, lat_col, lon_col, resolved_path, cache_path)
+    answers = provider_table(df, provider, address, lat_col=lat_col, lon_col=lon_col,
+                             resolved_path=resolved_path, cache_path=cache_path)
     return fill_coordinates(df, answers, address, lat_col, lon_col)
 
 
@@ -306,7 +339,7 @@ def point_columns(df: DataFrame, candidates: Sequence[str] = POINT_COLUMNS) -> t
     lon = find_column(df, ["longitude"])
     if lat is not None and lon is not None:
         return to_double(F.col(f"`{lat}`")), to_double(F.col(f"`{lon}`")), "columns"
-    raise NoCoordinates(f"no coordinate columns among {df.columns[:5]}")
+    raise NoCoordinates(f"no coordinate columns among {df.columns}")
 
 
 def extract_points(df: DataFrame, label: str,

@@ -23,7 +23,8 @@ from medallion.operators.filters import incomplete, place_filter, require, year_
 from medallion.operators.names import add_if_missing, clean_column_names, rename
 from medallion.operators.shape import partition_count, partition_sizes, repartition_to, union_positional
 from medallion.operators.text import word_count
-from medallion.plans.marts import build_mart, poi_source, price_mart, run_marts
+from medallion.plans.jobs import BRONZE_TRANSACTIONS, gold_job, silver_job
+from medallion.plans.marts import PRICE_MART, build_mart, poi_source, price_mart, run_marts
 from medallion.plans.refine import refine_transactions, run_refine_batch, run_refine_transactions
 from medallion.plans.sqlsurface import create_database, create_external_text_table
 from medallion.plans.sqlsurface import query as sql_query
@@ -504,14 +505,14 @@ def q_fill_coordinates_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = _fill_input(spark, sf_dir)
     hot = geo.hot_keys(df, "address", min_rows=5)
     filled = geo.fill_coordinates(df, best_gazetteer(spark, sf_dir), "address", hot=hot, salt_buckets=8,
-                                  salt_by=[TX_ID])
+                                  salt_by=[TX_ID], join_hint="merge")
     return filled.select(TX_ID, "address", "latitude", "longitude")
 
 
 def q_fill_coordinates_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J1 joining only the rows that lack a coordinate, complete rows by union."""
     filled = geo.fill_coordinates(_fill_input(spark, sf_dir), best_gazetteer(spark, sf_dir), "address",
-                                  split_complete=True)
+                                  split_complete=True, join_hint="merge")
     return filled.select(TX_ID, "address", "latitude", "longitude")
 
 
@@ -729,6 +730,50 @@ def q_land_once(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLE_LAND_ONCE = "SELECT doc_id, text FROM documents"
 
 
+STACK_MARTS = {"dm_points": (("customer_points", "Client"), ("stations", "Gare / Station"))}
+
+
+def q_land_refine_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landing, silver job and gold job over orders, supplier and customer; the gold files as written."""
+    root = scratch(spark, "stack")
+    bronze, points = f"{root}/bronze", f"{fx.poi_sources(spark, sf_dir)}/customer_points.parquet"
+    stations = fx.stations_csv(spark, sf_dir)
+    text = {"header": "true", "sep": ";", "enforceSchema": "false"}
+    for name, source, fmt, schema, options in (
+            (BRONZE_TRANSACTIONS, f"{fx.transactions(spark, sf_dir)}/{fx.TRANSACTION_GLOB}", "csv",
+             all_strings(fx.TRANSACTION_COLUMNS + ("latitude", "longitude")), text),
+            ("stations", stations, "csv", read_delimited(spark, stations, sep=";").schema, text),
+            ("customer_points", points, "parquet", read_immutable_parquet(spark, points).schema, {})):
+        land(spark, source, f"{bronze}/{name}", f"{root}/checkpoint/{name}", fmt=fmt, schema=schema, options=options)
+    silver_job(spark, root, gazetteer=read_immutable_parquet(spark, fx.gazetteer(spark, sf_dir)), code=PLACE,
+               years=YEARS, datasets=("customer_points",), stations="stations", bronze=bronze)
+    gold_job(spark, root, catalogue=STACK_MARTS)
+    none = F.lit(None).cast("double")
+    prices = spark.read.parquet(f"{root}/gold/{PRICE_MART}.parquet")
+    return (prices.select(F.lit(PRICE_MART).alias("mart"), F.col("type_bien").alias("kind"), "prix", "surface",
+                          "latitude", "longitude")
+            .unionByName(spark.read.parquet(f"{root}/gold/dm_points.parquet").select(
+                F.lit("dm_points").alias("mart"), F.col("categorie").alias("kind"), none.alias("prix"),
+                none.alias("surface"), "latitude", "longitude")))
+
+
+ORACLE_LAND_REFINE_MART = f"""
+WITH {SQL_TX}, {SQL_GAZ},
+f AS (SELECT * FROM tx WHERE {SQL_PLACE} AND {SQL_YEARS}),
+j AS (
+  SELECT f.prix, f.surface, f.type_bien,
+         coalesce(f.lat0, b.latitude) AS latitude, coalesce(f.lon0, b.longitude) AS longitude
+  FROM f LEFT JOIN best b ON b.akey = {SQL_AKEY}
+)
+SELECT '{PRICE_MART}' AS mart, type_bien AS kind, prix, surface, latitude, longitude FROM j
+WHERE latitude IS NOT NULL AND prix IS NOT NULL
+UNION ALL
+SELECT 'dm_points', 'Client', NULL, NULL, latitude, longitude FROM ({SQL_CUSTOMER_POINTS})
+UNION ALL
+SELECT 'dm_points', 'Gare / Station', NULL, NULL, 48 + (s_suppkey % 64) / 64, 2 + s_nationkey / 32 FROM supplier
+"""
+
+
 # --- SQL surface (S8, H2-H4, L1) ----------------------------------------------------------
 
 EXT_COLUMNS = "num INT, name CHAR(100), segment CHAR(100), balance DOUBLE, id INT"
@@ -803,6 +848,7 @@ QUERIES: dict[str, Query] = {
     "replicate_average": q_replicate_average,
     "repartition_count": q_repartition_count,
     "land_once": q_land_once,
+    "land_refine_mart": q_land_refine_mart,
     "external_table": q_external_table,
     "sql_limit": q_sql_limit,
 }
@@ -844,6 +890,7 @@ ORACLES: dict[str, str] = {
     "replicate_average": ORACLE_REPLICATE_AVERAGE,
     "repartition_count": ORACLE_REPARTITION_COUNT,
     "land_once": ORACLE_LAND_ONCE,
+    "land_refine_mart": ORACLE_LAND_REFINE_MART,
     "external_table": ORACLE_EXTERNAL_TABLE,
     "sql_limit": ORACLE_SQL_LIMIT,
 }

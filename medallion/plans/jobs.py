@@ -3,7 +3,7 @@
 ``silver_job``: transactions CSV set, station CSV and the Parquet sets to
 silver Parquet. ``gold_job``: price mart and the four labelled point marts.
 Folder layout under ``data_root``:
-``<dataset>/<dataset>.<ext>`` for sources (``land`` writes one table instead; see ``transactions``), ``silver/`` and ``gold/`` for outputs.
+``<dataset>/<dataset>.<ext>`` for sources, or landed tables ``<bronze>/<dataset>``; ``silver/`` and ``gold/`` for outputs.
 Both return status tables instead of printing and going on.
 """
 
@@ -25,10 +25,12 @@ from medallion.plans.refine import (ADDRESS_PARTS, CITY_SUFFIX, RefineReport, er
                                     run_refine_transactions, stage_transactions, transactions_needing_fill)
 from medallion.sinks.writers import write_parquet
 from medallion.sources.readers import read_delimited
+from medallion.streaming.landing import PROVENANCE
 
 # Where the transaction files sit and what the silver set is called.
 TRANSACTIONS_GLOB = "ValeursFoncieres-*/ValeursFoncieres-*.csv"
 TRANSACTIONS_SILVER = "dvf_paris_2021_2025"
+BRONZE_TRANSACTIONS = "transactions"  # the landed transactions' table under a bronze folder
 
 
 @dataclass
@@ -43,34 +45,47 @@ def silver_job(spark: SparkSession, data_root: str, gazetteer: DataFrame | None
                stations: str | None = PARIS_STATIONS_CSV,
                transactions_glob: str = TRANSACTIONS_GLOB,
                transactions: DataFrame | None = None, max_parallel: int = 4,
-               provider_cache: str | None = None) -> SilverResult:
+               provider_cache: str | None = None, bronze: str | None = None,
+               max_calls: int | None = None) -> SilverResult:
     """All silver refinements. ``gazetteer`` (address, latitude, longitude,
     score) fills missing coordinates by join; ``provider`` (a batch function,
     see ``geo.resolve_with_provider``) is the alternative for an external
     service. Without either, rows keep the coordinates they came with.
     ``transactions`` replaces the CSV glob with an already landed table (the
-    bronze Parquet written by ``streaming.landing.land`` with ``fmt="csv"``)."""
+    bronze Parquet written by ``streaming.landing.land`` with ``fmt="csv"``).
+    ``bronze`` is a folder of landed tables, one per dataset: where
+    ``<bronze>/<dataset>`` exists it is read instead of the files under
+    ``data_root``; the transactions' is ``<bronze>/BRONZE_TRANSACTIONS``."""
     root = data_root.rstrip("/")
+    landed = bronze.rstrip("/") if bronze else None
+    if landed and transactions is None and fs.exists(spark, f"{landed}/{BRONZE_TRANSACTIONS}"):
+        transactions = spark.read.parquet(f"{landed}/{BRONZE_TRANSACTIONS}")
     best = (geo.prepare_best_candidates(gazetteer, f"{root}/silver/gazetteer_best.parquet")
             if gazetteer is not None else None)
-    report = None
+    report = answers = None
     glob = f"{root}/{transactions_glob}"
     source = transactions if transactions is not None else (glob if fs.glob(spark, glob) else None)
     if source is not None:
         if best is None and provider is not None:
             raw = transactions if transactions is not None else read_delimited(spark, glob, sep=";")
             # one scan of the full input; both steps below read the filtered slice
-            source = stage_transactions(raw.drop("source_file", "stem"),
+            source = stage_transactions(raw.drop(*PROVENANCE),
                                         f"{root}/silver/_staged_transactions.parquet", code, years)
             need = transactions_needing_fill(source, code, years)
             need = need.withColumn("_addr", full_address(list(ADDRESS_PARTS), CITY_SUFFIX))
-            best = geo.provider_table(need, provider, "_addr",
-                                      resolved_path=f"{root}/silver/_resolved_addresses.parquet",
-                                      cache_path=provider_cache)
+            answers = geo.ask_provider(need, provider, "_addr",
+                                       resolved_path=f"{root}/silver/_resolved_addresses.parquet",
+                                       cache_path=provider_cache, max_calls=max_calls)
+            best = answers.table
         report = run_refine_transactions(spark, source, best, f"{root}/silver/{TRANSACTIONS_SILVER}.parquet",
                                          code=code, years=years)
+        if answers is not None:
+            report.failed_addresses = answers.failed
     sources = [(stations, f"{root}/{stations}/{stations}.csv", "csv")] if stations else []
     sources += [(ds, f"{root}/{ds}/{ds}.parquet", "parquet") for ds in datasets]
+    if landed:
+        sources = [(ds, f"{landed}/{ds}", "bronze") if fs.exists(spark, f"{landed}/{ds}") else (ds, path, fmt)
+                   for ds, path, fmt in sources]
     return SilverResult(report, run_refine_batch(spark, sources, f"{root}/silver", max_parallel=max_parallel))
 
 

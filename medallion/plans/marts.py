@@ -20,7 +20,7 @@ from medallion.operators.filters import complete
 from medallion.operators.geo import NoCoordinates, UnsupportedPointType, extract_points
 from medallion.operators.metrics import observed
 from medallion.plans.refine import error_text
-from medallion.sinks.writers import write_parquet
+from medallion.sinks.writers import run_noop, write_parquet
 
 # The silver Parquet datasets and the gold marts of the Paris
 # open-data map, with their labels (output data, kept verbatim, UTF-8).
@@ -164,12 +164,24 @@ def run_marts(spark: SparkSession, catalogue: Mapping[str, Sequence[tuple[str, s
     """Build and write every mart of ``catalogue``; return one status row per source.
 
     A mart with no usable source is not written; a mart whose sources are all
-    empty is still written (empty), as before. Marts are independent jobs,
-    submitted from up to ``max_parallel`` threads.
+    empty is still written (empty), as before. Where the write fails, each
+    source is read through on its own and the mart is built again without
+    those that fail. Marts are independent jobs, submitted from up to
+    ``max_parallel`` threads.
     """
-    def one(item) -> list[tuple]:
+    def failing(mart: str, entries) -> dict[tuple[str, str], str]:
+        bad = {}
+        for dataset, label in entries:
+            try:
+                run_noop(poi_source(spark, path_of(dataset), label, read))
+            except Exception as e:  # noqa: BLE001 - a corrupt data file, say
+                bad[dataset, label] = error_text(e)
+        return bad
+
+    def one(item, without: Mapping[tuple[str, str], str] | None = None) -> list[tuple]:
         mart, entries = item
-        df, statuses, observations = build_mart(spark, mart, entries, path_of, read)
+        used = [e for e in entries if not without or tuple(e) not in without]
+        df, statuses, observations = build_mart(spark, mart, used, path_of, read)
         counts: dict[int, int] = {}
         if df is not None:
             try:
@@ -177,9 +189,15 @@ def run_marts(spark: SparkSession, catalogue: Mapping[str, Sequence[tuple[str, s
                               sources=[path_of(d) for d, _ in entries])
                 counts = {i: int(o.get["rows"]) for i, o in observations}
             except Exception as e:  # noqa: BLE001 - run-time failure of the mart job
+                bad = failing(mart, [used[i] for i, _ in observations]) if without is None else {}
+                if bad:
+                    return one(item, bad)
                 for i, _ in observations:
                     statuses[i].status, statuses[i].message = "error", error_text(e)
-        return [(s.mart, s.dataset, s.categorie, s.status, s.message, counts.get(i)) for i, s in enumerate(statuses)]
+        found = {(s.dataset, s.categorie): (s.mart, s.dataset, s.categorie, s.status, s.message, counts.get(i))
+                 for i, s in enumerate(statuses)}
+        found |= {k: (mart, *k, "error", text, None) for k, text in (without or {}).items()}
+        return [found[tuple(e)] for e in entries]
 
     with ThreadPoolExecutor(max_workers=max(1, max_parallel)) as pool:
         rows = [r for part in pool.map(one, catalogue.items()) for r in part]

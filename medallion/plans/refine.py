@@ -23,6 +23,7 @@ from medallion.operators.metrics import observed
 from medallion.operators.names import NameCollision, add_if_missing, clean_column_names, clean_name
 from medallion.sinks.writers import write_parquet
 from medallion.sources.readers import read_delimited, read_parquet
+from medallion.streaming.landing import PROVENANCE
 
 # The transaction layout the refinement relies on.
 DEPT_COL = "Code departement"
@@ -38,13 +39,15 @@ DATE_FORMAT = "dd/MM/yyyy"
 def refine_transactions(raw: DataFrame, best: DataFrame | None, code: str = "75",
                         years: tuple[int, int] = (2021, 2025),
                         address_min_length: int | None = None,
-                        need_flag: str | None = None, split_complete: bool = False) -> DataFrame:
+                        need_flag: str | None = None, split_complete: bool = False,
+                        spread_by: Sequence[str] | None = None) -> DataFrame:
     """Place and year filters, address, coordinate fill, clean names (Q1).
 
     ``best`` is a one-row-per-address table (``geo.best_candidates``) or any
     table with ``address_key, latitude, longitude``; ``None`` skips the fill.
     ``need_flag`` names a boolean column marking rows that lacked a coordinate
-    before the fill. ``split_complete`` is passed to ``geo.fill_coordinates``.
+    before the fill. ``split_complete`` is passed to ``geo.fill_coordinates``,
+    ``spread_by`` as its ``salt_by``.
     """
     df = raw.filter(place_predicate(DEPT_COL, POSTCODE_COL, code))
     df = df.withColumn(PARSED_DATE_COL, parse_date(DATE_COL, DATE_FORMAT))
@@ -56,7 +59,7 @@ def refine_transactions(raw: DataFrame, best: DataFrame | None, code: str = "75"
     if need_flag:
         df = df.withColumn(need_flag, incomplete(["latitude", "longitude"]))
     if best is not None:
-        df = geo.fill_coordinates(df, best, ADDRESS_COL, split_complete=split_complete)
+        df = geo.fill_coordinates(df, best, ADDRESS_COL, split_complete=split_complete, salt_by=spread_by)
     df = df.drop(ADDRESS_COL)
     return clean_column_names(df, keep_hyphen=True)
 
@@ -93,6 +96,8 @@ class RefineReport:
     missing_coordinates: int
     unresolved: int
     path: str
+    split_complete: bool = False
+    failed_addresses: int | None = None
 
 
 def run_refine_transactions(spark: SparkSession, raw_glob: str | DataFrame, best: DataFrame | None,
@@ -116,17 +121,18 @@ def run_refine_transactions(spark: SparkSession, raw_glob: str | DataFrame, best
     ``split_complete`` (see ``geo.fill_coordinates``) is chosen when left as
     ``None``: rows that already have coordinates bypass the lookup join when
     the input is a table (cheap to read twice) and the reference table is too
-    large to broadcast, so a shuffled join moves only the rows it needs.
+    large to broadcast, so a shuffled join moves only the rows it needs; the
+    report says which.
     """
     if isinstance(raw_glob, DataFrame):
-        raw, sources = raw_glob.drop("source_file", "stem"), []
+        raw, sources = raw_glob.drop(*PROVENANCE), []
     else:
         raw, sources = read_delimited(spark, raw_glob, sep=";", schema=schema), [raw_glob]
     if split_complete is None:
         split_complete = (best is not None and isinstance(raw_glob, DataFrame)
                           and not geo.broadcastable(best))
     df = refine_transactions(raw, best, code, years, need_flag="_need_fill",
-                             split_complete=split_complete)
+                             split_complete=split_complete, spread_by=raw.columns)  # whole rows are written anyway
     df, obs = observed(df, "refine_transactions", rows=F.count(F.lit(1)),
                        missing=F.count_if(F.col("_need_fill")),
                        unresolved=F.count_if(incomplete(["latitude", "longitude"])))
@@ -137,7 +143,7 @@ def run_refine_transactions(spark: SparkSession, raw_glob: str | DataFrame, best
         parts = ("annee",)
     write_parquet(df, out_path, sources=sources, partition_by=parts)
     m = obs.get
-    return RefineReport(int(m["rows"]), int(m["missing"]), int(m["unresolved"]), out_path)
+    return RefineReport(int(m["rows"]), int(m["missing"]), int(m["unresolved"]), out_path, split_complete)
 
 
 # --- Q2 / Q3: many sources, one status row each --------------------------------
@@ -149,6 +155,8 @@ def refine_one(spark: SparkSession, dataset: str, path: str, fmt: str, out_path:
                keep_hyphen: bool = False, sep: str = ";") -> tuple:
     """Read, clean names, write; never raises, returns a status row (Q2, Q3).
 
+    ``fmt`` is ``csv``, ``parquet`` or ``bronze``, a table that ``land`` wrote
+    (its provenance columns are left out).
     Analysis errors (missing input, colliding names) surface before the job;
     run-time errors surface during the write; both end up in the status.
     """
@@ -162,6 +170,8 @@ def refine_one(spark: SparkSession, dataset: str, path: str, fmt: str, out_path:
     except Exception as e:  # noqa: BLE001 - reported per dataset
         gone = "PATH_NOT_FOUND" in str(e)  # a glob that matches nothing, say
         return (dataset, "missing" if gone else "unreadable", error_text(e), None, None)
+    if fmt == "bronze":
+        df = df.drop(*PROVENANCE)
     try:
         df = clean_column_names(df, keep_hyphen=keep_hyphen)
     except NameCollision as e:

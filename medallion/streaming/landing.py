@@ -4,7 +4,7 @@ The original copied each local file into ``/data/<stem>/<file>`` unless a
 file of that name was already there. Here a Structured Streaming file source
 keeps the set of file paths it has read in its checkpoint; each run with
 ``trigger(availableNow=True)`` takes the files not seen before, writes them
-to a bronze table partitioned by stem and stops. Identity is the path, not
+to a bronze table (path and stem are columns of every row) and stops. Identity is the path, not
 the content: a file rewritten under a name already landed is not read again,
 however old it is (the source's age limit, seven days by default, is lifted;
 the price is a seen-file list on the driver that is never pruned).
@@ -27,6 +27,7 @@ FIXED_SCHEMAS = {
 }
 
 
+PROVENANCE = ("source_file", "stem")  # the columns landing adds
 MAX_FILE_AGE = "36500d"  # beyond any file's age: old files are landed, landed ones are never forgotten
 
 
@@ -72,7 +73,6 @@ def land(spark: SparkSession, source_dir: str, bronze_path: str, checkpoint: str
     try:
         q = (stream.writeStream.format("parquet")
              .option("checkpointLocation", checkpoint)
-             .partitionBy("stem")
              .trigger(availableNow=True)
              .start(bronze_path))
         q.awaitTermination()

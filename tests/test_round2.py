@@ -8,6 +8,7 @@ import pytest
 
 from medallion.functions.columns import decimal_comma_to_double
 from medallion.operators import geo
+from medallion.plans.marts import run_marts
 from medallion.session import build_session
 from medallion.sinks.writers import UnsafeOverwrite, write_parquet, write_text
 from medallion.streaming.landing import land
@@ -86,3 +87,37 @@ def test_given_settings_win_in_the_cluster_profile(spark):
                   "spark.sql.adaptive.autoBroadcastJoinThreshold", "spark.sql.adaptive.coalescePartitions.initialPartitionNum",
                   "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes"):
             spark.conf.unset(k)
+
+
+def test_provider_that_always_fails_is_an_error_and_failures_are_counted(spark):
+    df = spark.createDataFrame([("1 RUE A", None, None), ("2 RUE B", None, None), ("3 RUE C", None, None)],
+                               "adr string, latitude double, longitude double").coalesce(1)
+
+    def broken(a: pd.Series) -> pd.DataFrame:
+        raise RuntimeError("down")
+
+    def partly(a: pd.Series) -> pd.DataFrame:
+        if (a == "2 RUE B").any():
+            raise RuntimeError("bad address")
+        return pd.DataFrame({"latitude": [1.0 if x == "1 RUE A" else None for x in a], "longitude": [1.0] * len(a)})
+
+    with pytest.raises(geo.ProviderFailed):
+        geo.fill_by_provider(df, broken, "adr")
+    got = geo.ask_provider(df, partly, "adr", max_calls=2)
+    assert (got.found, got.unknown, got.failed) == (1, 1, 1)
+    assert geo.fill_coordinates(df, got.table, "adr").count() == 3
+
+
+def test_one_corrupt_file_costs_one_source(spark, tmp_path):
+    for name in ("good", "bad"):
+        spark.range(20000).selectExpr("concat(48 + id / 64, ', ', 2 + id / 128) AS geo_point").coalesce(1) \
+            .write.parquet(str(tmp_path / f"{name}.parquet"))
+    part = next((tmp_path / "bad.parquet").glob("part-*"))
+    data = bytearray(part.read_bytes())
+    data[4:4000] = bytes(3996)  # pages, not the footer
+    part.write_bytes(data)
+    status = run_marts(spark, {"dm": (("bad", "B"), ("good", "G"))}, lambda d: str(tmp_path / f"{d}.parquet"),
+                       str(tmp_path / "gold")).collect()
+    assert [(r.dataset, r.status, r.n_rows) for r in status] == [("bad", "error", None), ("good", "ok", 20000)]
+    assert status[0].message
+    assert spark.read.parquet(str(tmp_path / "gold" / "dm.parquet")).count() == 20000

@@ -125,7 +125,7 @@ def test_refine_from_table_splits_complete_rows_when_reference_is_large(spark, s
     assert a.exceptAll(b.select(*a.columns)).count() == 0 and a.count() == b.count()
 
 
-def test_salting_with_capped_hot_list_is_exact(spark):
+def test_salting_every_key_is_exact(spark):
     df = skewed_transactions(spark, n=3000)
     gaz = spark.range(997).select(F.concat(F.col("id"), F.lit(" RUE COLD 75001 PARIS")).alias("address"),
                                   F.lit(49.0).alias("latitude"), F.lit(3.0).alias("longitude"),
@@ -133,8 +133,27 @@ def test_salting_with_capped_hot_list_is_exact(spark):
     best = geo.best_candidates(gaz)
     hot = geo.hot_keys(df, "addr", min_rows=1)            # hundreds of keys
     plain = geo.fill_coordinates(df, best, "addr")
-    capped = geo.fill_coordinates(df, best, "addr", hot=hot, salt_buckets=4, max_hot_keys=7)
-    assert capped.exceptAll(plain).count() == 0 and plain.exceptAll(capped).count() == 0
+    salted = geo.fill_coordinates(df, best, "addr", hot=hot, salt_buckets=4, join_hint="merge")
+    assert salted.exceptAll(plain).count() == 0 and plain.exceptAll(salted).count() == 0
+
+
+def test_rows_without_an_address_spread_or_bypass_the_shuffled_join(spark):
+    no = F.lit(None)
+    df = spark.range(3000).select(
+        "id", F.when(F.col("id") % 3 > 0, F.concat(F.col("id"), F.lit(" RUE COLD 75001 PARIS"))).alias("addr"),
+        no.cast("double").alias("latitude"), no.cast("double").alias("longitude"))
+    best = geo.best_candidates(spark.range(997).select(
+        F.concat(F.col("id"), F.lit(" RUE COLD 75001 PARIS")).alias("address"), F.lit(49.0).alias("latitude"),
+        F.lit(3.0).alias("longitude"), F.lit(1.0).alias("score")))
+    with conf(spark, **{"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "16"}):
+        spread = geo.fill_coordinates(df, best, "addr", salt_by=["id"], join_hint="merge")
+        split = geo.fill_coordinates(df, best, "addr", split_complete=True, join_hint="merge")
+        assert "SortMergeJoin" in spread._jdf.queryExecution().executedPlan().toString()
+        # the coordinates are counted so that the optimiser keeps the join
+        per_task = (spread.filter("addr IS NULL").groupBy(F.spark_partition_id().alias("p"))
+                    .agg(F.count(F.lit(1)).alias("n"), F.count("latitude").alias("lat")).collect())
+        assert len(per_task) >= 8 and max(r["n"] for r in per_task) < 250
+        assert spread.count() == 3000 and spread.exceptAll(split).count() == 0 and split.exceptAll(spread).count() == 0
 
 
 def test_broadcast_limit_parsing_and_check(spark, tmp_ws):
