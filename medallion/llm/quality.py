@@ -12,9 +12,15 @@ squared distance exceeds the cutoff are rejected.
 Statistics are stored as fixed-point integers and all sums are integer sums, so estimates do not depend
 on task order. A step is one aggregate per group and distance bin, combined map-side: a hot group
 costs no more than its bins. Scatter matrices get a floor per statistic (``MIN_SCALE``), so a statistic
-that is constant in the group's core does not reject every deviation. A group of fewer than
-``min_rows`` documents is estimated with the other small groups of its language; where that is too
-small as well, the base rules alone decide.
+that is constant in the group's core does not reject every deviation.
+
+Every document gets a verdict. A group of ``min_rows`` documents (a small multiple of the number of
+statistics) or more is estimated on its own. A smaller one of n documents is estimated too, and its location
+and scatter are drawn towards its language's: n / min_rows its own, the rest the language's, which
+is drawn towards the whole corpus in the same way where the language is small as well. The shrinking
+is part of every step, so the core is chosen under the shrunk estimate. Languages and the corpus are estimated
+over all their documents, in the same passes, where some group needs them. A corpus of fewer than
+``min_rows`` documents is estimated as it is.
 
 Defined cases: a NULL, empty or word-free text has zero counts and fails the base rule; NULL
 languages and sources are groups of their own; NULL ids are allowed; equal rows get equal
@@ -25,6 +31,8 @@ input columns named like its results.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -46,7 +54,7 @@ MIN_SCALE = (0.08, 0.45, 0.3, 0.3, 0.25)
 CORE = 0.75  # share of a group's rows in the determinant's subset
 STEPS = 5
 TAIL = 1e-5  # share of normal documents beyond the cutoff
-MIN_ROWS = 200
+MIN_ROWS = 5 * P  # rows from which a group's own estimate stands alone
 MIN_WORDS = 50
 RESULTS = (*COUNTS, "base_failed", "distance", "kept")
 
@@ -164,16 +172,33 @@ _FACTOR_REWEIGHT = 0.975 / _chi2_cdf(_REWEIGHT, P + 2)
 # --- estimates per group ---
 
 _PAIRS = [(i, j) for i in range(P) for j in range(i, P)]
-_MODEL = ["m" + str(i) for i in range(P)] + [f"p{i}{j}" for i, j in _PAIRS]
-_MODEL_DDL = "grp_lang string, grp_source string, pooled boolean, n long, " + ", ".join(f"{c} double" for c in _MODEL)
-_KEYS = ("grp_lang", "grp_source", "pooled")
+_MEAN = ["m" + str(i) for i in range(P)]
+_RAW = [*_MEAN, *(f"c{i}{j}" for i, j in _PAIRS)]
+_MODEL = [*_MEAN, *(f"p{i}{j}" for i, j in _PAIRS)]
+_KEYS = ("level", "grp_lang", "grp_source")  # level 0: language and source, 1: language, 2: corpus
+_KEYS_DDL = "level int, grp_lang string, grp_source string, n long, "
+_RAW_DDL = _KEYS_DDL + ", ".join(f"{c} double" for c in _RAW)
+_MODEL_DDL = _KEYS_DDL + ", ".join(f"{c} double" for c in _MODEL)
 _BINS = 8  # distance bins per doubling
 
 
-def _model_row(mean: np.ndarray, cov: np.ndarray) -> list[float]:
-    """Mean and inverse scatter (off-diagonal terms doubled, as the distance sums each pair once)."""
-    inv = np.linalg.inv(cov + np.diag(np.square(MIN_SCALE)))
-    return [*map(float, mean), *(float(inv[i, j] * (1 if i == j else 2)) for i, j in _PAIRS)]
+def _raw_row(pdf: pd.DataFrame, n: int, mean: np.ndarray, cov: np.ndarray) -> pd.DataFrame:
+    first = pdf.iloc[0]
+    return pd.DataFrame([[*(first[k] for k in _KEYS), n, *map(float, mean), *(float(cov[i, j]) for i, j in _PAIRS)]],
+                        columns=[*_KEYS, "n", *_RAW])
+
+
+def _inverse(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Scatter to inverse scatter (off-diagonal terms doubled, as the distance sums each pair once)."""
+    for pdf in pdfs:
+        cov = np.zeros((len(pdf), P, P))
+        for i, j in _PAIRS:
+            cov[:, i, j] = cov[:, j, i] = pdf[f"c{i}{j}"]
+        inv = np.linalg.inv(cov + np.diag(np.square(MIN_SCALE)))
+        out = pdf[[*_KEYS, "n", *_MEAN]].copy()
+        for i, j in _PAIRS:
+            out[f"p{i}{j}"] = inv[:, i, j] * (1 if i == j else 2)
+        yield out
 
 
 def _start(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -187,9 +212,7 @@ def _start(pdf: pd.DataFrame) -> pd.DataFrame:
         d = np.abs(v - mean[i])
         o = np.argsort(d, kind="stable")
         sd[i] = 1.4826 * d[o][np.searchsorted(np.cumsum(c[o]), (n + 1) / 2)]
-    first = pdf.iloc[0]
-    return pd.DataFrame([[first.grp_lang, first.grp_source, first.pooled, n, *_model_row(mean, np.diag(sd ** 2))]],
-                        columns=[*_KEYS, "n", *_MODEL])
+    return _raw_row(pdf, n, mean, np.diag(sd ** 2))
 
 
 def _refit(reweight: bool):
@@ -209,13 +232,28 @@ def _refit(reweight: bool):
             cov[i, j] = cov[j, i] = core[f"t{i}{j}"].sum() / k - mean[i] * mean[j]
         share = k / n.sum()
         factor = _FACTOR_REWEIGHT if reweight else (share / _chi2_cdf(chi2_quantile(min(share, 1 - 1e-9), P), P + 2))
-        first = pdf.iloc[0]
-        return pd.DataFrame([[first.grp_lang, first.grp_source, first.pooled, int(n.sum()),
-                              *_model_row(mean / SCALE, factor * cov / SCALE ** 2)]],
-                            columns=[*_KEYS, "n", *_MODEL])
+        return _raw_row(pdf, int(n.sum()), mean / SCALE, factor * cov / SCALE ** 2)
     return run
 
 
+def _shrunk(raw: DataFrame, min_rows: int) -> DataFrame:
+    """The groups' models: estimates of fewer than ``min_rows`` rows drawn towards the level above."""
+    lang = raw.filter("level = 1").select(F.col("grp_lang").alias("l_lang"), F.struct("n", *_RAW).alias("l"))
+    whole = raw.filter("level = 2").select(F.struct(*_RAW).alias("w"))
+    df = (raw.join(F.broadcast(lang), (F.col("level") == 0) & F.col("grp_lang").eqNullSafe(F.col("l_lang")), "left")
+          .join(F.broadcast(whole), F.col("level") < 2, "left"))
+
+    def towards(own: Column, n: Column, above: Column) -> Column:
+        share = F.least(F.lit(1.0), n / F.lit(float(min_rows)))
+        return F.when(above.isNull() | (share == 1.0), own).otherwise(share * own + (1 - share) * above)
+
+    def value(c: str) -> Column:
+        above = F.when(F.col("level") == 0, towards(F.col("l." + c), F.col("l.n"), F.col("w." + c))).otherwise(F.col("w." + c))
+        return towards(F.col(c), F.col("n"), above).alias(c)
+
+    return df.select(*_KEYS, "n", *(value(c) for c in _RAW)).mapInPandas(_inverse, _MODEL_DDL)
+
+
 def _same_group(a: DataFrame, b: DataFrame) -> Column:
     c = F.lit(True)
     for k in _KEYS:
@@ -223,39 +261,46 @@ def _same_group(a: DataFrame, b: DataFrame) -> Column:
     return c
 
 
-def _with_model(df: DataFrame, model: DataFrame, how: str = "inner") -> DataFrame:
+def _with_model(df: DataFrame, model: DataFrame) -> DataFrame:
     """``df`` with the squared distance of its statistics under its group's model."""
     m = model.drop("n").withColumnsRenamed({k: "g_" + k for k in _KEYS})
     d = [F.col(s) / SCALE - F.col(f"m{i}") for i, s in enumerate(STATS)]
     total = sum((F.col(f"p{i}{j}") * d[i] * d[j] for i, j in _PAIRS), F.lit(0.0))
-    return df.join(m, _same_group(df, m), how).withColumn("d2", total).drop(*_MODEL, *("g_" + k for k in _KEYS))
+    return df.join(m, _same_group(df, m)).withColumn("d2", total).drop(*_MODEL, *("g_" + k for k in _KEYS))
 
 
 def groups_of(stats: DataFrame, min_rows: int) -> DataFrame:
-    """``stats`` (lang, source, s0..) with the group each row is estimated in; rows of groups
-    that are too small even when pooled by language get ``grp_ok`` = false."""
-    n = (stats.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n"))
-         .withColumn("pooled", F.col("n") < min_rows))
-    pool = (n.filter("pooled").groupBy(F.col("lang").alias("q_lang")).agg(F.sum("n").alias("q_n")))
-    n = (n.join(pool, F.col("lang").eqNullSafe(F.col("q_lang")) & F.col("pooled"), "left")
-         .select(F.col("lang").alias("grp_lang"), F.col("source").alias("h_source"), "pooled",
-                 F.when(~F.col("pooled"), F.col("source")).alias("grp_source"),
-                 (~F.col("pooled") | (F.col("q_n") >= min_rows)).alias("grp_ok")))
-    return stats.join(n, stats["lang"].eqNullSafe(n["grp_lang"]) & stats["source"].eqNullSafe(n["h_source"])).drop("h_source")
-
-
-def fit_outlier_model(stats: DataFrame, steps: int = STEPS) -> DataFrame:
-    """One row per group: location and inverse scatter. ``stats``: grp_lang, grp_source, pooled, s0.."""
+    """(lang, source, levels) of every group of ``stats``: the levels at which its rows are estimated. A
+    language is, where one of its groups is small; the corpus, where such a language is small."""
+    n = cut(stats.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n")), "groups")
+    langs = n.groupBy(F.col("lang").alias("q_lang")).agg(F.sum("n").alias("q_n"), F.min("n").alias("least"))
+    langs = langs.withColumn("pooled", F.col("least") < min_rows)
+    whole = not langs.filter(F.col("pooled") & (F.col("q_n") < min_rows)).isEmpty()
+    up = [2] if whole else []
+    levels = F.when(F.col("pooled"), F.lit([0, 1, *up])).otherwise(F.lit([0, *up]))
+    return (n.join(langs, F.col("lang").eqNullSafe(F.col("q_lang")))
+            .select("lang", "source", levels.cast("array<int>").alias("levels")))
+
+
+def fit_outlier_model(stats: DataFrame, min_rows: int, steps: int = STEPS) -> DataFrame:
+    """One row per group: location and inverse scatter. ``stats``: lang, source, s0.."""
+    groups = cut(groups_of(stats, min_rows), "groups").withColumnsRenamed({"lang": "h_lang", "source": "h_source"})
+    level = F.col("level")
+    stats = (stats.join(groups, stats["lang"].eqNullSafe(groups["h_lang"]) & stats["source"].eqNullSafe(groups["h_source"]))
+             .select("lang", "source", *STATS, F.explode("levels").alias("level"))
+             .select("level", F.when(level < 2, F.col("lang")).alias("grp_lang"),
+                     F.when(level < 1, F.col("source")).alias("grp_source"), *STATS))
     hist = (stats.select(*_KEYS, F.posexplode(F.array(*[F.floor(F.col(s) * 32 / SCALE) for s in STATS])).alias("stat", "bin"))
             .groupBy(*_KEYS, "stat", "bin").agg(F.count(F.lit(1)).alias("n")))
-    model = cut(hist.groupBy(*_KEYS).applyInPandas(_start, _MODEL_DDL), "mcd")
+    raw = cut(hist.groupBy(*_KEYS).applyInPandas(_start, _RAW_DDL), "mcd")
     sums = ([F.count(F.lit(1)).alias("n")] + [F.sum(s).alias("t" + str(i)) for i, s in enumerate(STATS)]
             + [F.sum(F.col(STATS[i]) * F.col(STATS[j])).alias(f"t{i}{j}") for i, j in _PAIRS])
     for k in range(steps + 1):
-        bins = (_with_model(stats, model).withColumn("bin", F.floor(F.log2(F.greatest("d2", F.lit(1e-6))) * _BINS))
+        bins = (_with_model(stats, cut(_shrunk(raw, min_rows), "mcd"))
+                .withColumn("bin", F.floor(F.log2(F.greatest("d2", F.lit(1e-6))) * _BINS))
                 .groupBy(*_KEYS, "bin").agg(*sums))
-        model = cut(bins.groupBy(*_KEYS).applyInPandas(_refit(k == steps), _MODEL_DDL), "mcd")
-    return model
+        raw = cut(bins.groupBy(*_KEYS).applyInPandas(_refit(k == steps), _RAW_DDL), "mcd")
+    return cut(_shrunk(raw, min_rows).filter("level = 0"), "mcd")
 
 
 def _stats(docs: DataFrame, id_col: str, text_col: str, lang_col: str, source_col: str) -> DataFrame:
@@ -265,10 +310,10 @@ def _stats(docs: DataFrame, id_col: str, text_col: str, lang_col: str, source_co
 
 
 def _verdict(df: DataFrame) -> DataFrame:
-    """Adds base_failed, distance and kept to rows with counts, d2 and grp_ok."""
+    """Adds base_failed, distance and kept to rows with counts and d2."""
     failed = base_failed(F.col("n_words"), F.col("n_repeat_words"))
     return (df.withColumn("base_failed", failed).withColumn("distance", F.sqrt(F.greatest("d2", F.lit(0.0))))
-            .withColumn("kept", ~failed & F.coalesce(~F.col("grp_ok") | (F.col("d2") <= CUTOFF), F.lit(True))))
+            .withColumn("kept", ~failed & (F.col("d2") <= CUTOFF)))
 
 
 def quality_table(docs: DataFrame, min_rows: int = MIN_ROWS, steps: int = STEPS, id_col: str = "doc_id",
@@ -277,9 +322,9 @@ def quality_table(docs: DataFrame, min_rows: int = MIN_ROWS, steps: int = STEPS,
     base_failed, distance, kept."""
     session(docs)
     stats = cut(_stats(docs, id_col, text_col, lang_col, source_col), "quality")
-    rows = cut(groups_of(stats, min_rows), "quality")
-    model = fit_outlier_model(rows.filter("grp_ok").select(*_KEYS, *STATS), steps)
-    return _verdict(_with_model(rows, model, "left")).select("doc_id", "lang", "source", *RESULTS)
+    model = fit_outlier_model(stats.select("lang", "source", *STATS), min_rows, steps)
+    rows = stats.select("*", F.lit(0).alias("level"), F.col("lang").alias("grp_lang"), F.col("source").alias("grp_source"))
+    return _verdict(_with_model(rows, model)).select("doc_id", "lang", "source", *RESULTS)
 
 
 def quality_rules(docs: DataFrame, min_rows: int = MIN_ROWS, steps: int = STEPS, id_col: str = "doc_id",
@@ -288,14 +333,8 @@ def quality_rules(docs: DataFrame, min_rows: int = MIN_ROWS, steps: int = STEPS,
     are taken again beside each text and scored against the groups' models."""
     session(docs)
     rows = cut(_stats(docs, id_col, text_col, lang_col, source_col).select("lang", "source", *STATS), "quality")
-    rows = groups_of(rows, min_rows)
-    rows = cut(rows, "quality")
-    model = fit_outlier_model(rows.filter("grp_ok").select(*_KEYS, *STATS), steps)
-    keys = cut(rows.select("lang", "source", *_KEYS, "grp_ok").distinct(), "quality")
-    named = (keys.join(model.drop("n").withColumnsRenamed({k: "g_" + k for k in _KEYS}),
-                       F.expr(" AND ".join(f"{k} <=> g_{k}" for k in _KEYS)), "left")
-             .select(F.struct("lang", "source", "grp_ok", *_MODEL).alias("__q_m")))
-    named = cut(named, "mcd")
+    model = fit_outlier_model(rows, min_rows, steps)
+    named = model.select(F.struct(F.col("grp_lang").alias("lang"), F.col("grp_source").alias("source"), *_MODEL).alias("__q_m"))
     names = [c for c in docs.columns if c not in RESULTS]
     df = docs.withColumn("__q_c", _counts(F.col(text_col)))
     df = df.join(named, df[lang_col].eqNullSafe(F.col("__q_m.lang")) & df[source_col].eqNullSafe(F.col("__q_m.source")), "left")
@@ -303,6 +342,6 @@ def quality_rules(docs: DataFrame, min_rows: int = MIN_ROWS, steps: int = STEPS,
     d = [c(s) / SCALE - m(f"m{i}") for i, s in enumerate(STATS)]
     d2 = sum((m(f"p{i}{j}") * d[i] * d[j] for i, j in _PAIRS), F.lit(0.0))
     failed = base_failed(c("n_words"), c("n_repeat_words"))
-    kept = ~failed & F.coalesce(~m("grp_ok") | (d2 <= CUTOFF), F.lit(True))
+    kept = ~failed & (d2 <= CUTOFF)
     return df.select(*names, *(c(n).alias(n) for n in COUNTS), failed.alias("base_failed"),
                      F.sqrt(F.greatest(d2, F.lit(0.0))).alias("distance"), kept.alias("kept"))

@@ -211,6 +211,19 @@ def test_quality_outliers(spark):
     assert quality.chi2_quantile(0.975, 5) == pytest.approx(12.8325, abs=1e-3)
 
 
+def test_quality_small_groups_get_a_verdict(spark):
+    """Sources of five documents and a language of six are judged, not passed; clean ones stay."""
+    letters = str.maketrans("0123456789", "abcdefghij")
+    text = lambda k: " ".join(prose(k, 80, 3000)).translate(letters)
+    junk = lambda k: " ".join(x.upper() + "***" for x in text(k).split(" "))
+    data = [(k, text(k), "en", f"s{k % 24}") for k in range(120)] + [(1000 + k, junk(k + 300), "en", f"s{5 * k}") for k in range(4)]
+    data += [(200 + k, text(k + 400), "rare", f"r{k % 2}") for k in range(5)] + [(1100, junk(500), "rare", "r0"), (1101, junk(501), None, None)]
+    df = spark.createDataFrame(data, "doc_id long, text string, lang string, source string")
+    kept = {r.doc_id for r in quality.quality_table(df).filter("kept").collect()}
+    assert kept == {r[0] for r in data if r[0] < 1000}
+    assert kept == {r.doc_id for r in quality.quality_rules(df).filter("kept").collect()}
+
+
 def test_substring_dedup(docs, data, empty):
     where = defaultdict(list)
     for a, r in enumerate(data):
