@@ -2,14 +2,20 @@
 
 The content view sees words and word shapes (last character, capitals, length); the metadata view
 sees language, source, their combination, size and line layout. Each is a logistic
-regression. In every round both are fitted, and each hands the documents of an unlabelled pool it
+regression. In every round both are fitted, and each hands the unlabelled documents of the whole corpus it
 is surest about to the other as pseudo-labels, in the classes' labelled proportions. Both are
 then calibrated on labelled documents kept out of fitting, and a logistic combination of the calibrated
 views scores every document.
 
-Fitting uses at most ``sample`` labelled documents and a pool of at most ``pool`` unlabelled ones (both
-the first by a hash of the id; documented bounds), in one task; scoring covers every
-document in one pass.
+Fitting uses at most ``sample`` labelled documents (the first by a hash of the id; a documented bound).
+Unlabelled documents are not sampled: their features that the labelled documents make useful are packed once, all of
+them are scored on the executors in every round, and each view hands over ``hand_over`` of their number: the
+highest and lowest scores, cut at an exact histogram of scores (steps of 0.001; within the last step by a
+hash of the row). Which documents were handed over follows from the earlier models and cuts, so nothing
+is joined back. Pseudo-labelled documents are fitted in parts of about ``pool`` rows, each with the labelled
+ones and with its pseudo-labels standing for all parts'; the parts' weights are averaged. One part
+is the plain fit; with several the average approximates it, and weights of metadata values rare among the
+pseudo-labels come out smaller. A metadata value of any pseudo-labelled document has a weight.
 
 Defined cases: NULL and empty texts have no content features, NULL metadata is a value of its own; labels that are
 NULL or belong to no document are ignored, an id labelled twice takes its lowest grade; without
@@ -23,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,10 +37,13 @@ from medallion.llm.common import cut, session
 from medallion.llm.sparse import Vocabulary, adam, dump, load, one_row, select_features, sigmoid
 from medallion.llm.words import BYTES_LOWER, U, hash_spans, mix, sum_by_row, words
 
-SAMPLE, POOL, ROUNDS = 6_000, 6_000, 3
-HAND_OVER = 0.08  # share of the pool that a view hands over in a round
+SAMPLE, POOL, ROUNDS = 6_000, 6_000, 3  # POOL: pseudo-labelled rows of one fitting task
+HAND_OVER = 0.08  # share of the unlabelled documents that a view hands over in a round
+SURE, STEP = 2, 1000  # least logit of a pseudo-label; steps of the scores' histogram per unit
 FEATURES = 20_000
 _ROW = "y int, f binary, v binary, m binary"
+_PACKED = "tie long, c binary, x binary, m binary"
+_CHOSEN = "part long, y0 int, y1 int, " + _PACKED
 
 _PUNCT = np.zeros(256, np.int64)
 _PUNCT[[b for b in range(33, 127) if not chr(b).isalnum()]] = [b for b in range(33, 127) if not chr(b).isalnum()]
@@ -136,71 +146,198 @@ def _combine(a: np.ndarray, b: np.ndarray, y: np.ndarray) -> np.ndarray:
     return p
 
 
-def co_train(y: np.ndarray, views: list[tuple], hold: np.ndarray, rounds: int, hand_over: float):
-    """``y``: 1, 0 or -1 (unlabelled); ``views``: (rows, cols, values, number of features);
-    ``hold``: rows kept for calibration. Returns the views' weights."""
-    pool = np.flatnonzero(y < 0)
-    own = [np.where(y >= 0, y, 0).astype(float) for _ in views]
-    weight = [((y >= 0) & ~hold).astype(float) for _ in views]
-    good = y[(y >= 0) & ~hold].mean()
-    models = []
-    for r in range(rounds + 1):
-        models = [fit_logistic(*views[i][:3], own[i], weight[i], views[i][3]) for i in range(len(views))]
-        if r == rounds or not len(pool):
-            break
-        for i, (rows, cols, x, _) in enumerate(views):
-            other = 1 - i
-            s = np.bincount(rows, weights=x * models[i][cols], minlength=len(y)) + models[i][-1]
-            free = pool[weight[other][pool] == 0]
-            ranked = free[np.argsort(s[free], kind="stable")]
-            n = int(hand_over * len(pool))
-            n_good = int(round(n * good))
-            sure_good = [k for k in ranked[::-1][:n_good] if s[k] > 2]
-            sure_bad = [k for k in ranked[:n - n_good] if s[k] < -2]
-            for k, v in ((sure_good, 1.0), (sure_bad, 0.0)):
-                own[other][k] = v
-                weight[other][k] = 0.5  # a pseudo-label counts half
-    return models
-
-
-def _fit(rounds: int, hand_over: float):
+def _prepare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The labelled sample in a fixed order, its content features cut to the selected ones: one row."""
+    y, f, v, m = [], [], [], []
+    for batch in batches:
+        y += batch.column("y").to_pylist()
+        f += [np.frombuffer(b.as_buffer(), U) for b in batch.column("f")]
+        v += [np.frombuffer(b.as_buffer(), np.float32) for b in batch.column("v")]
+        m += [np.frombuffer(b.as_buffer(), U) for b in batch.column("m")]
+    order = sorted(range(len(y)), key=lambda i: (y[i], len(f[i]), f[i].tobytes(), m[i].tobytes()))
+    y = np.array([y[i] for i in order], np.int64)
+    f, v, m = [f[i] for i in order], [v[i] for i in order], [m[i] for i in order]
+    none = np.zeros(0, U)
+    hold = np.arange(len(y)) % 4 == 0
+    rows = np.repeat(np.arange(len(y)), [len(x) for x in f])
+    h, x = np.concatenate([none, *f]), np.concatenate([np.zeros(0, np.float32), *v])
+    enough = len(y) and min((y == 0).sum(), (y == 1).sum()) >= 5
+    vocab = Vocabulary(select_features(h, rows, np.where(hold, -1, y), FEATURES)[0] if enough else none)
+    at, cols = vocab.lookup(h)
+    yield one_row(dump({"y": y, "hold": hold, "t": vocab.hashes, "rows": rows[at], "cols": cols, "x": x[at],
+                        "m": np.stack(m) if m else np.zeros((0, 5), U)}))
+
+
+def _pack(held):
+    """Unlabelled documents' selected content features, metadata and a hash that orders equal scores."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocab = Vocabulary(load(held.value)["t"])
+        for batch in batches:
+            c, v = [b""] * batch.num_rows, [b""] * batch.num_rows
+            for row0, n, row, h, x in _content(batch.column("text")):
+                at, cols = vocab.lookup(h)
+                cuts = np.searchsorted(row[at], np.arange(n + 1))
+                cols, x = cols.astype(np.uint16), x[at].astype(np.float32)
+                for r in range(n):
+                    c[row0 + r], v[row0 + r] = cols[cuts[r]:cuts[r + 1]].tobytes(), x[cuts[r]:cuts[r + 1]].tobytes()
+            m = [r.tobytes() for r in _metadata(batch)]
+            yield pa.RecordBatch.from_arrays([batch.column("tie"), pa.array(c, pa.binary()), pa.array(v, pa.binary()),
+                                              pa.array(m, pa.binary())], names=["tie", "c", "x", "m"])
+    return run
+
+
+def _unpack(c, x, m) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(row, feature number, value, metadata hashes) of packed rows."""
+    cols = [np.frombuffer(b.as_buffer(), np.uint16) for b in c]
+    rows = np.repeat(np.arange(len(cols)), [len(k) for k in cols])
+    x = np.concatenate([np.zeros(0, np.float32), *(np.frombuffer(b.as_buffer(), np.float32) for b in x)])
+    meta = np.concatenate([np.zeros(0, U), *(np.frombuffer(b.as_buffer(), U) for b in m)]).reshape(-1, 5)
+    return rows, np.concatenate([np.zeros(0, np.uint16), *cols]).astype(np.int64), x, meta
+
+
+def _meta_score(meta: np.ndarray, vocab: Vocabulary, w: np.ndarray) -> np.ndarray:
+    at, col = vocab.lookup(meta.reshape(-1))
+    return np.bincount(at // meta.shape[1], weights=w[:-1][col], minlength=len(meta)) + w[-1]
+
+
+def _handed(batch: pa.RecordBatch, models: list[dict], limits: list) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """(scores of both views under the last model in steps, pseudo-labels given to each view or -1). ``limits``:
+    per round and view, (step, tie) of the last good and of the last bad document handed over."""
+    rows, cols, x, meta = _unpack(batch.column("c"), batch.column("x"), batch.column("m"))
+    n, tie = batch.num_rows, batch.column("tie").to_numpy() & 0xFFFF
+    given = [np.full(n, -1), np.full(n, -1)]
+    q = [np.zeros(n, np.int64)] * 2
+    for r, w in enumerate(models):
+        s = (np.bincount(rows, weights=x * w["wt"][cols], minlength=n) + w["wt"][-1], _meta_score(meta, Vocabulary(w["m"]), w["wm"]))
+        q = [np.rint(v * STEP).astype(np.int64) for v in s]
+        if r < len(limits):
+            free = [g < 0 for g in given]
+            for i in (0, 1):
+                (hi, hi_tie), (lo, lo_tie) = limits[r][i]
+                given[1 - i][free[1 - i] & ((q[i] > hi) | ((q[i] == hi) & (tie < hi_tie)))] = 1
+                given[1 - i][free[1 - i] & ((q[i] < lo) | ((q[i] == lo) & (tie < lo_tie)))] = 0
+    return q, given
+
+
+def _scores(held):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            q, given = _handed(batch, *held.value)
+            yield pa.RecordBatch.from_arrays([pa.array(batch.column("tie").to_numpy() & 0xFFFF), pa.array(q[0]), pa.array(q[1]),
+                                              pa.array(given[1] < 0), pa.array(given[0] < 0)], names=["tie", "q0", "q1", "f0", "f1"])
+    return run
+
+
+def _chosen(held, parts: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        y, f, v, m = [], [], [], []
         for batch in batches:
-            y += batch.column("y").to_pylist()
-            f += [np.frombuffer(b.as_buffer(), U) for b in batch.column("f")]
-            v += [np.frombuffer(b.as_buffer(), np.float32) for b in batch.column("v")]
-            m += [np.frombuffer(b.as_buffer(), U) for b in batch.column("m")]
-        order = sorted(range(len(y)), key=lambda i: (y[i], len(f[i]), f[i].tobytes(), m[i].tobytes()))
-        y = np.array([y[i] for i in order], np.int64)
-        f, v, m = [f[i] for i in order], [v[i] for i in order], [m[i] for i in order]
-        none = np.zeros(0, U)
-        share = float((y == 1).sum() / max(1, (y >= 0).sum())) if (y >= 0).any() else 1.0
-        if min((y == 0).sum(), (y == 1).sum()) < 5:
-            yield one_row(dump({"t": none, "wt": np.zeros(1), "m": none, "wm": np.zeros(1), "pt": np.zeros(2), "pm": np.zeros(2),
-                                "c": np.array([0.0, 0.0, np.log(max(share, 1e-9) / max(1 - share, 1e-9))])}))
-            return
-        hold = (y >= 0) & (np.arange(len(y)) % 4 == 0)
-        views, vocabs = [], []
-        for hashes, values in ((f, v), (m, [np.ones(len(x), np.float32) for x in m])):
-            rows = np.repeat(np.arange(len(y)), [len(x) for x in hashes])
-            h, x = np.concatenate(hashes), np.concatenate(values)
-            train = np.where(hold, -1, y)
-            chosen, _ = (select_features(h, rows, train, FEATURES) if hashes is f
-                         else (np.unique(h), None))  # metadata: every value seen
-            vocab = Vocabulary(chosen)
-            at, cols = vocab.lookup(h)
-            views.append((rows[at], cols, x[at], len(vocab.hashes)))
-            vocabs.append(vocab)
-        models = co_train(y, views, hold, rounds, hand_over)
-        scores = [np.bincount(r, weights=x * w[c], minlength=len(y)) + w[-1] for (r, c, x, _), w in zip(views, models, strict=True)]
-        pt, pm = _platt(scores[0][hold], y[hold]), _platt(scores[1][hold], y[hold])
-        lt, lm = pt[0] * scores[0] + pt[1], pm[0] * scores[1] + pm[1]
-        yield one_row(dump({"t": vocabs[0].hashes, "wt": models[0], "m": vocabs[1].hashes, "wm": models[1], "pt": pt, "pm": pm,
-                            "c": _combine(lt[hold], lm[hold], y[hold])}))
+            _, (y0, y1) = _handed(batch, *held.value)
+            part = (batch.column("tie").to_numpy() >> 16) % parts
+            out = pa.RecordBatch.from_arrays([pa.array(part), pa.array(y0.astype(np.int32)), pa.array(y1.astype(np.int32)), *batch.columns],
+                                             names=["part", "y0", "y1", *batch.schema.names])
+            yield out.filter(pa.array((y0 >= 0) | (y1 >= 0)))
     return run
 
 
+def _limits(scored: DataFrame, n_good: int, n_bad: int) -> list:
+    """Per view, where the ``n_good`` highest and the ``n_bad`` lowest scores of documents still free end."""
+    each = F.array(*[F.struct(F.lit(i).alias("v"), F.col(f"q{i}").alias("q"), F.col(f"f{i}").alias("f"), "tie") for i in (0, 1)])
+    rows = scored.select(F.explode(each).alias("e")).select("e.*").filter(F.col("f") & (F.abs("q") > SURE * STEP)).drop("f")
+    bins = {(r.v, r.q): r["count"] for r in rows.groupBy("v", "q").count().collect()}
+    found, last = {}, {}
+    for i in (0, 1):
+        for sign, n in ((1, n_good), (-1, n_bad)):
+            found[i, sign] = (sign * SURE * STEP, 0)  # all of them, unless there are more
+            for q in sorted((q for v, q in bins if v == i and q * sign > 0), key=abs, reverse=True):
+                if bins[i, q] > n:
+                    last[i, q] = n
+                    found[i, sign] = (q, 0)
+                    break
+                n -= bins[i, q]
+    if last:
+        at = F.struct("v", "q").isin(*[F.struct(F.lit(v).alias("v"), F.lit(q).cast("long").alias("q")) for v, q in last])
+        ties = sorted((r.v, r.q, r.tie, r["count"]) for r in rows.filter(at).groupBy("v", "q", "tie").count().collect())
+        for v, q, tie, n in ties:
+            last[v, q] -= n
+            if last[v, q] >= 0:
+                found[v, 1 if q > 0 else -1] = (q, tie + 1)
+    return [(found[i, 1], found[i, -1]) for i in (0, 1)]
+
+
+def _fit_part(held, parts: int):
+    """Both views' weights, fitted on the labelled sample and one part of the pseudo-labelled documents."""
+    def run(table: pa.Table) -> pa.Table:
+        lab = load(held.value)
+        table = table.filter(pa.compute.is_valid(table["c"])).sort_by([("tie", "ascending"), ("c", "ascending"), ("m", "ascending")])
+        n, y, train = len(lab["y"]), lab["y"].astype(float), (~lab["hold"]).astype(float)
+        rows, cols, x, meta = _unpack(*(table[k].combine_chunks() for k in ("c", "x", "m")))
+        given = [table[k].to_numpy() for k in ("y0", "y1")]
+        # a pseudo-label counts half; a part's stand for those of all parts
+        weight = [np.append(train, (g >= 0) * 0.5 * parts) for g in given]
+        own = [np.append(y, np.maximum(g, 0)) for g in given]
+        wt = fit_logistic(np.append(lab["rows"], rows + n), np.append(lab["cols"], cols), np.append(lab["x"], x), own[0], weight[0], len(lab["t"]))
+        meta = np.concatenate((lab["m"], meta))
+        vocab = Vocabulary(np.unique(meta[weight[1] > 0]))
+        at, cols = vocab.lookup(meta.reshape(-1))
+        wm = fit_logistic(at // meta.shape[1], cols, np.ones(len(at)), own[1], weight[1], len(vocab.hashes))
+        return pa.table({"model": pa.array([dump({"wt": wt, "m": vocab.hashes, "wm": wm})], pa.binary())})
+    return run
+
+
+def _mean_model(parts: DataFrame) -> dict:
+    """The average of the parts' weights, one part held at a time (absent metadata values count as 0)."""
+    wt, bias, hashes, wm, n = 0.0, 0.0, np.zeros(0, U), np.zeros(0), 0
+    for row in parts.toLocalIterator():
+        m = load(bytes(row.model))
+        both = np.union1d(hashes, m["m"])
+        total = np.zeros(len(both))
+        total[np.searchsorted(both, hashes)] = wm
+        total[np.searchsorted(both, m["m"])] += m["wm"][:-1]
+        wt, bias, hashes, wm, n = wt + m["wt"], bias + m["wm"][-1], both, total, n + 1
+    return {"wt": wt / n, "m": hashes, "wm": np.append(wm, bias) / n}
+
+
+def co_train(lab: bytes, packed: DataFrame, rounds: int, hand_over: float, pool: int) -> tuple[dict, list]:
+    """``lab``: the prepared labelled sample; ``packed``: every unlabelled document. The last model, and per round
+    the limits of what each view handed over."""
+    spark = packed.sparkSession
+    held, y = spark.sparkContext.broadcast(lab), load(lab)
+    good = y["y"][~y["hold"]].mean()
+    models, limits, size = [], [], packed.count()
+    n = int(hand_over * size)
+    n_good = int(round(n * good))
+    for r in range(rounds + 1):
+        parts = max(1, -(-2 * n * r // pool))  # both views hand over n a round at most
+        state = spark.sparkContext.broadcast((models, limits))
+        rows = spark.range(parts).select(F.col("id").alias("part"), *(F.lit(-1).alias(k) for k in ("y0", "y1")), F.lit(0).cast("long").alias("tie"),
+                                         *(F.lit(None).cast("binary").alias(k) for k in ("c", "x", "m")))
+        if r and n:
+            rows = rows.unionByName(packed.mapInArrow(_chosen(state, parts), _CHOSEN))
+        models = [*models, _mean_model(cut(rows.groupBy("part").applyInArrow(_fit_part(held, parts), "model binary"), "cotraining"))]
+        if r < rounds and n:
+            state = spark.sparkContext.broadcast((models, limits))
+            scored = cut(packed.mapInArrow(_scores(state), "tie long, q0 long, q1 long, f0 boolean, f1 boolean"), "scores")
+            limits = [*limits, _limits(scored, n_good, n - n_good)]
+    return models[-1], limits
+
+
+def _calibrated(lab: dict, model: dict) -> dict:
+    """The whole classifier: the views' weights, their calibration and combination on the rows held out."""
+    y, hold = lab["y"], lab["hold"]
+    st = np.bincount(lab["rows"], weights=lab["x"] * model["wt"][lab["cols"]], minlength=len(y)) + model["wt"][-1]
+    sm = _meta_score(lab["m"], Vocabulary(model["m"]), model["wm"])
+    pt, pm = _platt(st[hold], y[hold]), _platt(sm[hold], y[hold])
+    c = _combine(pt[0] * st[hold] + pt[1], pm[0] * sm[hold] + pm[1], y[hold])
+    return {"t": lab["t"], "wt": model["wt"], "m": model["m"], "wm": model["wm"], "pt": pt, "pm": pm, "c": c}
+
+
+def _constant(y: np.ndarray) -> dict:
+    share = float((y == 1).sum() / len(y)) if len(y) else 1.0
+    none = np.zeros(0, U)
+    return {"t": none, "wt": np.zeros(1), "m": none, "wm": np.zeros(1), "pt": np.zeros(2), "pm": np.zeros(2),
+            "c": np.array([0.0, 0.0, np.log(max(share, 1e-9) / max(1 - share, 1e-9))])}
+
+
 def _score(batch: pa.RecordBatch, m: dict, text: Vocabulary, meta: Vocabulary):
     st = np.full(batch.num_rows, m["wt"][-1])
     if len(text.hashes):
@@ -228,13 +365,18 @@ def quality_scores(docs: DataFrame, labels: DataFrame, label_col: str = "quality
     known = (labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
              .groupBy(F.col(id_col).cast("long").alias("l_id")).agg(F.min(label_col).cast("int").alias("y")))
     chosen = known.orderBy(by_hash, "l_id").limit(sample)
-    free = (src.filter("doc_id IS NOT NULL").select(F.col("doc_id").alias("l_id"))
-            .join(known, "l_id", "left_anti").distinct().orderBy(by_hash, "l_id").limit(pool)
-            .select("l_id", F.lit(-1).alias("y")))
-    ids = cut(chosen.unionByName(free), "sample")
-    rows = src.join(F.broadcast(ids), F.col("doc_id") == F.col("l_id")).select("y", "text", "lang", "source", "n_chars")
-    fitted = rows.mapInArrow(_featurise, _ROW).repartition(1).mapInArrow(_fit(rounds, hand_over), "model binary")
-    held = spark.sparkContext.broadcast(bytes(cut(fitted, "cotraining").first().model))
+    rows = (src.join(F.broadcast(cut(chosen, "sample")), F.col("doc_id") == F.col("l_id"))
+            .select("y", "text", "lang", "source", "n_chars"))
+    blob = bytes(cut(rows.mapInArrow(_featurise, _ROW).repartition(1).mapInArrow(_prepare, "model binary"), "labelled").first().model)
+    lab = load(blob)
+    if len(lab["y"]) == 0 or min((lab["y"] == 0).sum(), (lab["y"] == 1).sum()) < 5:
+        model = _constant(lab["y"])
+    else:
+        free = (src.join(known.select("l_id"), F.col("doc_id") == F.col("l_id"), "left_anti")
+                .withColumn("tie", F.expr("xxhash64(doc_id, text, lang, source) & 9223372036854775807")))
+        packed = cut(free.mapInArrow(_pack(spark.sparkContext.broadcast(blob)), _PACKED), "packed")
+        model = _calibrated(lab, co_train(blob, packed, rounds, hand_over, pool)[0])
+    held = spark.sparkContext.broadcast(dump(model))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = load(held.value)

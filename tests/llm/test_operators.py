@@ -334,6 +334,23 @@ def test_models_on_held_out_labels(spark, sf, empty):
     assert quality_scores(docs.limit(5), none).filter("NOT kept").count() == 0
 
 
+def test_cotraining_sees_every_unlabelled_document(spark):
+    """Pseudo-labels come from the whole corpus, not from ``pool`` documents: sources that only unlabelled documents
+    have each get a metadata weight, also where the fit takes several parts."""
+    text = lambda k: " ".join(x.upper() + "!!" if k % 2 else x + "aa" for x in prose(k, 60, 300))  # noqa: E731  (equally long)
+    data = [(k, text(k), "en", f"s{k % 4}") for k in range(200)] + [(1000 + k, text(k + 300), "en", f"new{k % 60}") for k in range(600)]
+    df = spark.createDataFrame(data, "doc_id long, text string, lang string, source string").withColumn("n_chars", F.lit(0)).repartition(3)
+    labels = spark.createDataFrame([(k, 1 - k % 2) for k in range(200)], "doc_id long, quality int")
+    out = quality_scores(df, labels, pool=50, hand_over=0.3).collect()
+    assert all(r.kept == (r.doc_id % 2 == 0) for r in out)
+    by = defaultdict(list)
+    for r in out:
+        if r.doc_id >= 1000:
+            by[r.doc_id % 60].append(r.metadata_score)
+    mean = {k: sum(v) / len(v) for k, v in by.items()}
+    assert min(v for k, v in mean.items() if k % 2 == 0) > max(v for k, v in mean.items() if k % 2)
+
+
 def test_models_accept_awkward_rows(spark, docs, data):
     labels = spark.createDataFrame([(k, k % 2, k % 3 == 0) for k in range(30)] + [(None, 1, True), (999, 0, False), (3, None, None)],
                                    "doc_id long, quality int, t boolean").withColumn("toxic", F.col("t").cast("int"))
