@@ -7,7 +7,8 @@ is surest about to the other as pseudo-labels, in the classes' labelled proporti
 then calibrated on labelled documents kept out of fitting, and a logistic combination of the calibrated
 views scores every document.
 
-Fitting uses at most ``sample`` labelled documents (the first by a hash of the id; a documented bound).
+Fitting uses at most ``sample`` labelled documents (per class the first by a hash of the id, up to half the bound or more where the other class
+has fewer; the scores are corrected for the classes' shares; a documented bound).
 Unlabelled documents are not sampled: their features that the labelled documents make useful are packed once, all of
 them are scored on the executors in every round, and each view hands over ``hand_over`` of their number: the
 highest and lowest scores, cut at an exact histogram of scores (steps of 0.001; within the last step by a
@@ -34,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from medallion.llm.common import cut, session
-from medallion.llm.sparse import Vocabulary, adam, dump, load, one_row, select_features, sigmoid
+from medallion.llm.sparse import Vocabulary, adam, by_class, dump, load, one_row, select_features, sigmoid
 from medallion.llm.words import BYTES_LOWER, U, hash_spans, mix, sum_by_row, words
 
 SAMPLE, POOL, ROUNDS = 6_000, 6_000, 3  # POOL: pseudo-labelled rows of one fitting task
@@ -297,12 +298,13 @@ def _mean_model(parts: DataFrame) -> dict:
     return {"wt": wt / n, "m": hashes, "wm": np.append(wm, bias) / n}
 
 
-def co_train(lab: bytes, packed: DataFrame, rounds: int, hand_over: float, pool: int) -> tuple[dict, list]:
+def co_train(lab: bytes, packed: DataFrame, rounds: int, hand_over: float, pool: int, moved: float = 0.0) -> tuple[dict, list]:
     """``lab``: the prepared labelled sample; ``packed``: every unlabelled document. The last model, and per round
-    the limits of what each view handed over."""
+    the limits of what each view handed over. ``moved``: by how much the sample's log odds differ from the labels'."""
     spark = packed.sparkSession
     held, y = spark.sparkContext.broadcast(lab), load(lab)
     good = y["y"][~y["hold"]].mean()
+    good = good / (good + (1 - good) * np.exp(moved))
     models, limits, size = [], [], packed.count()
     n = int(hand_over * size)
     n_good = int(round(n * good))
@@ -321,21 +323,25 @@ def co_train(lab: bytes, packed: DataFrame, rounds: int, hand_over: float, pool:
     return models[-1], limits
 
 
-def _calibrated(lab: dict, model: dict) -> dict:
-    """The whole classifier: the views' weights, their calibration and combination on the rows held out."""
+def _calibrated(lab: dict, model: dict, moved: float) -> dict:
+    """The whole classifier: the views' weights, their calibration and combination on the rows held out, put back
+    to the labels' log odds."""
     y, hold = lab["y"], lab["hold"]
     st = np.bincount(lab["rows"], weights=lab["x"] * model["wt"][lab["cols"]], minlength=len(y)) + model["wt"][-1]
     sm = _meta_score(lab["m"], Vocabulary(model["m"]), model["wm"])
     pt, pm = _platt(st[hold], y[hold]), _platt(sm[hold], y[hold])
     c = _combine(pt[0] * st[hold] + pt[1], pm[0] * sm[hold] + pm[1], y[hold])
+    shift = np.array([0.0, moved])
+    c = c - [0.0, 0.0, moved * (1 - c[0] - c[1])]  # the views are put back below
+    pt, pm = pt - shift, pm - shift
     return {"t": lab["t"], "wt": model["wt"], "m": model["m"], "wm": model["wm"], "pt": pt, "pm": pm, "c": c}
 
 
-def _constant(y: np.ndarray) -> dict:
+def _constant(y: np.ndarray, moved: float) -> dict:
     share = float((y == 1).sum() / len(y)) if len(y) else 1.0
     none = np.zeros(0, U)
     return {"t": none, "wt": np.zeros(1), "m": none, "wm": np.zeros(1), "pt": np.zeros(2), "pm": np.zeros(2),
-            "c": np.array([0.0, 0.0, np.log(max(share, 1e-9) / max(1 - share, 1e-9))])}
+            "c": np.array([0.0, 0.0, np.log(max(share, 1e-9) / max(1 - share, 1e-9)) - moved])}
 
 
 def _score(batch: pa.RecordBatch, m: dict, text: Vocabulary, meta: Vocabulary):
@@ -361,21 +367,20 @@ def quality_scores(docs: DataFrame, labels: DataFrame, label_col: str = "quality
     spark = session(docs)
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"),
                       F.col(source_col).alias("source"), F.col(chars_col).cast("double").alias("n_chars"))
-    by_hash = F.md5(F.col("l_id").cast("string"))
     known = (labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
              .groupBy(F.col(id_col).cast("long").alias("l_id")).agg(F.min(label_col).cast("int").alias("y")))
-    chosen = known.orderBy(by_hash, "l_id").limit(sample)
+    chosen, moved = by_class(known, "y", sample)
     rows = (src.join(F.broadcast(cut(chosen, "sample")), F.col("doc_id") == F.col("l_id"))
             .select("y", "text", "lang", "source", "n_chars"))
     blob = bytes(cut(rows.mapInArrow(_featurise, _ROW).repartition(1).mapInArrow(_prepare, "model binary"), "labelled").first().model)
     lab = load(blob)
     if len(lab["y"]) == 0 or min((lab["y"] == 0).sum(), (lab["y"] == 1).sum()) < 5:
-        model = _constant(lab["y"])
+        model = _constant(lab["y"], moved)
     else:
         free = (src.join(known.select("l_id"), F.col("doc_id") == F.col("l_id"), "left_anti")
                 .withColumn("tie", F.expr("xxhash64(doc_id, text, lang, source) & 9223372036854775807")))
         packed = cut(free.mapInArrow(_pack(spark.sparkContext.broadcast(blob)), _PACKED), "packed")
-        model = _calibrated(lab, co_train(blob, packed, rounds, hand_over, pool)[0])
+        model = _calibrated(lab, co_train(blob, packed, rounds, hand_over, pool, moved)[0], moved)
     held = spark.sparkContext.broadcast(dump(model))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

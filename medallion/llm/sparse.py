@@ -12,6 +12,8 @@ import io
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from medallion.llm.words import U
 
@@ -40,6 +42,17 @@ class Vocabulary:
         return {"hashes": self.hashes}
 
 
+def by_class(known: DataFrame, label: str, sample: int) -> tuple[DataFrame, float]:
+    """At most ``sample`` rows of ``known`` (l_id, ``label``), the first ids by hash per class (0, above 0): half
+    the bound each, or more where the other class has fewer; and by how much that moved the log odds."""
+    above = F.col(label) > 0
+    n = {k: 0 for k in (False, True)} | {r.k: r["count"] for r in known.groupBy(above.alias("k")).count().collect()}
+    take = {k: min(n[k], max(sample // 2, sample - n[not k])) for k in n}
+    rows = [known.filter(above == k).orderBy(F.md5(F.col("l_id").cast("string")), "l_id").limit(take[k]) for k in n]
+    moved = np.log(take[True] / take[False]) - np.log(n[True] / n[False]) if all(take.values()) else 0.0
+    return rows[0].unionByName(rows[1]), float(moved)
+
+
 def counts_by_row(row: np.ndarray, feature: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct (row, feature) pairs and their counts."""
     key, n = np.unique(row.astype(np.int64) * size + feature, return_counts=True)

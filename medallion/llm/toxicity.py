@@ -5,8 +5,8 @@ of them. Features are words (A-Z lower-cased, punctuation stripped at the ends)
 bytes, so inflected forms share weight, chosen by their association with the labels; a
 feature's value is log(1 + count), so a long text does not thin out what it contains. The expected severity is the sum over k of P(grade > k).
 
-Fitting uses at most ``sample`` labelled documents (a documented bound, the first by a hash of the
-id), in one task; scoring covers every document. Labels may be grades; 0/1 labels are first
+Fitting uses at most ``sample`` labelled documents (a documented bound: per class the first by a hash of
+the id, up to half the bound or more where the other class has fewer; thresholds are corrected for the classes' shares), in one task; scoring covers every document. Labels may be grades; 0/1 labels are first
 refined: toxic documents are graded 1 to ``grades`` - 1 by how many of the associated words they hold
 (equal shares of the toxic sample).
 
@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from medallion.llm.common import cut, session
-from medallion.llm.sparse import MAX_FEATURES, Vocabulary, adam, dump, load, one_row, select_features, sigmoid
+from medallion.llm.sparse import MAX_FEATURES, Vocabulary, adam, by_class, dump, load, one_row, select_features, sigmoid
 from medallion.llm.words import BYTES_LOWER, U, Words, bare_words, hash_spans
 
 SAMPLE, GRADES = 8_000, 4
@@ -157,21 +157,22 @@ def severity_scores(arr: pa.Array, vocab: Vocabulary, w: np.ndarray, t: np.ndarr
     return above.sum(1), above[:, 0]
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, sample: int, id_col: str, text_col: str) -> DataFrame:
-    """(grade, text) of at most ``sample`` labelled documents: the first ids by hash. The ids are few
-    enough to be sent to the documents, which are scanned once and not shuffled."""
-    ids = (labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
-           .groupBy(F.col(id_col).alias("l_id")).agg(F.max(label_col).cast("int").alias("grade"))
-           .orderBy(F.md5(F.col("l_id").cast("string")), "l_id").limit(sample))
+def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, sample: int, id_col: str, text_col: str) -> tuple[DataFrame, float]:
+    """(grade, text) of at most ``sample`` labelled documents, the first ids by hash per class, and how much that moved
+    the log odds. The ids are few enough to be sent to the documents, which are scanned once and not shuffled."""
+    known = (labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
+             .groupBy(F.col(id_col).alias("l_id")).agg(F.max(label_col).cast("int").alias("grade")))
+    ids, moved = by_class(known, "grade", sample)
     texts = docs.select(F.col(id_col).alias("d_id"), F.col(text_col).alias("text")).filter("text IS NOT NULL")
-    return texts.join(F.broadcast(ids), F.col("d_id") == F.col("l_id")).select("grade", "text")
+    return texts.join(F.broadcast(ids), F.col("d_id") == F.col("l_id")).select("grade", "text"), moved
 
 
 def severity(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", grades: int = GRADES, binary: bool = True,
              sample: int = SAMPLE, threshold: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, expected_severity, p_toxic, toxic) for every document."""
     spark = session(docs)
-    rows = labelled_sample(docs, labels, label_col, sample, id_col, text_col).mapInArrow(_featurise, _FEATS)
+    rows, moved = labelled_sample(docs, labels, label_col, sample, id_col, text_col)
+    rows = rows.mapInArrow(_featurise, _FEATS)
     model = cut(rows.repartition(1).mapInArrow(_fit(grades, binary), "model binary"), "ordinal").first()
     held = spark.sparkContext.broadcast(bytes(model.model) if model else None)
 
@@ -179,7 +180,7 @@ def severity(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", grade
         m = load(held.value)
         vocab = Vocabulary(m["hashes"])
         for batch in batches:
-            e, p = severity_scores(batch.column("text"), vocab, m["w"], m["t"])
+            e, p = severity_scores(batch.column("text"), vocab, m["w"], m["t"] + moved)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(e), pa.array(p), pa.array(p >= threshold)],
                                              names=["doc_id", "expected_severity", "p_toxic", "toxic"])
 

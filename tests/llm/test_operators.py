@@ -351,6 +351,17 @@ def test_cotraining_sees_every_unlabelled_document(spark):
     assert min(v for k, v in mean.items() if k % 2 == 0) > max(v for k, v in mean.items() if k % 2)
 
 
+def test_rare_class_is_sampled(spark):
+    """Ten bad documents among 600 labelled ones are fitted on, though the bound is 60."""
+    text = lambda k: " ".join(prose(k, 60, 300) + ["vile", "nasty!!", "BAD!!"] * (4 if k % 60 == 7 else 0))
+    data = [(k, text(k), "en", f"s{k % 4}", 0) for k in range(900)]
+    df = spark.createDataFrame(data, "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    labels = spark.createDataFrame([(k, int(k % 60 != 7), int(k % 60 == 7)) for k in range(600)], "doc_id long, quality int, toxic int")
+    bad = {k for k in range(900) if k % 60 == 7}
+    assert {r.doc_id for r in severity(df, labels, sample=60).filter("toxic").collect()} == bad
+    assert {r.doc_id for r in quality_scores(df, labels, sample=60).filter("NOT kept").collect()} == bad
+
+
 def test_models_accept_awkward_rows(spark, docs, data):
     labels = spark.createDataFrame([(k, k % 2, k % 3 == 0) for k in range(30)] + [(None, 1, True), (999, 0, False), (3, None, None)],
                                    "doc_id long, quality int, t boolean").withColumn("toxic", F.col("t").cast("int"))
