@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from medallion.llm.collocations import collocations
 from medallion.llm.common import read
+from medallion.llm.conversations import damaged, repair_summary
 from medallion.llm.cotraining import quality_scores
 from medallion.llm.decontaminate import contaminated_pairs
 from medallion.llm.jaccard import near_duplicates
+from medallion.llm.license_join import BASE_PHRASES, TEMPLATES, license_scan, split_words
 from medallion.llm.line_dedup import line_dedup
 from medallion.llm.mixing import mix_plan
 from medallion.llm.quality import quality_table
@@ -70,8 +73,21 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter(read(spark, sf_dir, "pages"), URL_RULES).drop("redirect_class")
 
 
+def op11_license_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(read(spark, sf_dir, "documents"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(read(spark, sf_dir, "documents"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_summary(damaged(read(spark, sf_dir, "conversations")))
+
+
 QUERIES = {f.__name__: f for f in (op1_jaccard_join, op2_mixing, op3_token_counts, op4_quality_rules, op5_substring_dedup,
-                                   op6_cotraining, op7_toxicity, op8_line_dedup, op9_decontaminate, op10_url_filter)}
+                                   op6_cotraining, op7_toxicity, op8_line_dedup, op9_decontaminate, op10_url_filter,
+                                   op11_license_join, op12_collocations, op13_conversation_repair)}
 
 _WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
 _UP, _LOW = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -185,5 +201,112 @@ own AS (SELECT h.k, arg_max(r.rule, length(r.rule)) AS rule, arg_max(r.verdict,
 SELECT pg.page_id, pg.host, pg.path, own.rule, coalesce(own.verdict, cv.cv, 'allow') AS verdict
 FROM pg LEFT JOIN own ON pg.k = own.k LEFT JOIN cv ON pg.node = cv.node"""
 
+
+def _sql_list(words: list[str]) -> str:
+    return "[" + ", ".join(f"'{w}'" for w in words) + "]"
+
+
+_LIC_SETS = [(label, list(dict.fromkeys(split_words(t)))) for label, t in TEMPLATES]
+_LIC_TEMPLATES = ", ".join(f"('{label}', {_sql_list(ws)})" for label, ws in _LIC_SETS)
+_LIC_STEP = max([32] + [len(split_words(t)) for _, t in TEMPLATES])
+_LIC_PHRASES = [(split_words(p), label) for p, label in BASE_PHRASES]
+_LIC_AT = ", ".join("list_filter(range(1, len(w) + 1), lambda i: " + " AND ".join(
+    f"w[i + {k}] = '{x}'" if k else f"w[i] = '{x}'" for k, x in enumerate(ws)) + f") AS p{n}"
+    for n, (ws, _) in enumerate(_LIC_PHRASES))
+_LIC_ALL = " || ".join(f"p{n}" for n in range(len(_LIC_PHRASES)))
+_LIC_BASE = " || ".join(f"CASE WHEN len(p{n}) > 0 THEN ['{label}'] ELSE CAST([] AS VARCHAR[]) END"
+                        for n, (_, label) in enumerate(_LIC_PHRASES))
+
+_OP11 = f"""
+WITH w AS (SELECT row_number() OVER () AS k, doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UP}', '{_LOW}'),
+             '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT k, doc_id, CAST(len(w) AS BIGINT) AS n_words, {_LIC_AT} FROM w),
+t(label, t) AS (VALUES {_LIC_TEMPLATES}),
+x AS (SELECT k, unnest(range(0, len(w), {_LIC_STEP})) AS i, w FROM w),
+s AS (SELECT k, list_distinct(w[i + 1:i + 2 * {_LIC_STEP}]) AS s FROM x),
+m AS (SELECT k, label, len(list_intersect(s, t)) AS o, len(t) AS z FROM s CROSS JOIN t),
+f AS (SELECT k, list(DISTINCT label) AS ls, max(o / z) AS score FROM m WHERE 100 * o >= 80 * z GROUP BY k)
+SELECT b.doc_id, n_words, CAST(len({_LIC_ALL}) AS BIGINT) AS n_base, CAST(list_min({_LIC_ALL}) - 1 AS BIGINT) AS first_word,
+  CAST(list_max({_LIC_ALL}) - 1 AS BIGINT) AS last_word, array_to_string(list_sort(list_distinct({_LIC_BASE})), ',') AS base_labels,
+  array_to_string(list_sort(list_distinct(({_LIC_BASE}) || coalesce(ls, CAST([] AS VARCHAR[])))), ',') AS labels,
+  coalesce(score, 0.0::DOUBLE) AS score
+FROM b LEFT JOIN f ON b.k = f.k"""
+
+_OP12 = f"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), '{_UP}', '{_LOW}'),
+    '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+n AS (SELECT lang, CAST(sum(len(w)) AS HUGEINT) AS n FROM w GROUP BY lang),
+g AS (SELECT lang, array_to_string(w[i:i + k - 1], ' ') AS phrase, k FROM (
+  SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, (SELECT unnest(range(1, 6)) AS k) WHERE len(w) >= k)),
+f AS (SELECT lang, phrase, k, CAST(count(*) AS HUGEINT) AS a FROM g GROUP BY lang, phrase, k HAVING count(*) >= 100),
+c AS (SELECT * FROM f WHERE k >= 2),
+x AS (SELECT c.lang, c.phrase, c.a, unnest(range(1, c.k)) AS j, string_split(c.phrase, ' ') AS ws FROM c),
+s AS (
+  SELECT x.lang, x.phrase, x.a, min(struct_pack(score := 1000 * x.a * n.n // (l.a * r.a), j := x.j, l := l.a, r := r.a)) AS b, any_value(n.n) AS n
+  FROM x JOIN f l ON l.lang = x.lang AND l.phrase = array_to_string(x.ws[1:x.j], ' ')
+    JOIN f r ON r.lang = x.lang AND r.phrase = array_to_string(x.ws[x.j + 1:], ' ') JOIN n ON n.lang = x.lang
+  GROUP BY x.lang, x.phrase, x.a),
+i AS (SELECT DISTINCT s.lang, s.phrase FROM s JOIN c ON c.lang = s.lang AND c.a >= s.a AND len(c.phrase) > len(s.phrase)
+      AND contains(' ' || c.phrase || ' ', ' ' || s.phrase || ' ')),
+o AS (SELECT s.lang, s.phrase, a, b.l AS l, b.r AS r, n, b.score AS score,
+        row_number() OVER (PARTITION BY s.lang ORDER BY b.score DESC, a DESC, s.phrase) AS rank
+      FROM s ANTI JOIN i ON i.lang = s.lang AND i.phrase = s.phrase)
+SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r,
+  CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score FROM o WHERE rank <= 2000"""
+
+
+def _edit(state: str, cost: str, letter: str, said: str | None = None) -> str:
+    """The path in ``state`` with one more edit, which says ``said``."""
+    return (f"struct_pack(c := {state}.c + {cost}, a := {state}.a || '{letter}', "
+            f"o := {state}.o" + (f" || chr(10) || {said})" if said else ")"))
+
+
+def _edits(given: str, *states: str) -> str:
+    """A row kept or given the role ``given``, from any of ``states``."""
+    kept = [f"CASE WHEN NOT gone AND ini = '{given[0]}' THEN {_edit(x, 'extra', 'K', _KEPT)} ELSE {_FAR} END" for x in states]
+    return ", ".join(kept + [f"CASE WHEN NOT gone THEN {_edit(x, '3 + extra', 'R', chr(39) + given + ':' + chr(39) + ' || text')} ELSE {_FAR} END"
+                             for x in states])
+
+
+_KEPT = "role || ':' || text"
+_ZERO = "struct_pack(c := 0::BIGINT, a := '', o := '')"
+_FAR = "struct_pack(c := 1000000::BIGINT, a := '', o := '')"
+_SAY_U, _SAY_A = "'user:'", "'assistant:'"
+_OPEN = (f"(SELECT * EXCLUDE (U, A), U, least(A, {_edit('U', '3', 'I', _SAY_A)}) AS A FROM (SELECT * EXCLUDE (U), "
+         f"least(U, {', '.join(_edit(x, '3', 'I', _SAY_U) for x in 'ESA')}) AS U FROM dp))")
+
+# Paths are compared by cost, then by their letters as text, in place of the weights.
+_OP13 = f"""
+WITH RECURSIVE k AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key FROM conversations),
+h AS (SELECT *, xor(list_reduce([4294967295::BIGINT] || list_transform(string_split(key, ''), lambda z: CAST(ascii(z) AS BIGINT)),
+    lambda p, y: xor(p // 256, list_reduce([xor(p, y) % 256, 0, 0, 0, 0, 0, 0, 0, 0], lambda q, z: xor(q // 2, 3988292384 * (q % 2))))),
+    4294967295) % 20 AS code FROM k),
+d AS (
+  SELECT conv_id, turn, CASE WHEN code = 4 THEN 'user' ELSE role END AS role, CASE code WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g')
+    ELSE text END AS text, unnest(range(CASE code WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM h WHERE code <> 0),
+o AS (SELECT conv_id, turn, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM d),
+e AS (SELECT *, regexp_replace(text, '[\\x20\\x09-\\x0D]+$', '') AS bare, left(role, 1) AS ini,
+        min(i) OVER (PARTITION BY conv_id, role, text) < i AS again, left(lag(role) OVER (PARTITION BY conv_id ORDER BY i), 1) AS prev FROM o),
+r AS (SELECT *, CASE WHEN bare = '' THEN 'blank' WHEN again THEN 'duplicate' WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault FROM e),
+q AS (SELECT *, fault IN ('blank', 'duplicate') AS gone, CASE fault WHEN 'truncated' THEN 3 ELSE 0 END AS extra FROM r),
+m AS (SELECT conv_id, max(i) AS m, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+        count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+        count(*) FILTER (prev IS NOT NULL AND prev || ini NOT IN ('su', 'ua', 'au')) AS illegal FROM q GROUP BY conv_id),
+dp AS (
+  SELECT conv_id, 0::BIGINT AS i, {_ZERO} AS E, {_FAR} AS S, {_FAR} AS U, {_FAR} AS A FROM m
+  UNION ALL
+  SELECT p.conv_id, q.i, {_edit('E', '4', 'D')}, least({_edit('S', '4', 'D')}, CASE WHEN NOT gone AND ini = 's' THEN {_edit('E', 'extra', 'K', _KEPT)} ELSE {_FAR} END),
+    least({_edit('U', '4', 'D')}, {_edits('user', 'E', 'S', 'A')}), least({_edit('A', '4', 'D')}, {_edits('assistant', 'U')})
+  FROM {_OPEN} p JOIN q ON p.conv_id = q.conv_id AND q.i = p.i + 1),
+f AS (SELECT m.*, least(p.E, p.A) AS b FROM {_OPEN} p JOIN m ON m.conv_id = p.conv_id AND m.m = p.i)
+SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+  coalesce(illegal, 0) AS illegal, coalesce(b.c, 0) AS cost, coalesce(b.a, '') AS audit, sha256(coalesce(substr(b.o, 2), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN f ON f.conv_id = c.conv_id"""
+
 ORACLES = {"op1_jaccard_join": _OP1, "op2_mixing": _OP2, "op5_substring_dedup": _OP5, "op8_line_dedup": _OP8,
-           "op10_url_filter": _OP10}
+           "op10_url_filter": _OP10, "op11_license_join": _OP11, "op12_collocations": _OP12,
+           "op13_conversation_repair": _OP13}
