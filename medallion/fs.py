@@ -47,6 +47,53 @@ def rename(spark: SparkSession, src: str, dst: str, overwrite: bool = False) ->
         raise OSError(f"rename failed: {src} -> {dst}")
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Removes a file or folder; nothing happens where there is none."""
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
+def rename_new(spark: SparkSession, src: str, dst: str) -> bool:
+    """Renames a file unless ``dst`` exists (one atomic step on HDFS); says whether it did."""
+    jvm = spark.sparkContext._jvm
+    a, b = jvm.org.apache.hadoop.fs.Path(src), jvm.org.apache.hadoop.fs.Path(dst)
+    _, p = _fs(spark, src)
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+        p.toUri() if p.toUri().getScheme() else _fs(spark, src)[0].getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+    try:
+        context.rename(a, b, options)
+    except Exception as e:  # noqa: BLE001 - the JVM's class tells
+        if "FileAlreadyExistsException" in str(e):
+            return False
+        raise
+    return True
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small UTF-8 file; None where there is none."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return str(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+
+
+def glob_times(spark: SparkSession, pattern: str) -> list[tuple[str, float]]:
+    """Paths that match, with the time of their last change in seconds."""
+    fs, p = _fs(spark, pattern)
+    return [(str(s.getPath().toString()), s.getModificationTime() / 1000) for s in fs.globStatus(p) or []]
+
+
+def set_time(spark: SparkSession, path: str, seconds: int) -> None:
+    """Sets a file's time of last change."""
+    fs, p = _fs(spark, path)
+    fs.setTimes(p, seconds * 1000, -1)
+
+
 def touch(spark: SparkSession, path: str, text: str = "") -> None:
     fs, p = _fs(spark, path)
     out = fs.create(p, True)

@@ -14,15 +14,18 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from medallion import fs
 from medallion.functions.columns import full_address
 from medallion.operators import geo
+from medallion.operators.fuzzy import widened
 from medallion.operators.metrics import observed
 from medallion.plans.marts import (PARIS_MARTS, PARIS_SILVER_PARQUET, PARIS_STATIONS_CSV, PRICE_MART,
                                    paris_path_of, price_mart, run_marts)
 from medallion.plans.refine import (ADDRESS_PARTS, CITY_SUFFIX, RefineReport, error_text, run_refine_batch,
                                     run_refine_transactions, stage_transactions, transactions_needing_fill)
+from medallion.sinks.replace import settle
 from medallion.sinks.writers import write_parquet
 from medallion.sources.readers import read_delimited
 from medallion.streaming.landing import PROVENANCE
@@ -46,7 +49,8 @@ def silver_job(spark: SparkSession, data_root: str, gazetteer: DataFrame | None
                transactions_glob: str = TRANSACTIONS_GLOB,
                transactions: DataFrame | None = None, max_parallel: int = 4,
                provider_cache: str | None = None, bronze: str | None = None,
-               max_calls: int | None = None) -> SilverResult:
+               max_calls: int | None = None, transaction_schema: StructType | None = None,
+               quarantine: bool = False, fuzzy_edits: int = 0) -> SilverResult:
     """All silver refinements. ``gazetteer`` (address, latitude, longitude,
     score) fills missing coordinates by join; ``provider`` (a batch function,
     see ``geo.resolve_with_provider``) is the alternative for an external
@@ -55,14 +59,17 @@ def silver_job(spark: SparkSession, data_root: str, gazetteer: DataFrame | None
     bronze Parquet written by ``streaming.landing.land`` with ``fmt="csv"``).
     ``bronze`` is a folder of landed tables, one per dataset: where
     ``<bronze>/<dataset>`` exists it is read instead of the files under
-    ``data_root``; the transactions' is ``<bronze>/BRONZE_TRANSACTIONS``."""
+    ``data_root``; the transactions' is ``<bronze>/BRONZE_TRANSACTIONS``.
+    ``quarantine`` (with ``transaction_schema``, for the CSV files) puts lines and files that don't fit into
+    ``silver/_quarantine_transactions.parquet``. ``fuzzy_edits`` lets an address that the gazetteer lacks take
+    the entry within so many edits (``operators.fuzzy``)."""
     root = data_root.rstrip("/")
     landed = bronze.rstrip("/") if bronze else None
     if landed and transactions is None and fs.exists(spark, f"{landed}/{BRONZE_TRANSACTIONS}"):
         transactions = spark.read.parquet(f"{landed}/{BRONZE_TRANSACTIONS}")
     best = (geo.prepare_best_candidates(gazetteer, f"{root}/silver/gazetteer_best.parquet")
             if gazetteer is not None else None)
-    report = answers = None
+    report = answers = failed = None
     glob = f"{root}/{transactions_glob}"
     source = transactions if transactions is not None else (glob if fs.glob(spark, glob) else None)
     if source is not None:
@@ -77,16 +84,27 @@ def silver_job(spark: SparkSession, data_root: str, gazetteer: DataFrame | None
                                        resolved_path=f"{root}/silver/_resolved_addresses.parquet",
                                        cache_path=provider_cache, max_calls=max_calls)
             best = answers.table
-        report = run_refine_transactions(spark, source, best, f"{root}/silver/{TRANSACTIONS_SILVER}.parquet",
-                                         code=code, years=years)
-        if answers is not None:
-            report.failed_addresses = answers.failed
+        try:
+            if fuzzy_edits and gazetteer is not None:
+                raw = source if isinstance(source, DataFrame) else read_delimited(spark, source, sep=";", schema=transaction_schema)
+                need = transactions_needing_fill(raw.drop(*PROVENANCE), code, years)
+                best = widened(need, best, full_address(list(ADDRESS_PARTS), CITY_SUFFIX), fuzzy_edits)
+            report = run_refine_transactions(
+                spark, source, best, f"{root}/silver/{TRANSACTIONS_SILVER}.parquet", code=code, years=years, schema=transaction_schema,
+                quarantine=f"{root}/silver/_quarantine_transactions.parquet" if quarantine else None)
+            if answers is not None:
+                report.failed_addresses = answers.failed
+        except Exception as e:  # noqa: BLE001 - the other sets are independent; the status says what failed
+            failed = error_text(e)
     sources = [(stations, f"{root}/{stations}/{stations}.csv", "csv")] if stations else []
     sources += [(ds, f"{root}/{ds}/{ds}.parquet", "parquet") for ds in datasets]
     if landed:
         sources = [(ds, f"{landed}/{ds}", "bronze") if fs.exists(spark, f"{landed}/{ds}") else (ds, path, fmt)
                    for ds, path, fmt in sources]
-    return SilverResult(report, run_refine_batch(spark, sources, f"{root}/silver", max_parallel=max_parallel))
+    status = run_refine_batch(spark, sources, f"{root}/silver", max_parallel=max_parallel)
+    if failed is not None:
+        status = status.unionByName(spark.createDataFrame([(TRANSACTIONS_SILVER, "error", failed, None, None)], status.schema))
+    return SilverResult(report, status)
 
 
 def gold_job(spark: SparkSession, data_root: str,
@@ -100,6 +118,7 @@ def gold_job(spark: SparkSession, data_root: str,
     silver = f"{root}/silver"
     status = run_marts(spark, catalogue, paris_path_of(silver), f"{root}/gold")
     src = f"{silver}/{TRANSACTIONS_SILVER}.parquet"
+    settle(spark, src)
     if fs.exists(spark, src):
         try:
             mart, obs = observed(price_mart(spark.read.parquet(src), decimal_sep), "price_mart",

@@ -20,6 +20,7 @@ from medallion.operators.filters import complete
 from medallion.operators.geo import NoCoordinates, UnsupportedPointType, extract_points
 from medallion.operators.metrics import observed
 from medallion.plans.refine import error_text
+from medallion.sinks.replace import settle
 from medallion.sinks.writers import run_noop, write_parquet
 
 # The silver Parquet datasets and the gold marts of the Paris
@@ -135,6 +136,7 @@ def build_mart(spark: SparkSession, mart: str, entries: Sequence[tuple[str, str]
     frames, statuses, observations = [], [], []
     for dataset, label in entries:
         try:
+            settle(spark, path_of(dataset))
             if not fs.exists(spark, path_of(dataset)):
                 statuses.append(SourceStatus(mart, dataset, label, "missing", f"path not found: {path_of(dataset)}"))
                 continue
@@ -164,8 +166,8 @@ def run_marts(spark: SparkSession, catalogue: Mapping[str, Sequence[tuple[str, s
     """Build and write every mart of ``catalogue``; return one status row per source.
 
     A mart with no usable source is not written; a mart whose sources are all
-    empty is still written (empty), as before. Where the write fails, each
-    source is read through on its own and the mart is built again without
+    empty is still written (empty), as before. Where the write fails, the mart that was
+    there stays; each source is read through on its own and the mart is built again without
     those that fail. Marts are independent jobs, submitted from up to
     ``max_parallel`` threads.
     """

@@ -22,7 +22,8 @@ from medallion.operators.filters import incomplete, place_predicate, year_betwee
 from medallion.operators.metrics import observed
 from medallion.operators.names import NameCollision, add_if_missing, clean_column_names, clean_name
 from medallion.sinks.writers import write_parquet
-from medallion.sources.readers import read_delimited, read_parquet
+from medallion.sources.quarantine import read_checked
+from medallion.sources.readers import PROVENANCE_COL, read_delimited, read_parquet
 from medallion.streaming.landing import PROVENANCE
 
 # The transaction layout the refinement relies on.
@@ -98,6 +99,7 @@ class RefineReport:
     path: str
     split_complete: bool = False
     failed_addresses: int | None = None
+    quarantined: int | None = None
 
 
 def run_refine_transactions(spark: SparkSession, raw_glob: str | DataFrame, best: DataFrame | None,
@@ -105,7 +107,7 @@ def run_refine_transactions(spark: SparkSession, raw_glob: str | DataFrame, best
                             years: tuple[int, int] = (2021, 2025),
                             partition_by_year: bool = False,
                             schema: StructType | None = None,
-                            split_complete: bool | None = None) -> RefineReport:
+                            split_complete: bool | None = None, quarantine: str | None = None) -> RefineReport:
     """Read the CSV set, refine and write silver Parquet (Q1, A2, K1).
 
     The count of rows needing a fill is observed during the write: one pass
@@ -123,9 +125,19 @@ def run_refine_transactions(spark: SparkSession, raw_glob: str | DataFrame, best
     the input is a table (cheap to read twice) and the reference table is too
     large to broadcast, so a shuffled join moves only the rows it needs; the
     report says which.
+    With ``quarantine`` (a table's path; needs ``schema``) files with another header and lines that don't
+    fit go there, with file, line and reason, instead of failing the run; the report counts them.
     """
+    quarantined = None
     if isinstance(raw_glob, DataFrame):
         raw, sources = raw_glob.drop(*PROVENANCE), []
+    elif quarantine is not None:
+        if schema is None:
+            raise ValueError("quarantine needs the expected columns: give a schema")
+        checked = read_checked(spark, raw_glob, schema.names)
+        raw, sources = checked.good.drop(PROVENANCE_COL), [raw_glob]
+        write_parquet(checked.bad, quarantine, sources=sources)
+        quarantined = spark.read.parquet(quarantine).count()
     else:
         raw, sources = read_delimited(spark, raw_glob, sep=";", schema=schema), [raw_glob]
     if split_complete is None:
@@ -143,7 +155,8 @@ def run_refine_transactions(spark: SparkSession, raw_glob: str | DataFrame, best
         parts = ("annee",)
     write_parquet(df, out_path, sources=sources, partition_by=parts)
     m = obs.get
-    return RefineReport(int(m["rows"]), int(m["missing"]), int(m["unresolved"]), out_path, split_complete)
+    return RefineReport(int(m["rows"]), int(m["missing"]), int(m["unresolved"]), out_path, split_complete,
+                        quarantined=quarantined)
 
 
 # --- Q2 / Q3: many sources, one status row each --------------------------------

@@ -1,8 +1,7 @@
 """Sinks (K1-K5).
 
-``write_parquet`` refuses to overwrite a folder that the same plan reads: with
-``mode("overwrite")`` Spark deletes the target before the read has finished,
-which would lose the input.
+``write_parquet`` replaces a table only once the new one is written whole (:mod:`medallion.sinks.replace`);
+it refuses to overwrite a folder that the same plan reads, since that plan could not be run again.
 """
 
 from __future__ import annotations
@@ -17,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from medallion import fs
+from medallion.sinks.replace import replace, settle
 
 
 class UnsafeOverwrite(ValueError):
@@ -58,15 +58,26 @@ def check_overwrite(df: DataFrame, target: str, sources: Sequence[str] = ()) ->
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
                   sources: Sequence[str] = (), partition_by: Sequence[str] = (),
                   files: int | None = None) -> None:
-    """Parquet sink (K1). ``files`` repartitions first to bound the file count."""
+    """Parquet sink (K1). ``files`` repartitions first to bound the file count.
+
+    ``overwrite`` leaves the old table in place until the new one is complete."""
+    spark = df.sparkSession
     if mode == "overwrite":
         check_overwrite(df, path, sources)
     if files:
         df = df.repartition(files)
-    w = df.write.mode(mode)
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
+
+    def write(folder: str, mode: str = "errorifexists") -> None:
+        w = df.write.mode(mode)
+        if partition_by:
+            w = w.partitionBy(*partition_by)
+        w.parquet(folder)
+
+    if mode == "overwrite":
+        replace(spark, path, write)
+    else:
+        settle(spark, path)
+        write(path, mode)
 
 
 def _escaped(name: str) -> Column:

@@ -7,7 +7,9 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from medallion.plans import acceptance
+from medallion.plans import acceptance, acceptance_storage
+
+LIBRARY = acceptance.QUERIES | acceptance_storage.QUERIES
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
@@ -21,8 +23,8 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(acceptance.QUERIES) == set(acceptance.ORACLES)
-    assert set(acceptance.QUERIES) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
+    assert set(LIBRARY) == set(acceptance.ORACLES | acceptance_storage.ORACLES)
+    assert set(LIBRARY) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
 
 
 @pytest.fixture(scope="module")
@@ -46,7 +48,7 @@ def _bag(cols, rows):
     return Counter(tuple(_norm(r[i]) for i in order) for r in rows)
 
 
-@pytest.mark.parametrize("name", sorted(acceptance.QUERIES))
+@pytest.mark.parametrize("name", sorted(LIBRARY))
 def test_query_matches_oracle(spark, sf, duck, name):
     df = entry.queries()[name](spark, sf)
     cur = duck.execute(entry.oracle_sql()[name])
