@@ -493,3 +493,25 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, i
                     F.when(alone, F.col("doc_id")).otherwise(F.col("first.doc_id")).alias("component_id"),
                     F.col("sid").alias("set_id"), F.col("tk").alias("text_key"),
                     (alone | (F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("tk") == F.col("first.tk")))).alias("kept")))
+
+
+def representatives(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, id_col: str = "doc_id",
+                    text_col: str = "text") -> DataFrame:
+    """``docs`` without near duplicates: of each component one row of the document that stays.
+
+    Of rows equal in id and text the least by all other columns stays, whatever the partitioning, so a
+    rerun agrees; columns must be orderable. Documents with an empty set all stay. The
+    decisions are a narrow table of (id, text key), joined to the texts once."""
+    rows = cut(near_duplicates(docs, k, percent, id_col, text_col), "near-duplicates")
+    key = [F.col("doc_id").alias("__nd_id"), F.col("text_key").alias("__nd_tk")]
+    on = docs[id_col].cast("long").eqNullSafe(F.col("__nd_id")) & (text_key(text_col) == F.col("__nd_tk"))
+    kept = docs.join(cut(rows.filter("NOT kept").select(*key).distinct(), "gone"), on, "left_anti")
+    twice = cut(rows.filter("kept AND set_id IS NOT NULL").groupBy(*key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+                .drop("n"), "equal-rows")
+    if twice.isEmpty():
+        return kept
+    names = docs.columns
+    least = F.min(F.struct(*[c for c in names if c != text_col], text_col)).alias("__nd_row")
+    one = (kept.join(twice, on, "left_semi").groupBy(F.col(id_col).cast("long").alias("__nd_id"), text_key(text_col).alias("__nd_tk"))
+           .agg(least).select(*[F.col("__nd_row")[c].alias(c) for c in names]))
+    return kept.join(twice, on, "left_anti").unionByName(one)

@@ -17,7 +17,7 @@ The last epoch of a source ends inside a document where the target does; that do
 only its first words to it. Reruns agree: every order ends in the id, the size and the text hash.
 
 Defined cases: a NULL or word-free text has size 0 and takes nothing; a NULL source is a source
-of its own, last in order; a NULL id is ordered like an empty id; equal rows are documents of their own;
+of its own, last in order; documents with a NULL id are ordered by a hash of their text; equal rows are documents of their own;
 a source without words has target 0; an empty table gives an empty plan; extra columns are ignored
 by :func:`mix_plan` and kept by :func:`training_order` (``epoch``, ``position`` and ``words_taken`` replaced).
 """
@@ -72,7 +72,8 @@ def mix_plan(docs: DataFrame, weights=(5, 2, 1), share: float = 1.5, max_epochs:
     ``copies``, an array of (epoch, position, words)."""
     session(docs)
     size = F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long")
-    order = F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")))
+    # documents without an id are spread by their text
+    order = F.md5(F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("\u0000"), text_key(text_col).cast("string"))))
     sizes = cut(docs.select(F.col(id_col).alias("doc_id"), text_key(text_col).alias("text_key"),
                             F.col(source_col).alias("source"), size.alias("size"), order.alias("ord")), "sizes")
     targets = cut(source_targets(sizes, weights, share, max_epochs), "targets")
@@ -104,15 +105,37 @@ def mix_plan(docs: DataFrame, weights=(5, 2, 1), share: float = 1.5, max_epochs:
                        (F.col("full") * F.col("size") + last).alias("taken"), copies.alias("copies"))
 
 
-def training_order(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+def training_order(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+                   **options) -> DataFrame:
     """The mix itself: the documents' columns plus ``epoch``, ``position`` and ``words_taken``, one row
-    per copy, range-sorted by position."""
-    plan = (mix_plan(docs, id_col=id_col, text_col=text_col, **options)
-            .select(F.col("doc_id").alias("__mx_id"), F.col("text_key").alias("__mx_tk"), F.col("copies").alias("__mx_c"))
-            .dropDuplicates(["__mx_id", "__mx_tk"]))
+    per copy, range-sorted by position.
+
+    A row is named by id, text hash and source. Rows equal in all three have plans of their own: they are numbered on both sides
+    (among the documents by their other columns), so each row takes one plan and the sources' words are the plan's."""
+    plan = mix_plan(docs, id_col=id_col, text_col=text_col, source_col=source_col, **options)
+    key = ["__mx_id", "__mx_tk", "__mx_src"]
+    plan = plan.select(F.col("doc_id").alias(key[0]), F.col("text_key").alias(key[1]), F.col("source").alias(key[2]),
+                       F.col("copies").alias("__mx_c"))
+    plan = cut(plan.withColumn("__mx_n", F.row_number().over(Window.partitionBy(*key).orderBy("__mx_c"))), "order-plan")
     names = [c for c in docs.columns if c not in ("epoch", "position", "words_taken")]
-    out = (docs.join(plan, docs[id_col].eqNullSafe(F.col("__mx_id")) & (text_key(text_col) == F.col("__mx_tk")))
-           .select(*(docs[c] for c in names), F.explode("__mx_c").alias("__mx_c"))
+    own = docs.select(*names)
+
+    def same(rows: DataFrame) -> Column:
+        return (rows[id_col].eqNullSafe(F.col(key[0])) & (text_key(text_col) == F.col(key[1]))
+                & rows[source_col].eqNullSafe(F.col(key[2])))
+
+    # what has a second plan: nothing, where the ids are ids
+    again = cut(plan.filter("__mx_n = 2").select(*key), "order-equal")
+    if again.isEmpty():
+        rows = own.join(plan, same(own))
+    else:
+        twice = own.join(again, same(own), "left_semi")
+        once = own.join(again, same(own), "left_anti")
+        by = Window.partitionBy(id_col, text_key(text_col), source_col).orderBy(*[c for c in names if c != text_col])
+        twice = twice.withColumn("__mx_k", F.row_number().over(by))
+        rows = once.join(plan, same(once)).select(*(once[c] for c in names), "__mx_c").unionByName(
+            twice.join(plan, same(twice) & (F.col("__mx_k") == F.col("__mx_n"))).select(*(twice[c] for c in names), "__mx_c"))
+    out = (rows.select(*names, F.explode("__mx_c").alias("__mx_c"))
            .select(*names, F.col("__mx_c.epoch").alias("epoch"), F.col("__mx_c.position").alias("position"),
                    F.col("__mx_c.words").alias("words_taken")))
     return out.repartitionByRange("position", id_col, "epoch").sortWithinPartitions("position", id_col, "epoch")
