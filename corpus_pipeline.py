@@ -10,16 +10,20 @@ Rows are dropped or texts shortened by each stage's own decisions:
    documents without words stay;
 4. benchmark decontamination: documents that hold a benchmark item go;
 5. mixing: the training order, one row per copy, by position.
+
+Defined cases: NULL and empty texts fail the base quality rules; repeated rows are judged alike, and of rows equal in id and
+text one stays after stage 3, the least by its other columns; NULL ids, languages and sources are
+values of their own; ties and very long texts are stated by each operator; an empty table passes through all stages.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medallion.llm.common import cut, read, text_key
+from medallion.llm.common import cut, read
 from medallion.llm.decontaminate import tile_matches
-from medallion.llm.jaccard import near_duplicates
+from medallion.llm.jaccard import representatives
 from medallion.llm.line_dedup import line_dedup
 from medallion.llm.mixing import training_order
 from medallion.llm.quality import quality_rules
@@ -38,17 +42,7 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The decisions are a narrow table of (id, text key), joined to the texts once. Where equal rows
-    are both the one that stays, one of them does."""
-    rows = cut(near_duplicates(docs), "near-duplicates")
-    key = [F.col("doc_id").alias("__nd_id"), F.col("text_key").alias("__nd_tk")]
-    on = docs["doc_id"].cast("long").eqNullSafe(F.col("__nd_id")) & (text_key() == F.col("__nd_tk"))
-    kept = docs.join(cut(rows.filter("NOT kept").select(*key).distinct(), "gone"), on, "left_anti")
-    twice = cut(rows.filter("kept AND set_id IS NOT NULL").groupBy(*key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-                .drop("n"), "equal-rows")
-    if twice.isEmpty():
-        return kept
-    return kept.join(twice, on, "left_anti").unionByName(kept.join(twice, on, "left_semi").dropDuplicates(["doc_id", "text"]))
+    return representatives(docs)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -63,7 +57,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 STAGES = [("quality_rules", quality_stage), ("line_dedup", line_stage), ("near_duplicates", near_duplicate_stage),
           ("decontamination", decontamination_stage), ("mixing", mixing_stage)]
 
-ORACLE_SQL = None  # robust covariances and string tiling are not SQL; tests hold every stage against brute force
+ORACLE_SQL = None  # robust covariances and string tiling are not SQL; tests/llm/test_pipeline.py computes run() in plain Python
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
