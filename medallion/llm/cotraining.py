@@ -9,14 +9,19 @@ views scores every document.
 
 Fitting uses at most ``sample`` labelled documents (per class the first by a hash of the id, up to half the bound or more where the other class
 has fewer; the scores are corrected for the classes' shares; a documented bound).
-Unlabelled documents are not sampled: their features that the labelled documents make useful are packed once, all of
-them are scored on the executors in every round, and each view hands over ``hand_over`` of their number: the
+Unlabelled documents are not sampled: their features that the labelled documents make useful are packed once (the
+labelled ids, 8 bytes each, go to the packing tasks; beyond :data:`MOST_IDS` of them the packed rows are joined
+to them instead, texts are never shuffled), all of them are scored on the executors in every round, and each view hands over ``hand_over`` of their number: the
 highest and lowest scores, cut at an exact histogram of scores (steps of 0.001; within the last step by a
 hash of the row). Which documents were handed over follows from the earlier models and cuts, so nothing
 is joined back. Pseudo-labelled documents are fitted in parts of about ``pool`` rows, each with the labelled
-ones and with its pseudo-labels standing for all parts'; the parts' weights are averaged. One part
+ones and with its pseudo-labels standing for all parts'; the parts' weights are averaged, on the executors, in a tree. One part
 is the plain fit; with several the average approximates it, and weights of metadata values rare among the
-pseudo-labels come out smaller. A metadata value of any pseudo-labelled document has a weight.
+pseudo-labels come out smaller. Metadata values share :data:`SLOTS` weights by hash, which bounds the model whatever the
+number of sources.
+
+A quarter of each class's labelled rows is kept out of fitting for the calibration; a class of under four rows is used
+for both.
 
 Defined cases: NULL and empty texts have no content features, NULL metadata is a value of its own; labels that are
 NULL or belong to no document are ignored, an id labelled twice takes its lowest grade; without
@@ -40,11 +45,15 @@ from medallion.llm.words import BYTES_LOWER, U, hash_spans, mix, sum_by_row, wor
 
 SAMPLE, POOL, ROUNDS = 6_000, 6_000, 3  # POOL: pseudo-labelled rows of one fitting task
 HAND_OVER = 0.08  # share of the unlabelled documents that a view hands over in a round
+MOST_IDS = 1 << 23  # labelled ids that are sent to the tasks (64 MB)
+SLOTS = 1 << 16  # weights of the metadata view
+FAN_IN = 64  # models that one task averages
 SURE, STEP = 2, 1000  # least logit of a pseudo-label; steps of the scores' histogram per unit
 FEATURES = 20_000
 _ROW = "y int, f binary, v binary, m binary"
 _PACKED = "tie long, c binary, x binary, m binary"
 _CHOSEN = "part long, y0 int, y1 int, " + _PACKED
+_META = 5  # metadata values of a document
 
 _PUNCT = np.zeros(256, np.int64)
 _PUNCT[[b for b in range(33, 127) if not chr(b).isalnum()]] = [b for b in range(33, 127) if not chr(b).isalnum()]
@@ -72,7 +81,7 @@ def _content(arr: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray,
 
 
 def _metadata(batch: pa.RecordBatch) -> np.ndarray:
-    """(rows, 5) feature hashes: language, source, both, size, line layout."""
+    """(rows, 5) slots of language, source, both, size and line layout."""
     from medallion.llm.words import chunks
 
     n = batch.num_rows
@@ -96,8 +105,9 @@ def _metadata(batch: pa.RecordBatch) -> np.ndarray:
     bucket = np.rint(2 * np.log2(np.maximum(given, 0) + 1)).astype(np.int64) - (given < 0)
     layout = np.rint(2 * np.log2(size / (lines + 1) + 1)).astype(np.int64)
     with np.errstate(over="ignore"):
-        return np.stack((mix(lang + U(1)), mix(source + U(2)), mix(lang * U(3) + mix(source + U(3))),
-                         mix(bucket.astype(np.int64).view(U) + U(4 << 32)), mix(layout.view(U) + U(5 << 32))), 1)
+        h = np.stack((mix(lang + U(1)), mix(source + U(2)), mix(lang * U(3) + mix(source + U(3))),
+                      mix(bucket.astype(np.int64).view(U) + U(4 << 32)), mix(layout.view(U) + U(5 << 32))), 1)
+    return (h % U(SLOTS)).astype(np.uint16)
 
 
 def _featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,26 +164,36 @@ def _prepare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         y += batch.column("y").to_pylist()
         f += [np.frombuffer(b.as_buffer(), U) for b in batch.column("f")]
         v += [np.frombuffer(b.as_buffer(), np.float32) for b in batch.column("v")]
-        m += [np.frombuffer(b.as_buffer(), U) for b in batch.column("m")]
+        m += [np.frombuffer(b.as_buffer(), np.uint16) for b in batch.column("m")]
     order = sorted(range(len(y)), key=lambda i: (y[i], len(f[i]), f[i].tobytes(), m[i].tobytes()))
     y = np.array([y[i] for i in order], np.int64)
     f, v, m = [f[i] for i in order], [v[i] for i in order], [m[i] for i in order]
     none = np.zeros(0, U)
-    hold = np.arange(len(y)) % 4 == 0
+    rank = np.arange(len(y)) - np.searchsorted(y, y)  # within the class
+    few = np.bincount(y, minlength=2)[y] < 4 if len(y) else np.zeros(0, bool)
+    hold, train = (rank % 4 == 3) | few, (rank % 4 != 3) | few
     rows = np.repeat(np.arange(len(y)), [len(x) for x in f])
     h, x = np.concatenate([none, *f]), np.concatenate([np.zeros(0, np.float32), *v])
-    enough = len(y) and min((y == 0).sum(), (y == 1).sum()) >= 5
-    vocab = Vocabulary(select_features(h, rows, np.where(hold, -1, y), FEATURES)[0] if enough else none)
+    vocab = Vocabulary(select_features(h, rows, np.where(train, y, -1), FEATURES)[0] if _both(y) else none)
     at, cols = vocab.lookup(h)
-    yield one_row(dump({"y": y, "hold": hold, "t": vocab.hashes, "rows": rows[at], "cols": cols, "x": x[at],
-                        "m": np.stack(m) if m else np.zeros((0, 5), U)}))
+    yield one_row(dump({"y": y, "hold": hold, "train": train, "t": vocab.hashes, "rows": rows[at], "cols": cols, "x": x[at],
+                        "m": np.stack(m) if m else np.zeros((0, _META), np.uint16)}))
+
+
+def _both(y: np.ndarray) -> bool:
+    return 0 < (y == 1).sum() < len(y)
 
 
-def _pack(held):
-    """Unlabelled documents' selected content features, metadata and a hash that orders equal scores."""
+def _pack(held, ids):
+    """Documents' selected content features, metadata and a hash that orders equal scores; rows of labelled
+    ``ids`` (sorted) are left out."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = Vocabulary(load(held.value)["t"])
         for batch in batches:
+            if ids is not None and len(ids.value):
+                at = np.searchsorted(ids.value, doc := batch.column("doc_id").fill_null(0).to_numpy(zero_copy_only=False))
+                found = ids.value[np.minimum(at, len(ids.value) - 1)] == doc
+                batch = batch.filter(pa.array(~found | batch.column("doc_id").is_null().to_numpy(zero_copy_only=False)))
             c, v = [b""] * batch.num_rows, [b""] * batch.num_rows
             for row0, n, row, h, x in _content(batch.column("text")):
                 at, cols = vocab.lookup(h)
@@ -182,23 +202,34 @@ def _pack(held):
                 for r in range(n):
                     c[row0 + r], v[row0 + r] = cols[cuts[r]:cuts[r + 1]].tobytes(), x[cuts[r]:cuts[r + 1]].tobytes()
             m = [r.tobytes() for r in _metadata(batch)]
-            yield pa.RecordBatch.from_arrays([batch.column("tie"), pa.array(c, pa.binary()), pa.array(v, pa.binary()),
-                                              pa.array(m, pa.binary())], names=["tie", "c", "x", "m"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("tie"), pa.array(c, pa.binary()), pa.array(v, pa.binary()),
+                                              pa.array(m, pa.binary())], names=["doc_id", "tie", "c", "x", "m"])
     return run
 
 
+def _free(src: DataFrame, known: DataFrame, blob: bytes) -> DataFrame:
+    """The packed rows of all documents without a label."""
+    sc = src.sparkSession.sparkContext
+    held = sc.broadcast(blob)
+    rows = src.withColumn("tie", F.expr("xxhash64(doc_id, text, lang, source) & 9223372036854775807"))
+    if known.count() <= MOST_IDS:
+        ids = sc.broadcast(np.sort(known.select("l_id").toPandas()["l_id"].to_numpy(np.int64)))
+        return rows.mapInArrow(_pack(held, ids), "doc_id long, " + _PACKED).drop("doc_id")
+    packed = rows.mapInArrow(_pack(held, None), "doc_id long, " + _PACKED)
+    return packed.join(known.select("l_id"), F.col("doc_id") == F.col("l_id"), "left_anti").drop("doc_id")
+
+
 def _unpack(c, x, m) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(row, feature number, value, metadata hashes) of packed rows."""
+    """(row, feature number, value, metadata slots) of packed rows."""
     cols = [np.frombuffer(b.as_buffer(), np.uint16) for b in c]
     rows = np.repeat(np.arange(len(cols)), [len(k) for k in cols])
     x = np.concatenate([np.zeros(0, np.float32), *(np.frombuffer(b.as_buffer(), np.float32) for b in x)])
-    meta = np.concatenate([np.zeros(0, U), *(np.frombuffer(b.as_buffer(), U) for b in m)]).reshape(-1, 5)
+    meta = np.concatenate([np.zeros(0, np.uint16), *(np.frombuffer(b.as_buffer(), np.uint16) for b in m)]).reshape(-1, _META)
     return rows, np.concatenate([np.zeros(0, np.uint16), *cols]).astype(np.int64), x, meta
 
 
-def _meta_score(meta: np.ndarray, vocab: Vocabulary, w: np.ndarray) -> np.ndarray:
-    at, col = vocab.lookup(meta.reshape(-1))
-    return np.bincount(at // meta.shape[1], weights=w[:-1][col], minlength=len(meta)) + w[-1]
+def _meta_score(meta: np.ndarray, w: np.ndarray) -> np.ndarray:
+    return w[:-1][meta].sum(axis=1) + w[-1]
 
 
 def _handed(batch: pa.RecordBatch, models: list[dict], limits: list) -> tuple[list[np.ndarray], list[np.ndarray]]:
@@ -209,7 +240,7 @@ def _handed(batch: pa.RecordBatch, models: list[dict], limits: list) -> tuple[li
     given = [np.full(n, -1), np.full(n, -1)]
     q = [np.zeros(n, np.int64)] * 2
     for r, w in enumerate(models):
-        s = (np.bincount(rows, weights=x * w["wt"][cols], minlength=n) + w["wt"][-1], _meta_score(meta, Vocabulary(w["m"]), w["wm"]))
+        s = (np.bincount(rows, weights=x * w["wt"][cols], minlength=n) + w["wt"][-1], _meta_score(meta, w["wm"]))
         q = [np.rint(v * STEP).astype(np.int64) for v in s]
         if r < len(limits):
             free = [g < 0 for g in given]
@@ -269,33 +300,52 @@ def _fit_part(held, parts: int):
     """Both views' weights, fitted on the labelled sample and one part of the pseudo-labelled documents."""
     def run(table: pa.Table) -> pa.Table:
         lab = load(held.value)
+        named = table
         table = table.filter(pa.compute.is_valid(table["c"])).sort_by([("tie", "ascending"), ("c", "ascending"), ("m", "ascending")])
-        n, y, train = len(lab["y"]), lab["y"].astype(float), (~lab["hold"]).astype(float)
+        n, y, train = len(lab["y"]), lab["y"].astype(float), lab["train"].astype(float)
         rows, cols, x, meta = _unpack(*(table[k].combine_chunks() for k in ("c", "x", "m")))
         given = [table[k].to_numpy() for k in ("y0", "y1")]
         # a pseudo-label counts half; a part's stand for those of all parts
         weight = [np.append(train, (g >= 0) * 0.5 * parts) for g in given]
         own = [np.append(y, np.maximum(g, 0)) for g in given]
         wt = fit_logistic(np.append(lab["rows"], rows + n), np.append(lab["cols"], cols), np.append(lab["x"], x), own[0], weight[0], len(lab["t"]))
-        meta = np.concatenate((lab["m"], meta))
-        vocab = Vocabulary(np.unique(meta[weight[1] > 0]))
-        at, cols = vocab.lookup(meta.reshape(-1))
-        wm = fit_logistic(at // meta.shape[1], cols, np.ones(len(at)), own[1], weight[1], len(vocab.hashes))
-        return pa.table({"model": pa.array([dump({"wt": wt, "m": vocab.hashes, "wm": wm})], pa.binary())})
+        meta = np.concatenate((lab["m"], meta)).astype(np.int64)
+        used, col = np.unique(meta, return_inverse=True)
+        at = np.repeat(np.arange(len(meta)), _META)
+        fit = fit_logistic(at, col.reshape(-1), np.ones(len(at)), own[1], weight[1], len(used))
+        wm = np.zeros(SLOTS + 1)
+        wm[used], wm[-1] = fit[:-1], fit[-1]
+        part = named["part"][0].as_py()
+        return pa.table({"part": pa.array([part], pa.int64()), "n": pa.array([1], pa.int64()),
+                         "model": pa.array([dump({"wt": wt, "wm": wm})], pa.binary())})
     return run
 
 
-def _mean_model(parts: DataFrame) -> dict:
-    """The average of the parts' weights, one part held at a time (absent metadata values count as 0)."""
-    wt, bias, hashes, wm, n = 0.0, 0.0, np.zeros(0, U), np.zeros(0), 0
-    for row in parts.toLocalIterator():
-        m = load(bytes(row.model))
-        both = np.union1d(hashes, m["m"])
-        total = np.zeros(len(both))
-        total[np.searchsorted(both, hashes)] = wm
-        total[np.searchsorted(both, m["m"])] += m["wm"][:-1]
-        wt, bias, hashes, wm, n = wt + m["wt"], bias + m["wm"][-1], both, total, n + 1
-    return {"wt": wt / n, "m": hashes, "wm": np.append(wm, bias) / n}
+def _add_models(table: pa.Table) -> pa.Table:
+    """The sum of some models (in the parts' order, so that reruns agree)."""
+    table = table.sort_by("part")
+    models = [load(b.as_buffer().to_pybytes()) for b in table["model"]]
+    total = {k: sum(m[k] for m in models) for k in ("wt", "wm")}
+    return pa.table({"part": table["part"][:1], "n": pa.array([sum(table["n"].to_pylist())], pa.int64()),
+                     "model": pa.array([dump(total)], pa.binary())})
+
+
+def _mean_model(parts: DataFrame, n: int) -> dict:
+    """The average of the ``n`` parts' weights, summed in a tree: no task holds more than ``FAN_IN`` models."""
+    while n > 1:
+        group = F.floor(F.col("part") / FAN_IN).alias("grp")
+        parts = cut(parts.select(group, "part", "n", "model").groupBy("grp").applyInArrow(_in_group, _MODEL), "model-sum")
+        n = -(-n // FAN_IN)
+    row = parts.first()
+    return {k: v / row["n"] for k, v in load(bytes(row["model"])).items()}
+
+
+def _in_group(key: tuple, table: pa.Table) -> pa.Table:
+    out = _add_models(table)
+    return out.set_column(0, "part", pa.array([key[0].as_py()], pa.int64()))
+
+
+_MODEL = "part long, n long, model binary"
 
 
 def co_train(lab: bytes, packed: DataFrame, rounds: int, hand_over: float, pool: int, moved: float = 0.0) -> tuple[dict, list]:
@@ -303,7 +353,7 @@ def co_train(lab: bytes, packed: DataFrame, rounds: int, hand_over: float, pool:
     the limits of what each view handed over. ``moved``: by how much the sample's log odds differ from the labels'."""
     spark = packed.sparkSession
     held, y = spark.sparkContext.broadcast(lab), load(lab)
-    good = y["y"][~y["hold"]].mean()
+    good = y["y"][y["train"]].mean()
     good = good / (good + (1 - good) * np.exp(moved))
     models, limits, size = [], [], packed.count()
     n = int(hand_over * size)
@@ -315,7 +365,8 @@ def co_train(lab: bytes, packed: DataFrame, rounds: int, hand_over: float, pool:
                                          *(F.lit(None).cast("binary").alias(k) for k in ("c", "x", "m")))
         if r and n:
             rows = rows.unionByName(packed.mapInArrow(_chosen(state, parts), _CHOSEN))
-        models = [*models, _mean_model(cut(rows.groupBy("part").applyInArrow(_fit_part(held, parts), "model binary"), "cotraining"))]
+        fitted = cut(rows.groupBy("part").applyInArrow(_fit_part(held, parts), _MODEL), "cotraining")
+        models = [*models, _mean_model(fitted, parts)]
         if r < rounds and n:
             state = spark.sparkContext.broadcast((models, limits))
             scored = cut(packed.mapInArrow(_scores(state), "tie long, q0 long, q1 long, f0 boolean, f1 boolean"), "scores")
@@ -328,33 +379,29 @@ def _calibrated(lab: dict, model: dict, moved: float) -> dict:
     to the labels' log odds."""
     y, hold = lab["y"], lab["hold"]
     st = np.bincount(lab["rows"], weights=lab["x"] * model["wt"][lab["cols"]], minlength=len(y)) + model["wt"][-1]
-    sm = _meta_score(lab["m"], Vocabulary(model["m"]), model["wm"])
+    sm = _meta_score(lab["m"], model["wm"])
     pt, pm = _platt(st[hold], y[hold]), _platt(sm[hold], y[hold])
     c = _combine(pt[0] * st[hold] + pt[1], pm[0] * sm[hold] + pm[1], y[hold])
     shift = np.array([0.0, moved])
     c = c - [0.0, 0.0, moved * (1 - c[0] - c[1])]  # the views are put back below
     pt, pm = pt - shift, pm - shift
-    return {"t": lab["t"], "wt": model["wt"], "m": model["m"], "wm": model["wm"], "pt": pt, "pm": pm, "c": c}
+    return {"t": lab["t"], "wt": model["wt"], "wm": model["wm"], "pt": pt, "pm": pm, "c": c}
 
 
 def _constant(y: np.ndarray, moved: float) -> dict:
     share = float((y == 1).sum() / len(y)) if len(y) else 1.0
     none = np.zeros(0, U)
-    return {"t": none, "wt": np.zeros(1), "m": none, "wm": np.zeros(1), "pt": np.zeros(2), "pm": np.zeros(2),
+    return {"t": none, "wt": np.zeros(1), "wm": np.zeros(SLOTS + 1), "pt": np.zeros(2), "pm": np.zeros(2),
             "c": np.array([0.0, 0.0, np.log(max(share, 1e-9) / max(1 - share, 1e-9)) - moved])}
 
 
-def _score(batch: pa.RecordBatch, m: dict, text: Vocabulary, meta: Vocabulary):
+def _score(batch: pa.RecordBatch, m: dict, text: Vocabulary):
     st = np.full(batch.num_rows, m["wt"][-1])
     if len(text.hashes):
         for row0, n, row, h, x in _content(batch.column("text")):
             at, col = text.lookup(h)
             st[row0:row0 + n] += np.bincount(row[at], weights=x[at] * m["wt"][col], minlength=n)
-    sm = np.full(batch.num_rows, m["wm"][-1])
-    if len(meta.hashes):
-        h = _metadata(batch)
-        at, col = meta.lookup(h.reshape(-1))
-        sm += np.bincount(at // h.shape[1], weights=m["wm"][col], minlength=batch.num_rows)
+    sm = _meta_score(_metadata(batch), m["wm"])
     lt, lm = m["pt"][0] * st + m["pt"][1], m["pm"][0] * sm + m["pm"][1]
     return sigmoid(lt), sigmoid(lm), sigmoid(m["c"][0] * lt + m["c"][1] * lm + m["c"][2])
 
@@ -368,26 +415,24 @@ def quality_scores(docs: DataFrame, labels: DataFrame, label_col: str = "quality
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"),
                       F.col(source_col).alias("source"), F.col(chars_col).cast("double").alias("n_chars"))
     known = (labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
-             .groupBy(F.col(id_col).cast("long").alias("l_id")).agg(F.min(label_col).cast("int").alias("y")))
+             .groupBy(F.col(id_col).cast("long").alias("l_id")).agg((F.min(label_col) > 0).cast("int").alias("y")))
     chosen, moved = by_class(known, "y", sample)
     rows = (src.join(F.broadcast(cut(chosen, "sample")), F.col("doc_id") == F.col("l_id"))
             .select("y", "text", "lang", "source", "n_chars"))
     blob = bytes(cut(rows.mapInArrow(_featurise, _ROW).repartition(1).mapInArrow(_prepare, "model binary"), "labelled").first().model)
     lab = load(blob)
-    if len(lab["y"]) == 0 or min((lab["y"] == 0).sum(), (lab["y"] == 1).sum()) < 5:
+    if not _both(lab["y"]):
         model = _constant(lab["y"], moved)
     else:
-        free = (src.join(known.select("l_id"), F.col("doc_id") == F.col("l_id"), "left_anti")
-                .withColumn("tie", F.expr("xxhash64(doc_id, text, lang, source) & 9223372036854775807")))
-        packed = cut(free.mapInArrow(_pack(spark.sparkContext.broadcast(blob)), _PACKED), "packed")
+        packed = cut(_free(src, known, blob), "packed")
         model = _calibrated(lab, co_train(blob, packed, rounds, hand_over, pool, moved)[0], moved)
     held = spark.sparkContext.broadcast(dump(model))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = load(held.value)
-        text, meta = Vocabulary(m["t"]), Vocabulary(m["m"])
+        text = Vocabulary(m["t"])
         for batch in batches:
-            a, b, s = _score(batch, m, text, meta)
+            a, b, s = _score(batch, m, text)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(a), pa.array(b), pa.array(s),
                                               pa.array(s >= threshold)],
                                              names=["doc_id", "content_score", "metadata_score", "score", "kept"])

@@ -11,7 +11,7 @@ from medallion.llm import mixing, quality
 from medallion.llm.components import components
 from medallion.llm.cotraining import quality_scores
 from medallion.llm.decontaminate import contaminated_pairs, tile
-from medallion.llm.jaccard import near_duplicates
+from medallion.llm.jaccard import near_duplicates, representatives
 from medallion.llm.line_dedup import line_dedup
 from medallion.llm.substring_dedup import substring_dedup
 from medallion.llm.token_count import Counter as TokenCounter
@@ -367,3 +367,59 @@ def test_models_accept_awkward_rows(spark, docs, data):
                                    "doc_id long, quality int, t boolean").withColumn("toxic", F.col("t").cast("int"))
     assert severity(docs, labels).count() == len(data)
     assert quality_scores(docs, labels).count() == len(data)
+
+
+def test_training_order_keeps_the_plan_of_every_source(spark):
+    rows = [(i, " ".join(prose(i + 1, 60)), "en", s, 1, "clash", 7) for s in ("a", "b") for i in range(40)]
+    rows += [(3, rows[3][1], "en", "a", k, "other", 8) for k in range(6)] + [(None, "no id " * 9, "en", None, 1, "", 0)] * 5
+    df = spark.createDataFrame(rows, SCHEMA).repartition(6)
+    planned, ordered = defaultdict(int), defaultdict(int)
+    for r in mixing.mix_plan(df).collect():
+        planned[r.source] += r.taken
+    out = mixing.training_order(df).collect()
+    for r in out:
+        ordered[r.source] += r.words_taken
+    assert dict(planned) == dict(ordered)
+    again = mixing.training_order(df.repartition(3)).collect()
+    assert Counter(map(tuple, out)) == Counter(map(tuple, again))
+
+
+def test_representatives_agree_whatever_the_partitioning(spark):
+    text = " ".join(prose(7, 80))
+    rows = [(1, text, "en", f"s{k}", k, f"x{k}", k) for k in (4, 2, 9, 0, 5)] + [(1, text, "en", None, 3, "y", 3), (2, text, "en", "s", 1, "z", 1)]
+    rows += [(None, "", "en", "s", 1, "z", 1)] * 2
+    got = [representatives(spark.createDataFrame(rows, SCHEMA).repartition(n)).collect() for n in (1, 2, 5)]
+    assert got[0] == sorted(got[0], key=str) or len(got[0]) == 3
+    assert all(Counter(map(tuple, g)) == Counter(map(tuple, got[0])) for g in got)
+    assert Counter(map(tuple, got[0])) == Counter([(1, text, "en", None, 3, "y", 3), rows[-1], rows[-1]])
+
+
+@pytest.mark.parametrize("labelled_bad", [1, 4, 5])
+def test_few_bad_labels_are_enough(spark, labelled_bad):
+    rows = [(i, ("buy cheap pills now click here " * 12 if i % 50 == 0 else " ".join(prose(i + 1, 80))), "en", "s", 1, "", 0) for i in range(400)]
+    bad = [i for i in range(400) if i % 50 == 0]
+    labels = [(i, 0) for i in bad[:labelled_bad]] + [(i, 1) for i in range(400) if i % 50 and i % 2]
+    out = quality_scores(spark.createDataFrame(rows, SCHEMA), spark.createDataFrame(labels, "doc_id long, quality int")).collect()
+    assert len({r.score for r in out}) > 10
+    rejected = {r.doc_id for r in out if not r.kept}
+    assert rejected <= set(bad) and len(rejected) >= (8 if labelled_bad > 1 else 1)
+
+
+def test_labelled_ids_beyond_the_bound_are_joined(spark, docs, monkeypatch):
+    from medallion.llm import cotraining
+
+    labels = spark.createDataFrame([(i, i % 2) for i in range(0, 24)], "doc_id long, quality int")
+    want = {(r.doc_id, r.score) for r in quality_scores(docs, labels).collect()}
+    monkeypatch.setattr(cotraining, "MOST_IDS", 3)
+    assert {(r.doc_id, r.score) for r in quality_scores(docs, labels).collect()} == want
+
+
+def test_models_are_summed_in_a_tree(spark, monkeypatch):
+    import numpy as np
+
+    from medallion.llm import cotraining
+
+    monkeypatch.setattr(cotraining, "FAN_IN", 3)
+    parts = [(i, 1, cotraining.dump({"wt": np.full(4, float(i)), "wm": np.array([1.0, i])})) for i in range(11)]
+    mean = cotraining._mean_model(spark.createDataFrame(parts, cotraining._MODEL).repartition(4), 11)
+    assert np.allclose(mean["wt"], 5.0) and np.allclose(mean["wm"], [1.0, 5.0])
