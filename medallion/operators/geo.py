@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -77,18 +78,18 @@ def _to_bytes(text: str) -> int:
 def broadcastable(best: DataFrame) -> bool:
     """Whether a stored table is under the session's broadcast limit.
 
-    Measured from the sizes of its files (metadata only), the same bound the
+    Measured from the sizes of its folders (one metadata call each), the same bound the
     planner applies; a limit of -1 means never.
     """
     spark = best.sparkSession
     limit = _to_bytes(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10m"))
     if limit < 0:
         return False
-    files = best.inputFiles()
-    return bool(files) and fs.total_bytes(spark, list(files)) <= limit
+    folders = {f.rsplit("/", 1)[0] for f in best.inputFiles()}
+    return bool(folders) and fs.total_bytes(spark, sorted(unquote(f) for f in folders)) <= limit
 
 
-def _lookup_key(address: Column, lat_col: str, lon_col: str, spread_by: Sequence[str] | None = None) -> Column:
+def lookup_key(address: Column, lat_col: str, lon_col: str, spread_by: Sequence[str] | None = None) -> Column:
     """Join key: the normalised address for rows that need a lookup.
 
     Rows that already have both coordinates get a non-matching key spread by
@@ -145,7 +146,7 @@ def fill_coordinates(df: DataFrame, best: DataFrame, address: str | Column,
         todo = fill_coordinates(df.filter(need), best, address, lat_col, lon_col, key_min_length,
                                 hot, salt_buckets, salt_by=salt_by, join_hint=join_hint)
         return todo.unionByName(df.filter(~need))
-    key = _lookup_key(address_key(addr, key_min_length), lat_col, lon_col, salt_by)
+    key = lookup_key(address_key(addr, key_min_length), lat_col, lon_col, salt_by)
     right = (best.filter(~F.col(KEY).startswith("\u0000"))
              .select(F.col(KEY).alias("_k"), F.col("latitude").alias("_g_lat"),
                      F.col("longitude").alias("_g_lon")))

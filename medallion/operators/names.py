@@ -5,16 +5,33 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql.types import DataType
 
+from medallion.functions.columns import null_of
+
 # The two character classes replaced by "_" when names are
 # cleaned. Transaction tables keep "-", every other source maps it to "_".
 NAME_CHARS_KEEP_HYPHEN = r"[ ,;{}()\n\t=]"
 NAME_CHARS_STRICT = r"[ ,;{}()\n\t=-]"
 
 
+_IDENT = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*$")
+
+
+def quoted_name(name: str) -> str:
+    """``db.table`` (or one part) for SQL text; only plain identifiers are accepted."""
+    parts = name.split(".")
+    if not all(_IDENT.match(p) for p in parts):
+        raise ValueError(f"not a plain identifier: {name!r}")
+    return ".".join(parts)
+
+
+def sql_text(value: str) -> str:
+    """A string as a SQL literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 class NameCollision(ValueError):
     """Two input columns clean to the same output name."""
 
@@ -48,7 +65,7 @@ def rename(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
 def add_if_missing(df: DataFrame, defaults: Mapping[str, DataType | str]) -> DataFrame:
     """Add each missing column as a typed NULL; each column is tested on its own."""
     have = {c.lower() for c in df.columns}
-    missing = {c: F.lit(None).cast(t) for c, t in defaults.items() if c.lower() not in have}
+    missing = {c: null_of(t) for c, t in defaults.items() if c.lower() not in have}
     return df.withColumns(missing) if missing else df
 
 
@@ -62,8 +79,3 @@ def find_column(df: DataFrame, candidates: Iterable[str]) -> str | None:
         if cand.lower() in lower:
             return lower[cand.lower()]
     return None
-
-
-def with_columns(df: DataFrame, cols: Mapping[str, Column]) -> DataFrame:
-    """Add or replace several columns in one projection."""
-    return df.withColumns(dict(cols))

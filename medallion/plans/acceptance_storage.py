@@ -8,14 +8,23 @@ from pyspark.sql import functions as F
 from medallion import fs
 from medallion.operators import geo
 from medallion.operators.fuzzy import widened
-from medallion.plans.acceptance import (SQL_AKEY, SQL_GAZ, SQL_TX, TX_ID, Query, _fill_input, best_gazetteer)
+from medallion.operators.lookup_tables import build_best, fill_stored, merge_best, read_best, store_best, store_transactions
+from medallion.plans.acceptance import (ORACLE_BEST_CANDIDATE, ORACLE_FILL_COORDINATES, ORACLE_POI_MART, SQL_AKEY, SQL_GAZ,
+                                        SQL_TX, TEST_MARTS, TX_ID, Query, _fill_input, _poi_path_of, best_gazetteer,
+                                        geocode_provider, transactions_raw)
+from medallion.plans.marts import build_mart
+from medallion.plans.sqlsurface import create_database
+from medallion.functions.columns import full_address
 from medallion.session import scratch
+from medallion.sinks.map_layout import read_box, write_map
 from medallion.sinks.writers import write_parquet
 from medallion.sources.quarantine import read_checked
 from medallion.sources import fixtures as fx
-from medallion.sources.readers import table
+from medallion.sources.drift import fields, read_variant
+from medallion.sources.readers import read_immutable_parquet, table
 from medallion.streaming.landing import (BATCH, file_checksums, land, land_ranges, landing_report, ledger,
                                          reassembled_digests)
+from medallion.streaming.provider import answers, latest
 
 # --- K1: replacement that fails half-way ------------------------------------------------
 
@@ -173,12 +182,113 @@ UNION ALL
 SELECT DISTINCT part, NULL, NULL, NULL, 1, 'header', 'price;customer;order' FROM o WHERE part = 3
 """
 
+# --- J1, J2: stored lookup tables -----------------------------------------------------------------
+
+def q_best_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The base list's best candidates, then the survey's in two deltas: the table as it stands after them."""
+    gaz = read_immutable_parquet(spark, fx.gazetteer(spark, sf_dir))
+    path = f"{scratch(spark, 'best-merge')}/best"
+    build_best(gaz.filter("provider = 'base'"), path, parts=16)
+    survey = gaz.filter("provider <> 'base'")
+    half = F.pmod(F.xxhash64("address", "latitude"), F.lit(2))
+    for k in (0, 1):
+        merge_best(survey.filter(half == k), path)
+    return read_best(spark, path)
+
+
+def q_fill_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J1 between two stored, bucketed tables: no exchange when it is read."""
+    root = scratch(spark, "bucketed")
+    db = f"medallion_{root.rsplit('-', 1)[1]}"
+    create_database(spark, db, f"{root}/db")
+    df = _fill_input(spark, sf_dir).select(F.col(TX_ID).alias("doc_id"), "address", "latitude", "longitude")
+    store_transactions(df, f"{db}.transactions", f"{root}/transactions", "address", 8, spread_by=["doc_id"])
+    store_best(best_gazetteer(spark, sf_dir), f"{db}.best", f"{root}/best", 8)
+    return (fill_stored(spark, f"{db}.transactions", f"{db}.best")
+            .select(F.col("doc_id").alias(TX_ID), "address", "latitude", "longitude"))
+
+
+# --- Q6: points for a map --------------------------------------------------------------------------
+
+BOX = (48.25, 2.1, 48.5, 2.4)  # south, west, north, east
+
+
+def q_mart_bbox(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The points mart written along a space-filling curve, and a bounding box read from it."""
+    mart, _, _ = build_mart(spark, "dm_points", TEST_MARTS["dm_points"], _poi_path_of(spark, sf_dir), read_immutable_parquet)
+    path = f"{scratch(spark, 'map')}/dm_points"
+    write_map(mart, path, files=32)
+    return read_box(spark, path, *BOX)
+
+
+ORACLE_MART_BBOX = f"""
+SELECT * FROM ({ORACLE_POI_MART}) WHERE latitude BETWEEN {BOX[0]} AND {BOX[2]} AND longitude BETWEEN {BOX[1]} AND {BOX[3]}
+"""
+
+
+# --- S5: fields that change type ---------------------------------------------------------------------
+
+def q_json_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as JSON lines whose value is a number, a text, an object or absent by turns, with lines that are no JSON."""
+    path = f"{scratch(spark, 'drift')}/events"
+    k, v = F.col("event_id"), F.col("value").cast("string")
+    body = (F.when(k % 4 == 0, F.concat(F.lit('"value": '), v)).when(k % 4 == 1, F.concat(F.lit('"value": "'), v, F.lit('"')))
+            .when(k % 4 == 2, F.concat(F.lit('"value": {"amount": '), v, F.lit("}"))).otherwise(F.lit('"other": null')))
+    line = F.when(k % 97 == 5, F.lit("{not json")).otherwise(
+        F.concat(F.lit('{"id": '), k.cast("string"), F.lit(', "kind": "'), F.col("event_type"), F.lit('", '), body, F.lit("}")))
+    table(spark, sf_dir, "events").select((k % 4).alias("part"), line.alias("text")).write.partitionBy("part").text(path)
+    return fields(read_variant(spark, path), {"id": ("bigint", ["$.id"]), "kind": ("string", ["$.kind"]),
+                                              "amount": ("double", ["$.value", "$.value.amount"])}).drop("source_file")
+
+
+ORACLE_JSON_DRIFT = """
+SELECT CASE WHEN event_id % 97 <> 5 THEN event_id END AS id, CASE WHEN event_id % 97 <> 5 THEN event_type END AS kind,
+       CASE WHEN event_id % 97 <> 5 AND event_id % 4 < 3 THEN value END AS amount, event_id % 97 <> 5 AS is_json
+FROM events
+"""
+
+
+# --- D1: answers kept across micro-batches -------------------------------------------------------------
+
+def q_provider_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transactions without coordinates in three files, streamed one a batch: each address is asked once."""
+    root = scratch(spark, "provider-stream")
+    tx = transactions_raw(spark, sf_dir, with_coords=False)
+    address = full_address(["No voie", "Type de voie", "Voie", "Code postal"], "PARIS")
+    rows = tx.select(address.alias("address"), F.lit(None).cast("double").alias("latitude"), F.lit(None).cast("double").alias("longitude"))
+    write_parquet(rows.repartition(3), f"{root}/in")
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", "1").parquet(f"{root}/in")
+    asked = answers(stream, geocode_provider, "address")
+    q = (asked.writeStream.format("parquet").option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True)
+         .outputMode("append").start(f"{root}/answers"))
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise q.exception()
+    got = spark.read.parquet(f"{root}/answers")
+    calls = got.groupBy("address_key").agg(F.count(F.lit(1)).alias("calls"))
+    return latest(got).drop("asked_at").join(calls, "address_key")
+
+
+ORACLE_PROVIDER_STREAM = f"""
+WITH {SQL_TX},
+a AS (SELECT DISTINCT {SQL_AKEY} AS address_key, num, c % 25 AS nation, postcode FROM tx),
+k AS (SELECT *, num IS NOT NULL AND starts_with(postcode, '75') AND nation % 7 <> 3 AND NOT (num = '4' AND nation = 13) AS known FROM a)
+SELECT address_key, CASE WHEN known THEN 48 + nation / 64 END AS latitude, CASE WHEN known THEN 2 + CAST(num AS INTEGER) / 64 END AS longitude,
+       CASE WHEN known THEN 'found' WHEN num = '4' AND nation = 13 AND starts_with(postcode, '75') THEN 'failed' ELSE 'unknown' END AS outcome,
+       CAST(1 AS BIGINT) AS calls FROM k
+"""
+
 QUERIES: dict[str, Query] = {
     "replace_after_failure": q_replace_after_failure,
     "land_ledger": q_land_ledger,
     "land_ranges": q_land_ranges,
     "fuzzy_fill": q_fuzzy_fill,
     "csv_quarantine": q_csv_quarantine,
+    "best_merge": q_best_merge,
+    "fill_bucketed": q_fill_bucketed,
+    "mart_bbox": q_mart_bbox,
+    "json_drift": q_json_drift,
+    "provider_stream": q_provider_stream,
 }
 
 ORACLES: dict[str, str] = {
@@ -187,4 +297,9 @@ ORACLES: dict[str, str] = {
     "land_ranges": ORACLE_LAND_RANGES,
     "fuzzy_fill": ORACLE_FUZZY_FILL,
     "csv_quarantine": ORACLE_CSV_QUARANTINE,
+    "best_merge": ORACLE_BEST_CANDIDATE,
+    "fill_bucketed": ORACLE_FILL_COORDINATES,
+    "mart_bbox": ORACLE_MART_BBOX,
+    "json_drift": ORACLE_JSON_DRIFT,
+    "provider_stream": ORACLE_PROVIDER_STREAM,
 }

@@ -6,7 +6,6 @@ that cannot give points is reported and skipped; it never stops the mart.
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -19,6 +18,7 @@ from medallion.functions.columns import decimal_comma_to_double, to_double
 from medallion.operators.filters import complete
 from medallion.operators.geo import NoCoordinates, UnsupportedPointType, extract_points
 from medallion.operators.metrics import observed
+from medallion.operators.shape import union_all_by_name
 from medallion.plans.refine import error_text
 from medallion.sinks.replace import settle
 from medallion.sinks.writers import run_noop, write_parquet
@@ -154,8 +154,7 @@ def build_mart(spark: SparkSession, mart: str, entries: Sequence[tuple[str, str]
         frames.append(pts)
         statuses.append(SourceStatus(mart, dataset, label, "ok"))
         observations.append((len(statuses) - 1, obs))
-    mart_df = functools.reduce(DataFrame.unionByName, frames) if frames else None
-    return mart_df, statuses, observations
+    return union_all_by_name(frames), statuses, observations
 
 
 MART_STATUS_SCHEMA = "mart string, dataset string, categorie string, status string, message string, n_rows bigint"

@@ -230,12 +230,3 @@ def error_text(e: Exception) -> str:
             pass
     text = str(e).strip()
     return text.splitlines()[0] if text else type(e).__name__
-
-
-def silver_sources(root: str, datasets: Sequence[str], fmt: str = "parquet") -> list[tuple[str, str, str]]:
-    """``(dataset, <root>/<dataset>/<dataset>.<fmt>, fmt)`` as the landing layout names them."""
-    return [(d, f"{root.rstrip('/')}/{d}/{d}.{fmt}", fmt) for d in datasets]
-
-
-def status_counts(status: DataFrame) -> Mapping[str, int]:
-    return {r["status"]: r["n"] for r in status.groupBy("status").agg(F.count("*").alias("n")).collect()}

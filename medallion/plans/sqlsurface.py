@@ -9,17 +9,10 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from medallion import fs
-
-_IDENT = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*$")
-
-
-def _ident(name: str) -> str:
-    if not _IDENT.match(name):
-        raise ValueError(f"not a plain identifier: {name!r}")
-    return name
-
+from medallion.operators.names import quoted_name, sql_text
 
 def show_databases(spark: SparkSession) -> DataFrame:
     """``SHOW DATABASES`` (H1)."""
@@ -28,8 +21,8 @@ def show_databases(spark: SparkSession) -> DataFrame:
 
 def create_database(spark: SparkSession, name: str, location: str | None = None) -> None:
     """``CREATE DATABASE IF NOT EXISTS`` (H2), optionally at a shared location."""
-    loc = f" LOCATION '{location}'" if location else ""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {_ident(name)}{loc}")
+    loc = f" LOCATION {sql_text(location)}" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted_name(name)}{loc}")
 
 
 def create_external_text_table(spark: SparkSession, db: str, table: str, columns_ddl: str,
@@ -38,11 +31,16 @@ def create_external_text_table(spark: SparkSession, db: str, table: str, columns
 
     Dropping the table leaves the files. ``CHAR(n)`` columns are padded to
     ``n`` when read; a header line in the files is data, so numeric columns
-    are NULL on it.
+    are NULL on it. A table of that name over another folder is declared anew.
     """
-    name = f"{_ident(db)}.{_ident(table)}"
+    name = quoted_name(f"{db}.{table}")
+    StructType.fromDDL(columns_ddl)  # columns and nothing else
+    if spark.catalog.tableExists(name):
+        at = [r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect() if r["col_name"] == "Location"]
+        if at and fs.qualify(spark, at[0]) != fs.qualify(spark, location):
+            spark.sql(f"DROP TABLE {name}")  # external: its files stay
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns_ddl}) USING CSV "
-              f"OPTIONS (sep '{sep}', header 'false') LOCATION '{location}'")
+              f"OPTIONS (sep {sql_text(sep)}, header 'false') LOCATION {sql_text(location)}")
     return name
 
 

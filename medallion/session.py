@@ -91,20 +91,11 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{workspace(spark)}/medallion/scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def join_path(*parts: str) -> str:
-    head, *rest = parts
-    return "/".join([head.rstrip("/")] + [p.strip("/") for p in rest])
-
-
 def local_path(p: str) -> str:
     """Strip a ``file:`` scheme for Python-side checks in tests."""
     return p[5:] if p.startswith("file:") else p
 
 
-def is_local(p: str) -> bool:
-    return p.startswith("/") or p.startswith("file:") or os.path.isabs(p)
-
-
 def ship_package(spark: SparkSession) -> None:
     """Make ``medallion`` importable in executor Python workers (once per context).
 
