@@ -109,14 +109,14 @@ def silver_job(spark: SparkSession, data_root: str, gazetteer: DataFrame | None
 
 def gold_job(spark: SparkSession, data_root: str,
              catalogue: Mapping[str, Sequence[tuple[str, str]]] = PARIS_MARTS,
-             decimal_sep: str | None = ",") -> DataFrame:
-    """Price mart plus the point marts; one status row per source.
+             decimal_sep: str | None = ",", map_files: int | None = None) -> DataFrame:
+    """Price mart plus the point marts; one status row per source. ``map_files`` lays the point marts out for a map.
 
     The price mart's row count is reported under dataset ``TRANSACTIONS_SILVER``.
     """
     root = data_root.rstrip("/")
     silver = f"{root}/silver"
-    status = run_marts(spark, catalogue, paris_path_of(silver), f"{root}/gold")
+    status = run_marts(spark, catalogue, paris_path_of(silver), f"{root}/gold", map_files=map_files)
     src = f"{silver}/{TRANSACTIONS_SILVER}.parquet"
     settle(spark, src)
     if fs.exists(spark, src):

@@ -20,8 +20,9 @@ from medallion.operators.geo import NoCoordinates, UnsupportedPointType, extract
 from medallion.operators.metrics import observed
 from medallion.operators.shape import union_all_by_name
 from medallion.plans.refine import error_text
+from medallion.sinks.map_layout import write_map
 from medallion.sinks.replace import settle
-from medallion.sinks.writers import run_noop, write_parquet
+from medallion.sinks.writers import check_overwrite, run_noop, write_parquet
 
 # The silver Parquet datasets and the gold marts of the Paris
 # open-data map, with their labels (output data, kept verbatim, UTF-8).
@@ -161,15 +162,27 @@ MART_STATUS_SCHEMA = "mart string, dataset string, categorie string, status stri
 
 
 def run_marts(spark: SparkSession, catalogue: Mapping[str, Sequence[tuple[str, str]]],
-              path_of, out_root: str, read=None, max_parallel: int = 4) -> DataFrame:
+              path_of, out_root: str, read=None, max_parallel: int = 4, map_files: int | None = None) -> DataFrame:
     """Build and write every mart of ``catalogue``; return one status row per source.
 
     A mart with no usable source is not written; a mart whose sources are all
     empty is still written (empty), as before. Where the write fails, the mart that was
     there stays; each source is read through on its own and the mart is built again without
     those that fail. Marts are independent jobs, submitted from up to
-    ``max_parallel`` threads.
+    ``max_parallel`` threads. With ``map_files`` a mart is laid out for a map in about so many files
+    (``sinks.map_layout``), from a staged copy, so that each source is read once.
     """
+    def write(mart: str, df: DataFrame, sources: list[str]) -> None:
+        path = f"{out_root.rstrip('/')}/{mart}.parquet"
+        if not map_files:
+            write_parquet(df, path, sources=sources)
+            return
+        staged = f"{out_root.rstrip('/')}/_staged_{mart}.parquet"
+        check_overwrite(df, path, sources)
+        write_parquet(df, staged, sources=sources)
+        write_map(spark.read.parquet(staged), path, map_files)
+        fs.delete(spark, staged)
+
     def failing(mart: str, entries) -> dict[tuple[str, str], str]:
         bad = {}
         for dataset, label in entries:
@@ -186,8 +199,7 @@ def run_marts(spark: SparkSession, catalogue: Mapping[str, Sequence[tuple[str, s
         counts: dict[int, int] = {}
         if df is not None:
             try:
-                write_parquet(df, f"{out_root.rstrip('/')}/{mart}.parquet",
-                              sources=[path_of(d) for d, _ in entries])
+                write(mart, df, [path_of(d) for d, _ in entries])
                 counts = {i: int(o.get["rows"]) for i, o in observations}
             except Exception as e:  # noqa: BLE001 - run-time failure of the mart job
                 bad = failing(mart, [used[i] for i, _ in observations]) if without is None else {}

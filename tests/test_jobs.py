@@ -58,3 +58,33 @@ def test_silver_with_provider_from_cli(spark, sf, tmp_ws, capsys):
     assert spark.read.parquet(f"{tmp_ws}/cache").count() > 0
     silver = spark.read.parquet(f"{root}/silver/dvf_paris_2021_2025.parquet")
     assert silver.count() == 27 and silver.filter("latitude IS NOT NULL").count() > 9
+
+
+def test_jobs_with_odd_files_misspelt_addresses_and_map_layout(spark, sf, tmp_ws):
+    from medallion import fs
+    from medallion.plans.marts import PARIS_MARTS
+    from medallion.sinks.map_layout import read_box
+    from medallion.sources.readers import all_strings
+
+    root = f"{tmp_ws}/data"
+    frames = lay_out(spark, sf, root)
+    cols = all_strings(fx.TRANSACTION_COLUMNS + ("latitude", "longitude"))
+    gaz = spark.read.parquet(fx.gazetteer(spark, sf)).withColumn("address", F.regexp_replace("address", "(?i)rue", "RUEE"))
+    fs.touch(spark, f"{root}/ValeursFoncieres-2050/ValeursFoncieres-2050.csv", "not;the;header\n1;2;3\n")
+    # without quarantine the odd file stops the transactions, and only them
+    plain = silver_job(spark, root, gazetteer=gaz, years=(1996, 1998), transaction_schema=cols)
+    st = {r.dataset: r.status for r in plain.status.collect()}
+    assert plain.transactions is None and st["dvf_paris_2021_2025"] == "error" and st["hopitaux"] == "ok"
+    exact = silver_job(spark, root, gazetteer=gaz, years=(1996, 1998), transaction_schema=cols, quarantine=True).transactions
+    assert (exact.rows, exact.quarantined) == (27, 1)
+    for p in fs.glob(spark, f"{root}/ValeursFoncieres-2050"):
+        fs.delete(spark, p)
+    near = silver_job(spark, root, gazetteer=gaz, years=(1996, 1998), transaction_schema=cols, fuzzy_edits=1).transactions
+    assert near.rows == 27 and near.unresolved < exact.unresolved
+    gold = gold_job(spark, root, catalogue={"dm_transport": PARIS_MARTS["dm_transport"]}, map_files=8)
+    n = {r.dataset: r.n_rows for r in gold.collect() if r.status == "ok"}
+    path = f"{root}/gold/dm_transport.parquet"
+    assert n["emplacement-des-gares-idf"] == frames["supplier_points"].count()
+    total = n["emplacement-des-gares-idf"] + n["velib-emplacement-des-stations"]
+    assert spark.read.parquet(path).count() == total == read_box(spark, path, -90, -180, 90, 180).count()
+    assert not fs.exists(spark, f"{root}/gold/_staged_dm_transport.parquet")
