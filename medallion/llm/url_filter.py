@@ -1,7 +1,9 @@
 """URL filters (operator 10): rules on host and path, spread over redirect equivalence.
 
 Rules ``[host]/[path]`` are looked up by every suffix of a page's host in a literal map,
-so no join is needed; the longest fitting rule decides. Pages without a rule of their own take
+so no join is needed, up to :data:`LITERAL_RULES` rules; more are a table, joined on host suffix and path prefix to the
+distinct hosts and paths, with the same result. The longest fitting rule decides; of equally long ones an
+allowing one, then the greater text. Pages without a rule of their own take
 the decision of their redirect class: the connected component, over redirect and
 canonical-link edges between URLs, that the page lies in. A class with a URL that is
 explicitly allowed is allowed; otherwise one with a blocked URL is blocked; otherwise the
@@ -25,7 +27,7 @@ from pyspark.sql import functions as F
 from medallion.llm.common import ascii_lower, session
 from medallion.llm.components import components
 
-MAX_RULES = 10_000  # rules are a literal in the plan; more belong in several runs
+LITERAL_RULES = 10_000  # rules that are a literal in the plan; more are a table
 
 _HOST, _PATH, _QUERY = r"://([^/?#]*)", r"://[^/?#]*([^?#]*)", r"://[^?#]*(\?[^#]*)"
 # Values of an href may be quoted either way or not at all.
@@ -63,8 +65,6 @@ def resolve(base: Column, link: Column) -> Column:
 
 def match_rules(host: Column, path: Column, rules: list[tuple[str, str]]) -> Column:
     """The longest fitting rule as struct(len, allow, rule), or NULL. ``rules``: (verdict, rule)."""
-    if len(rules) > MAX_RULES:
-        raise ValueError(f"more than {MAX_RULES} rules in one run")
     if not rules:
         return F.lit(None).cast("struct<len:int,allow:boolean,rule:string>")
     by_host: dict[str, list[Column]] = {}
@@ -83,6 +83,30 @@ def match_rules(host: Column, path: Column, rules: list[tuple[str, str]]) -> Col
                                                             r["rule"].alias("rule"))))
 
 
+def match_rules_joined(pairs: DataFrame, rules: list[tuple[str, str]]) -> DataFrame:
+    """(r_host, r_path, own) of the distinct (host, path) rows of ``pairs`` that some rule fits, by joins: each host's
+    suffixes, and of each path the beginnings as long as some rule's path, meet the rules' own."""
+    rows = [(h.lower(), "/" + p, len(rule), verdict == "allow", rule)
+            for verdict, rule in rules for h, _, p in [rule.partition("/")]]
+    table = pairs.sparkSession.createDataFrame(rows, "u_host string, u_path string, len int, allow boolean, rule string")
+    sizes = F.array(*[F.lit(n) for n in sorted({len(r[1]) for r in rows})])
+    labels = F.split("host", r"\.", -1)
+    suffix = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    begin = F.transform(F.filter(sizes, lambda n: n <= F.char_length("path")), lambda n: F.substring(F.col("path"), F.lit(1), n))
+    probe = (pairs.select("host", "path").distinct().withColumn("u_host", F.explode(suffix)).withColumn("u_path", F.explode(begin)))
+    return (probe.join(table, ["u_host", "u_path"]).groupBy(F.col("host").alias("r_host"), F.col("path").alias("r_path"))
+            .agg(F.max(F.struct("len", "allow", "rule")).alias("own")))
+
+
+def _with_rules(df: DataFrame, rules: list[tuple[str, str]]) -> DataFrame:
+    """``df`` (host, path) with ``own``, the longest fitting rule."""
+    if len(rules) <= LITERAL_RULES:
+        return df.withColumn("own", match_rules(F.col("host"), F.col("path"), rules))
+    found = match_rules_joined(df, rules)
+    return (df.join(found, (F.col("host") == F.col("r_host")) & (F.col("path") == F.col("r_path")), "left")
+            .drop("r_host", "r_path"))
+
+
 def page_edges(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(src, dst) nodes of canonical links and refresh redirects found in the pages."""
     links = F.array(F.regexp_extract(F.regexp_extract(F.col(html_col), _CANONICAL, 0), _HREF, 1),
@@ -103,8 +127,8 @@ def url_filter(pages: DataFrame, rules: list[tuple[str, str]], redirects: DataFr
                                                    node_of(F.col("dst_url")).alias("dst")).dropna())
     members = components(edges)
     url = F.concat(F.lit("x://"), F.col("node"))
-    own = match_rules(host_of(url), path_of(url), rules)
-    members = members.withColumn("allow", own["allow"])
+    members = (_with_rules(members.withColumns({"host": host_of(url), "path": path_of(url)}), rules)
+               .withColumn("allow", F.col("own.allow")).drop("host", "path", "own"))
     votes = (members.groupBy("root").agg(F.max("allow").alias("any_allow"), F.min("allow").alias("all_allow"))
              .select(F.col("root").alias("v_root"),
                      F.when(F.col("any_allow"), "allow").when(~F.col("all_allow"), "block").alias("class_verdict")))
@@ -112,8 +136,8 @@ def url_filter(pages: DataFrame, rules: list[tuple[str, str]], redirects: DataFr
                .select(F.col("node").alias("c_node"), F.col("root").alias("redirect_class"), "class_verdict"))
     u = F.col(url_col)
     out = (pages.select(F.col(id_col).alias("page_id"), host_of(u).alias("host"), path_of(u).alias("path"),
-                        node_of(u).alias("node"))
-           .withColumn("own", match_rules(F.col("host"), F.col("path"), rules))
+                        node_of(u).alias("node")))
+    out = (_with_rules(out, rules)
            .join(classes, F.col("node") == F.col("c_node"), "left"))
     verdict = (F.when(F.col("own.allow"), "allow").when(~F.col("own.allow"), "block")
                .otherwise(F.coalesce("class_verdict", F.lit(default))))

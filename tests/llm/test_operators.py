@@ -299,7 +299,7 @@ def test_decontaminate(spark, docs, empty):
     assert contaminated_pairs(empty, bench).count() == 0 and contaminated_pairs(docs, bench.limit(0)).count() == 0
 
 
-def test_url_filter(spark):
+def test_url_filter(spark, monkeypatch):
     rules = [("allow", "org/"), ("block", "example.org/es/"), ("block", "com/de/"), ("block", "bad.net/")]
     link = '<link href="{}" rel=canonical><LINK REL="Canonical" HREF=\'{}\'>'
     pages = [(1, "http://A.Example.org/es/1?x#y", None), (2, "https://x.org", ""), (3, "nothing", link.format("z", "http://bad.net/")),
@@ -313,6 +313,14 @@ def test_url_filter(spark):
         (2, "x.org", "", None, "allow"), (3, "", "", None, "allow"), (4, "", "", None, "allow"), (5, "c.net", "/p", None, "block"),
         (6, "d.net", "/q", None, "block"), (7, "d.net", "/r", None, "block"), (8, "e.net", "/", None, "allow"), (9, "f.org", "/ok", "org/", "allow"),
         (10, "com", "/de/", "com/de/", "block"), (11, "notcom", "/de/", None, "allow"), (None, "g.net", "/", None, "allow")])
+    # as a table of rules, beyond the literal: the same, with rules of both verdicts and none that fits
+    from medallion.llm import url_filter as U
+    monkeypatch.setattr(U, "LITERAL_RULES", 2)
+    again = url_filter(spark.createDataFrame(pages, "page_id long, url string, html string"), rules).collect()
+    assert Counter(map(tuple, again)) == Counter(map(tuple, out))
+    both = url_filter(spark.createDataFrame(pages[:2], "page_id long, url string, html string"),
+                      [("block", "org/"), ("allow", "org/"), ("block", "zzz/")]).collect()
+    assert {(r.rule, r.verdict) for r in both} == {("org/", "allow"), (None, "allow")}  # the second has no path
     assert url_filter(spark.createDataFrame([], "page_id long, url string, html string"), rules).count() == 0
 
 
