@@ -18,7 +18,8 @@ the start (a set is named by a hash of its members). Two sets link when
    proportion to their size.
 5. Rest. Shingles whose groups' members still lie in several components hold all pairs that may
    be missing. Members there are laid into blocks of similar sets; two blocks that share
-   such a shingle, compatible sizes and more than one component are compared whole, as matrices. Nothing is
+   such a shingle, compatible sizes and more than one component are compared whole, as matrices, in the
+   cell of their two classes, to which each block travels once. Nothing is
    left out: a link between sets of different components must share a prefix shingle, which
    then lies in several components.
 6. Components of all links; every document takes the smallest id of its component.
@@ -45,13 +46,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 from pyspark.sql.types import LongType
 
-from medallion.llm.common import bucket_count, cut, lean, session, slots, text_key
+from medallion.llm.common import bucket_count, cut, give_back, lean, session, slots, text_key
 from medallion.llm.components import components
 from medallion.llm.words import U, Words, grams, mix, words
 
 SHINGLE, PERCENT = 5, 80
 FLUSH_KEYS = 1_000_000  # shingles a map task holds before it packs them
 BLOCK_SETS, BLOCK_KEYS = 128, 200_000  # members and shingles of a block
+LEAST_CLASSES, CLASS_BYTES = 5, 16 << 20  # classes of blocks, and a class's compressed bytes from which there are more
 OUT_BYTES = 4 << 20  # packed bytes of one Arrow batch
 _LOW = U((1 << 40) - 1)  # bits of a shingle that travel; its bucket adds more
 
@@ -383,36 +385,59 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pack()
 
 
-def _cross(percent: int):
+def _compare(a: tuple, b: tuple, percent: int) -> tuple[list, list]:
     """Links between the components of two blocks: one for each pair of components that it joins."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    (sa, na, ca, la, ka), (sb, nb, cb, lb, kb) = a, b
+    uniq, inv = np.unique(np.concatenate((ka, kb)), return_inverse=True)
+    ra, rb = np.repeat(np.arange(len(sa)), la), np.repeat(np.arange(len(sb)), lb)
+    ia, ib = inv[:len(ka)], inv[len(ka):]
+    over = np.zeros((len(sa), len(sb)), np.float32)
+    for lo in range(0, len(uniq), 16384):  # matrix product, a stretch of shingles at a time
+        x, y = np.zeros((len(sa), 16384), np.float32), np.zeros((len(sb), 16384), np.float32)
+        p, q = (ia >= lo) & (ia < lo + 16384), (ib >= lo) & (ib < lo + 16384)
+        x[ra[p], ia[p] - lo] = 1
+        y[rb[q], ib[q] - lo] = 1
+        over += x @ y.T
+    o = np.rint(over).astype(np.int64)
+    link = (100 * o >= percent * (na[:, None] + nb[None, :] - o)) & (ca[:, None] != cb[None, :])
+    i, j = np.nonzero(link)
+    if not len(i):
+        return [], []
+    _, one = np.unique(np.stack((ca[i], cb[j]), 1), axis=0, return_index=True)
+    return sa[i[one]].tolist(), sb[j[one]].tolist()
+
+
+def _cross(percent: int):
+    """The links of one cell: its pairs of blocks, each block being sent to the cell once."""
+    def run(pairs: pa.Table, blocks: pa.Table) -> pa.Table:
         inflate = zstandard.ZstdDecompressor().decompress
-        for batch in batches:
-            src, dst = [], []
-            for a, b in zip(batch.column("blob_a"), batch.column("blob_b"), strict=True):
-                sa, na, ca, la, ka = _unpack(inflate(a.as_py()), _BLOCK)
-                sb, nb, cb, lb, kb = _unpack(inflate(b.as_py()), _BLOCK)
-                uniq, inv = np.unique(np.concatenate((ka, kb)), return_inverse=True)
-                ra, rb = np.repeat(np.arange(len(sa)), la), np.repeat(np.arange(len(sb)), lb)
-                ia, ib = inv[:len(ka)], inv[len(ka):]
-                over = np.zeros((len(sa), len(sb)), np.float32)
-                for lo in range(0, len(uniq), 16384):  # matrix product, a stretch of shingles at a time
-                    x, y = np.zeros((len(sa), 16384), np.float32), np.zeros((len(sb), 16384), np.float32)
-                    p, q = (ia >= lo) & (ia < lo + 16384), (ib >= lo) & (ib < lo + 16384)
-                    x[ra[p], ia[p] - lo] = 1
-                    y[rb[q], ib[q] - lo] = 1
-                    over += x @ y.T
-                o = np.rint(over).astype(np.int64)
-                link = (100 * o >= percent * (na[:, None] + nb[None, :] - o)) & (ca[:, None] != cb[None, :])
-                i, j = np.nonzero(link)
-                if len(i):
-                    _, one = np.unique(np.stack((ca[i], cb[j]), 1), axis=0, return_index=True)
-                    src += sa[i[one]].tolist()
-                    dst += sb[j[one]].tolist()
-            yield pa.RecordBatch.from_arrays([pa.array(src, pa.int64()), pa.array(dst, pa.int64())], names=["src", "dst"])
+        blob = {k: v for k, v in zip(blocks.column("block").to_pylist(), blocks.column("blob"), strict=True)}
+        src, dst = [], []
+        held: tuple | None = None
+        for a, b in sorted(zip(pairs.column("block_a").to_pylist(), pairs.column("block_b").to_pylist(), strict=True)):
+            if held is None or held[0] != a:
+                held = a, _unpack(inflate(blob[a].as_py()), _BLOCK)
+            one, two = _compare(held[1], _unpack(inflate(blob[b].as_py()), _BLOCK), percent)
+            src += one
+            dst += two
+        give_back()
+        return pa.table({"src": pa.array(src, pa.int64()), "dst": pa.array(dst, pa.int64())})
     return run
 
 
+def _cells(pairs: DataFrame, blocks: DataFrame, percent: int) -> DataFrame:
+    """The links of all pairs of blocks. Blocks are dealt into g classes by hash and pairs into the g (g + 1) / 2 cells
+    of two classes; a block travels to at most g cells, once each, however many partners it has there. g grows with
+    the blocks' bytes, so that a cell stays bounded."""
+    size = blocks.agg(F.sum(F.length("blob"))).first()[0] or 0
+    g = max(LEAST_CLASSES, -(-size // CLASS_BYTES))
+    one, two = (F.pmod(F.xxhash64(c), F.lit(g)) for c in ("block_a", "block_b"))
+    pairs = cut(pairs.withColumn("cell", F.least(one, two) * g + F.greatest(one, two)), "block-pairs")
+    sent = (pairs.select("cell", F.explode(F.array("block_a", "block_b")).alias("block")).distinct()
+            .join(blocks.select("block", "blob"), "block").select(F.col("cell").alias("to"), "block", "blob"))
+    return (pairs.groupBy("cell").cogroup(sent.groupBy("to")).applyInArrow(_cross(percent), "src long, dst long"))
+
+
 def set_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, text_col: str = "text") -> DataFrame:
     """(sid, root): the component of every set that links with another one."""
     spark = session(docs)
@@ -466,9 +491,7 @@ def set_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT, te
              .filter((F.col("hi_b") * 100 >= F.col("lo") * percent) & (F.col("hi") * 100 >= F.col("lo_b") * percent))
              .filter(F.least("c", "c_b") != F.greatest("d", "d_b"))
              .select(F.col("block").alias("block_a"), "block_b").distinct())
-    pairs = (pairs.join(blocks.select(F.col("block").alias("block_a"), F.col("blob").alias("blob_a")), "block_a")
-             .join(blocks.select(F.col("block").alias("block_b"), F.col("blob").alias("blob_b")), "block_b"))
-    more = cut(pairs.select("blob_a", "blob_b").mapInArrow(lean(_cross(percent)), "src long, dst long"), "links")
+    more = cut(_cells(pairs, blocks, percent), "links")
     comp = first.select(F.col("node").alias("src"), F.col("root").alias("dst")).filter("src != dst")
     return components(comp.unionByName(more)).withColumnRenamed("node", "sid")
 
