@@ -13,7 +13,7 @@ from medallion.llm.decontaminate import contaminated_pairs
 from medallion.llm.jaccard import near_duplicates
 from medallion.llm.license_join import BASE_PHRASES, TEMPLATES, license_scan, split_words
 from medallion.llm.line_dedup import line_dedup
-from medallion.llm.mixing import mix_plan
+from medallion.llm.mixing import DEFAULT_SCHEDULE, mix_plan
 from medallion.llm.quality import quality_table
 from medallion.llm.substring_dedup import substring_dedup
 from medallion.llm.token_count import token_counts
@@ -32,8 +32,7 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mix_plan(read(spark, sf_dir, "documents"))
     first = F.array_min(F.transform("copies", lambda c: c["position"]))
     return (plan.select("doc_id", "size", "source_size", "target", "taken", first.alias("first_position"))
-            .repartitionByRange("first_position", "doc_id").sortWithinPartitions("first_position", "doc_id")
-            .drop("first_position"))
+            .repartitionByRange("first_position", "doc_id").sortWithinPartitions("first_position", "doc_id"))
 
 
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -125,14 +124,19 @@ l AS (
   FROM q),
 v AS (SELECT *, (budget - capped) / rest AS level FROM l),
 b AS (SELECT level FROM v WHERE level <= ratio ORDER BY ratio, source NULLS LAST LIMIT 1),
-t AS (SELECT source, source_size, coalesce(least(cap, (SELECT level FROM b) * weight), cap) AS target FROM q),
+t AS (SELECT source, weight, source_size, coalesce(least(cap, (SELECT level FROM b) * weight), cap) AS target FROM q),
 r AS (
   SELECT d.doc_id, d.size, t.source_size, t.target,
     CAST(sum(size) OVER (PARTITION BY d.source ORDER BY ord, doc_id, size ROWS UNBOUNDED PRECEDING) AS BIGINT) - size AS bgn,
-    CASE WHEN t.source_size > 0 THEN CAST(floor(t.target / t.source_size) AS BIGINT) ELSE 0 END AS f
-  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
-SELECT doc_id, size, source_size, target,
-  f * size + greatest(0, least(size, CAST(floor(target - f * source_size) AS BIGINT) - bgn)) AS taken FROM r"""
+    CASE WHEN t.source_size > 0 THEN CAST(floor(t.target / t.source_size) AS BIGINT) ELSE 0 END AS f,
+    CASE t.weight WHEN 5 THEN {{s0}} WHEN 2 THEN {{s1}} ELSE {{s2}} END AS x, CASE t.weight WHEN 5 THEN {{e0}} WHEN 2 THEN {{e1}} ELSE {{e2}} END AS y
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+z AS (SELECT *, f * size + greatest(0, least(size, CAST(floor(target - f * source_size) AS BIGINT) - bgn)) AS taken,
+        least(1.0::DOUBLE, bgn / target) AS u FROM r)
+SELECT doc_id, size, source_size, target, taken,
+  CASE WHEN taken > 0 THEN CASE WHEN x = y THEN u ELSE (-x + sqrt(x * x + (y - x) * (x + y) * u)) / (y - x) END END AS first_position FROM z"""
+for _k, (_s, _e) in enumerate(DEFAULT_SCHEDULE):  # the weights at the start and at the end of training
+    _OP2 = _OP2.replace(f"{{s{_k}}}", f"{_s}::DOUBLE").replace(f"{{e{_k}}}", f"{_e}::DOUBLE")
 
 _OP5 = f"""
 WITH w AS (SELECT doc_id, {_WORDS.format("coalesce(text, '')")} AS w FROM documents),
