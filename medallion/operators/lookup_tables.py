@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -72,8 +73,11 @@ def merge_best(delta: DataFrame, path: str, **cols: str) -> list[int]:
         old = spark.read.schema(f"{_ROW}, {PART} int").parquet(path).filter(F.col(PART).isin(touched))  # only these folders are read
         both = best_candidates(old.drop(PART).unionByName(fresh.drop(PART)), address_col=KEY)
         _parted(both, parts).repartition(PART).write.partitionBy(PART).parquet(f"{new}/merged")
-        for part in touched:
-            replace(spark, _folder(path, part), lambda folder, part=part: fs.rename(spark, f"{new}/merged/{PART}={part}", folder))
+        def publish(part: int) -> None:
+            replace(spark, _folder(path, part), lambda folder: fs.rename(spark, f"{new}/merged/{PART}={part}", folder))
+
+        with ThreadPoolExecutor(max_workers=8) as pool:  # metadata calls only
+            list(pool.map(publish, touched))
     finally:
         fs.delete(spark, new)
     return touched
