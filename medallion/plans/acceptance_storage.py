@@ -17,6 +17,7 @@ from medallion.plans.sqlsurface import create_database
 from medallion.functions.columns import full_address
 from medallion.session import scratch
 from medallion.sinks.map_layout import read_box, write_map
+from medallion.sinks.text_files import write_text_files
 from medallion.sinks.writers import write_parquet
 from medallion.sources.quarantine import read_checked
 from medallion.sources import fixtures as fx
@@ -94,10 +95,7 @@ FROM documents
 def q_land_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One text file per language, landed as ranges of 64 KB by several tasks, checked and put together again."""
     root = scratch(spark, "ranges")
-    (table(spark, sf_dir, "documents").select("lang", "doc_id", "text").repartition("lang").sortWithinPartitions("lang", "doc_id")
-     .select("lang", "text").write.partitionBy("lang").text(f"{root}/staged"))
-    for path in fs.glob(spark, f"{root}/staged/lang=*/part-*.txt"):
-        fs.rename(spark, path, f"{root}/source/{path.split('/lang=')[1].split('/')[0]}.txt")
+    write_text_files(table(spark, sf_dir, "documents"), "lang", ["doc_id"], "text", f"{root}/source")
     land_ranges(spark, f"{root}/source", f"{root}/bronze", f"{root}/checkpoint", range_bytes=1 << 16)
     bronze = spark.read.parquet(f"{root}/bronze")
     sums = file_checksums(bronze)
@@ -159,12 +157,11 @@ def q_csv_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
             .otherwise(F.concat_ws(";", *cells)))
     rows = table(spark, sf_dir, "orders").select((key % 4).alias("part"), key.alias("at"), line.alias("value"))
     heads = spark.createDataFrame([(p, -1, ";".join(SALES if p < 3 else SALES[::-1])) for p in range(4)], "part bigint, at bigint, value string")
-    (rows.unionByName(heads).repartition("part").sortWithinPartitions("part", "at").select("part", "value")
-     .write.partitionBy("part").text(f"{root}/in"))
-    got = read_checked(spark, f"{root}/in/part=*/*.txt", SALES)
+    write_text_files(rows.unionByName(heads), "part", ["at"], "value", f"{root}/in")
+    got = read_checked(spark, f"{root}/in/*.txt", SALES)
     write_parquet(got.good, f"{root}/good")
     write_parquet(got.bad, f"{root}/bad")
-    part = F.regexp_extract("source_file", r"part=(\d)", 1).cast("int").alias("part")
+    part = F.regexp_extract("source_file", r"/(\d)\.txt$", 1).cast("int").alias("part")
     none = F.lit(None).cast("string")
     return (spark.read.parquet(f"{root}/good").select(part, *SALES, F.lit(None).cast("long").alias("line"), none.alias("reason"), none.alias("text"))
             .unionByName(spark.read.parquet(f"{root}/bad").select(part, *[none.alias(c) for c in SALES], "line", "reason", "text")))

@@ -23,6 +23,7 @@ many ranges is read by as many tasks, and no row is larger than a range.
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -34,7 +35,8 @@ from pyspark.sql.types import StructType
 
 from medallion import fs
 from medallion.operators.metrics import observed
-from medallion.session import ship_package
+from medallion.session import scratch, ship_package
+from medallion.streaming.sha256 import Sha256
 
 # The schemas of the file formats whose layout does not depend on content.
 FIXED_SCHEMAS = {
@@ -46,6 +48,7 @@ BATCH = "landed_batch"
 PROVENANCE = ("source_file", "stem", BATCH)  # the columns landing adds
 BATCH_FILES = 10_000  # files of a batch unless the caller says otherwise: what the driver names at a time
 RANGE_BYTES = 8 << 20
+TASK_BYTES = 64 << 20  # what a task reads, of a file where the order matters, of ranges where it does not
 LEDGER = "path string, length bigint, modified timestamp, n_rows bigint, batch int"
 
 
@@ -174,7 +177,7 @@ _RANGES = pa.schema([("source_file", pa.string()), ("offset", pa.int64()), ("n_b
                      ("file_bytes", pa.int64()), ("crc32", pa.int64()), ("content", pa.binary())])
 
 
-def _store(uri: str):
+def store_of(uri: str):
     """The file system of a URI and the path in it, in a worker."""
     from pyarrow.fs import FileSystem
 
@@ -185,7 +188,7 @@ def _read_ranges(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for path, length, offset in zip(*(b.column(c).to_pylist() for c in ("path", "length", "offset"))):
-                store, name = _store(path)
+                store, name = store_of(path)
                 want = min(size, length - offset)
                 with store.open_input_file(name) as f:
                     content = f.read_at(want, offset)
@@ -200,7 +203,8 @@ def _read_ranges(size: int):
 def land_ranges(spark: SparkSession, source_dir: str, bronze_path: str, checkpoint: str,
                 range_bytes: int = RANGE_BYTES, max_files_per_trigger: int | None = None) -> LandingRun:
     """Land files byte for byte as ranges of ``range_bytes``: source_file, stem, offset, n_bytes, file_bytes,
-    crc32, content. Ranges, not files, are dealt to tasks.
+    crc32, content. Ranges, not files, are dealt to tasks, each task's one after the other, so that a reader
+    of a part of a file finds it in a few bronze files.
 
     Workers open the source themselves: local, HDFS and object-store URIs that Arrow knows."""
     ship_package(spark)
@@ -208,8 +212,9 @@ def land_ranges(spark: SparkSession, source_dir: str, bronze_path: str, checkpoi
     def read(batch: DataFrame) -> DataFrame:
         ranges = batch.select("path", "length", F.explode(F.sequence(F.lit(0).cast("long"), F.col("length") - 1,
                                                                      F.lit(range_bytes).cast("long"))).alias("offset"))
-        wide = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        content = ranges.repartition(wide, "path", "offset").mapInArrow(
+        n = batch.agg(F.sum(F.ceil(F.col("length") / F.lit(range_bytes)))).first()[0]
+        wide = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n * range_bytes // TASK_BYTES))
+        content = ranges.repartitionByRange(wide, "path", "offset").sortWithinPartitions("path", "offset").mapInArrow(
             _read_ranges(range_bytes), "source_file string, offset bigint, n_bytes bigint, file_bytes bigint, "
                                        "crc32 bigint, content binary")
         return content.withColumn("stem", F.regexp_replace(F.element_at(F.split("source_file", "/"), -1), r"\.[^.]*$", ""))
@@ -281,32 +286,60 @@ def file_checksums(bronze: DataFrame) -> DataFrame:
     return parts.mapInArrow(_whole, "source_file string, n_bytes bigint, n_ranges bigint, crc32 bigint, complete boolean")
 
 
-def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    import hashlib
+_DIGESTS = pa.schema([("source_file", pa.string()), ("n_bytes", pa.int64()), ("sha256", pa.string()), ("crc32", pa.int64()),
+                      ("state", pa.binary())])
+CARRIED = -1  # the offset of a row that holds the state of what was read before
 
-    schema = pa.schema([("source_file", pa.string()), ("n_bytes", pa.int64()), ("sha256", pa.string()), ("crc32", pa.int64())])
 
-    def row(state):
-        return pa.RecordBatch.from_arrays([pa.array([x], t.type) for x, t in
-                                           zip((state[0], state[1], state[2].hexdigest(), state[3]), schema)], schema=schema)
+def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def row(name: str, sha: Sha256, crc: int) -> pa.RecordBatch:
+        values = (name, sha.n_bytes, sha.hexdigest(), crc, struct.pack(">I", crc) + sha.state())
+        return pa.RecordBatch.from_arrays([pa.array([x], t.type) for x, t in zip(values, _DIGESTS)], schema=_DIGESTS)
 
-    state = None
+    last = None
     for b in batches:
-        for name, content in zip(b.column("source_file").to_pylist(), b.column("content")):
-            if state is None or state[0] != name:
-                if state is not None:
-                    yield row(state)
-                state = [name, 0, hashlib.sha256(), 0]
+        for name, offset, content in zip(b.column("source_file").to_pylist(), b.column("offset").to_pylist(), b.column("content")):
+            if last is None or last[0] != name:
+                if last is not None:
+                    yield row(*last)
+                last = [name, Sha256(), 0]
             part = content.as_buffer()
-            state[1] += part.size
-            state[2].update(part)
-            state[3] = zlib.crc32(part, state[3])
-    if state is not None:
-        yield row(state)
-
-
-def reassembled_digests(bronze: DataFrame) -> DataFrame:
-    """Per landed file, read through in order: n_bytes, sha256, crc32. A file is streamed by one task, range by range."""
-    ship_package(bronze.sparkSession)
-    ordered = bronze.select("source_file", "offset", "content").repartition("source_file").sortWithinPartitions("source_file", "offset")
-    return ordered.mapInArrow(_digest, "source_file string, n_bytes bigint, sha256 string, crc32 bigint")
+            if offset == CARRIED:
+                last[1:] = Sha256(part.slice(4).to_pybytes()), struct.unpack(">I", part.slice(0, 4).to_pybytes())[0]
+            else:
+                last[1].update(part)
+                last[2] = zlib.crc32(part, last[2])
+    if last is not None:
+        yield row(*last)
+
+
+def reassembled_digests(bronze: DataFrame, task_bytes: int | None = None) -> DataFrame:
+    """Per landed file, read through in order: n_bytes, sha256, crc32.
+
+    In rounds: each reads the next ``task_bytes`` (:data:`TASK_BYTES`) of every file that has more, a file's share in one task, which
+    goes on from the state the last round's left. So no task reads a large file whole, and a digest still takes
+    its bytes one after the other. Runs when called; what is returned reads the rounds' results."""
+    spark, task_bytes = bronze.sparkSession, task_bytes or TASK_BYTES
+    ship_package(spark)
+    root = scratch(spark, "digests")
+    chunk = F.floor(F.col("offset") / F.lit(task_bytes))
+    bronze.groupBy("source_file").agg(F.max(chunk).alias("chunk")).write.parquet(f"{root}/ends")
+    ends = spark.read.parquet(f"{root}/ends")  # a row per file: its last round
+    wide = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    before = None
+    for turn in bronze.groupBy(chunk.alias("chunk")).agg(F.sum("n_bytes").alias("size")).orderBy("chunk").collect():  # a row per round
+        k = turn["chunk"]
+        rows = (bronze.filter((F.col("offset") >= k * task_bytes) & (F.col("offset") < (k + 1) * task_bytes))
+                .select("source_file", "offset", "content"))
+        if before is not None:
+            more = spark.read.parquet(before).join(ends.filter(F.col("chunk") >= k), "source_file", "left_semi")
+            rows = rows.unionByName(more.select("source_file", F.lit(CARRIED).cast("long").alias("offset"), F.col("state").alias("content")))
+        parts = 2 * turn["size"] // task_bytes  # of many files, a task gets the shares of a few
+        dealt = rows.repartition(parts, "source_file") if parts > wide else rows.repartition("source_file")
+        before = f"{root}/rounds/chunk={k}"
+        (dealt.sortWithinPartitions("source_file", "offset")
+         .mapInArrow(_digest, "source_file string, n_bytes bigint, sha256 string, crc32 bigint, state binary").write.parquet(before))
+    if before is None:
+        return spark.createDataFrame([], "source_file string, n_bytes bigint, sha256 string, crc32 bigint")
+    return (spark.read.parquet(f"{root}/rounds").join(ends, ["source_file", "chunk"])
+            .select("source_file", "n_bytes", "sha256", "crc32"))
