@@ -17,10 +17,10 @@ A phrase is 2 to 5 words that stand in one piece of a text (pieces end at ``[.,;
 
 Words are counted as (language, 64-bit hash, text), and the frequent ones get dense numbers. These numbers and
 the frequent pairs go to the workers as sorted arrays of 8 bytes an entry while they
-have at most :data:`MOST_SHARED` entries (64 MB; the counts are checked before anything is collected). Beyond that the
-windows aren't cut at rare pairs, or carry the hashes themselves and aren't cut at rare words either: the
-result is the same and the shuffle larger. Two words found under one 63-bit hash are told by the count step, which
-then starts again with other hashes.
+have at most :data:`MOST_SHARED` entries (64 MB; the counts are checked before anything is collected, and the
+driver reads them packed, a piece at a time). Beyond that the windows aren't cut at rare pairs, or carry the
+hashes themselves and aren't cut at rare words either: the result is the same and the shuffle larger. Two words
+found under one 63-bit hash are told by the count step, which then starts again with other hashes.
 
 Defined cases: NULL text has no words, NULL lang is ``und``, repeated rows count each; texts of
 any length are used whole (in stretches of whole texts); ties in score go to the larger
@@ -44,6 +44,7 @@ LONGEST = 5
 MOST_SHARED = 1 << 23
 RANK_BUCKETS = 64
 HELD = 1 << 20  # counted keys a worker holds before it hands them on
+PIECE = 1 << 20  # shared entries the driver reads at once, about
 
 _BREAK = np.zeros(256, bool)
 _BREAK[[ord(c) for c in ".,;:!?"] + [10, 11, 12, 13]] = True
@@ -180,12 +181,32 @@ def _windows(seed: int, known, pairs):
     return lean(run)
 
 
+_PACKED = pa.schema([("packed", pa.binary())])
+
+
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The one column of longs as the bytes of each batch."""
+    for b in batches:
+        if b.num_rows:
+            yield pa.RecordBatch.from_arrays([pa.array([b.column(0).to_numpy().astype(np.int64).tobytes()], pa.binary())], schema=_PACKED)
+
+
 def _shared(df: DataFrame, column: str, size: int):
-    """A sorted column of a table of ``size`` rows for the workers; None beyond :data:`MOST_SHARED`."""
+    """A sorted column of a table of ``size`` rows for the workers; None beyond :data:`MOST_SHARED`. The driver holds
+    the array, 8 bytes an entry, and one piece of the packed column at a time, never rows."""
     if size > MOST_SHARED:
         return None
-    got = df.select(column).toPandas()[column].to_numpy(np.int64)
-    return df.sparkSession.sparkContext.broadcast(np.sort(got))
+    got, at = np.empty(size, np.int64), 0
+    if size:
+        packed = cut(df.select(column).mapInArrow(lean(_packed), "packed binary"), "phrase-packed")
+        for row in packed.coalesce(-(-size // PIECE)).toLocalIterator():
+            part = np.frombuffer(row.packed, np.int64)
+            got[at:at + len(part)] = part
+            at += len(part)
+    if at != size:
+        raise RuntimeError(f"{at} of {size} entries of {column} were read")
+    got.sort()
+    return df.sparkSession.sparkContext.broadcast(got)
 
 
 def _vocabulary(texts: DataFrame) -> tuple[DataFrame, int]:
@@ -209,10 +230,9 @@ def phrase_counts(texts: DataFrame, least: int) -> tuple[DataFrame, DataFrame, D
     size = frequent.count()
     known = _shared(frequent, "key", size)
     if known is not None:
-        keys = known.value
         number = frequent.mapInArrow(_numbered(known), "lang string, word string, number bigint")
         pair_counts = cut(texts.mapInArrow(_count_pairs(seed, known), "pair bigint, n bigint").groupBy("pair")
-                          .agg(F.sum("n").alias("n")).filter(F.col("n") >= least), "phrase-pairs") if len(keys) else None
+                          .agg(F.sum("n").alias("n")).filter(F.col("n") >= least), "phrase-pairs") if size else None
         pairs = _shared(pair_counts, "pair", pair_counts.count()) if pair_counts is not None else None
     else:
         number = frequent.select("lang", "word", F.col("key").alias("number"))

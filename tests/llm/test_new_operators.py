@@ -4,9 +4,11 @@ import hashlib
 import itertools
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -141,6 +143,30 @@ def test_collocations_of_nothing(spark):
     assert C.collocations(docs(spark, [(1, None, None), (2, "a b c", "en")]), least=2).count() == 0
 
 
+def test_shared_entries_reach_the_driver_packed(spark, monkeypatch):
+    monkeypatch.setattr(C, "PIECE", 1 << 16)  # several pieces
+    n, arrow = 300_000, "spark.sql.execution.arrow.pyspark.enabled"
+    old = spark.conf.get(arrow)
+    df = C.session(spark.range(1)).range(0, n, 1, 7).select((F.col("id") * 7919 % n - 5).alias("pair"), F.lit("x").alias("word"))
+    C._shared(df.limit(3), "pair", 3)  # what is imported at first use does not count
+    spark.conf.set(arrow, "false")  # Spark's own default
+    tracemalloc.start()
+    try:
+        shared = C._shared(df, "pair", n)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+        spark.conf.set(arrow, old)
+    assert peak < 3 * 8 * n  # the array and a piece; as rows they took over ten times the array
+    assert (shared.value == np.arange(n) - 5).all()
+
+
+def test_nothing_shared_is_an_empty_array(spark):
+    assert C._shared(spark.range(0).withColumnRenamed("id", "pair"), "pair", 0).value.tolist() == []
+    with pytest.raises(RuntimeError, match="3 of 4 entries"):
+        C._shared(C.session(spark.range(1)).range(3).withColumnRenamed("id", "pair"), "pair", 4)
+
+
 def test_words_with_one_hash_are_told_apart(spark, monkeypatch):
     plain = C._stretches
 
